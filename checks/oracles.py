@@ -1,0 +1,153 @@
+"""Plain SQL for every checked query, over the star-schema tables."""
+
+from __future__ import annotations
+
+BRONZE = """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,
+  CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 89 = 0 THEN 'not-a-date'
+       ELSE CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) END AS order_date,
+  CASE WHEN o_custkey % 83 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
+  CASE WHEN c_nationkey = 24 THEN NULL ELSE n_name END AS country,
+  CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE p_type END AS product,
+  CASE WHEN l_partkey % 71 = 0 THEN '-3' WHEN l_partkey % 73 = 0 THEN '0'
+       WHEN l_partkey % 79 = 0 THEN 'abc'
+       WHEN l_partkey % 43 = 0 THEN ' ' || CAST(CAST(l_quantity AS INT) AS VARCHAR) || '.7 '
+       ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS quantity,
+  CASE WHEN l_suppkey % 61 = 0 THEN '0.00' WHEN l_suppkey % 59 = 0 THEN ''
+       WHEN l_suppkey % 53 = 0 THEN '-1.50'
+       ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
+"""
+
+TYPED = r"""
+SELECT *, quantity * unit_price AS total_amount FROM (
+  SELECT order_id, TRY_CAST(order_date AS DATE) AS order_date, customer_id, country, product,
+    TRY_CAST(regexp_extract(quantity, '^ *([+-]?[0-9]+)([.][0-9]*)? *$', 1) AS INT) AS quantity,
+    TRY_CAST(unit_price AS DOUBLE) AS unit_price
+  FROM bronze) t
+"""
+
+BASIC = """
+SELECT * FROM typed
+WHERE order_id IS NOT NULL AND order_date IS NOT NULL AND customer_id IS NOT NULL
+"""
+
+VALID = "SELECT * FROM basic WHERE quantity > 0 AND unit_price > 0.0"
+
+SILVER = """
+SELECT order_id, order_date, customer_id, country, product, quantity, unit_price, total_amount
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_date NULLS LAST,
+    customer_id NULLS LAST, country NULLS LAST, product NULLS LAST, quantity NULLS LAST,
+    unit_price NULLS LAST) AS rn
+  FROM valid) q
+WHERE rn = 1
+"""
+
+
+def _rollup(source: str) -> str:
+    return f"""
+SELECT order_date, country, product, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+  CAST(sum(CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) / count(unit_price) AS avg_unit_price
+FROM {source} GROUP BY order_date, country, product
+"""
+
+
+GOLD_CLEAN = """
+SELECT * FROM gold WHERE order_date IS NOT NULL AND country IS NOT NULL AND product IS NOT NULL
+  AND total_quantity >= 0 AND total_revenue >= 0.0
+"""
+
+# Made orders, one per key of the orders table.
+GENERATED = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+  '2024-01-05' AS order_date,
+  CAST(100 + h('customer_id', o_orderkey) % 101 AS VARCHAR) AS customer_id,
+  CASE h('country', o_orderkey) % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' ELSE 'MX' END AS country,
+  CASE h('product', o_orderkey) % 3 WHEN 0 THEN 'Widget A' WHEN 1 THEN 'Widget B'
+       ELSE 'Widget C' END AS product,
+  CAST(1 + h('quantity', o_orderkey) % 10 AS VARCHAR) AS quantity,
+  CASE h('unit_price', o_orderkey) % 3 WHEN 0 THEN '9.99' WHEN 1 THEN '19.99'
+       ELSE '29.99' END AS unit_price
+FROM orders
+"""
+for _column in ("customer_id", "country", "product", "quantity", "unit_price"):
+    GENERATED = GENERATED.replace(
+        f"h('{_column}', o_orderkey)",
+        f"CAST('0x' || substr(md5('42|{_column}|' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)",
+    )
+
+
+def _with(final: str, bronze: str = BRONZE) -> str:
+    stages = {
+        "bronze": bronze,
+        "typed": TYPED,
+        "basic": BASIC,
+        "valid": VALID,
+        "silver": SILVER,
+        "gold": _rollup("silver"),
+        "gold_clean": GOLD_CLEAN,
+    }
+    steps = ",\n".join(f"{name} AS ({text})" for name, text in stages.items())
+    return f"WITH {steps}\n{final}"
+
+
+_D = "SELECT * FROM gold_clean"
+_S = "SELECT * FROM silver"
+
+ORACLES: dict[str, str] = {
+    "align_schema": _with(
+        "SELECT order_id, order_date, customer_id, CAST(NULL AS VARCHAR) AS country, product,"
+        " quantity, unit_price FROM bronze"
+    ),
+    "typed_orders": _with("SELECT * FROM typed"),
+    "drop_missing_critical": _with("SELECT * FROM basic"),
+    "positive_measures": _with("SELECT * FROM typed WHERE quantity > 0 AND unit_price > 0.0"),
+    "dedup_orders": _with(_S),
+    "silver_orders": _with(_S),
+    "silver_orders_basic": _with("SELECT * FROM basic"),
+    "dq_metrics_silver": _with(
+        "SELECT raw_rows, clean_rows, raw_rows - clean_rows AS removed_rows FROM"
+        " (SELECT (SELECT count(*) FROM bronze) AS raw_rows,"
+        " (SELECT count(*) FROM silver) AS clean_rows) c"
+    ),
+    "gold_orders": _with(_D),
+    "gold_orders_basic": _with(
+        "SELECT order_date, country, product, CAST(sum(quantity) AS BIGINT) AS total_quantity,"
+        " CAST(sum(CAST(quantity * unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue"
+        " FROM silver GROUP BY order_date, country, product"
+    ),
+    "gold_having": _with(
+        f"SELECT * FROM ({_rollup('basic')}) g WHERE total_quantity >= 0 AND total_revenue >= 0.0"
+    ),
+    "dq_metrics_gold": _with(
+        "SELECT (SELECT count(*) FROM silver) AS silver_rows,"
+        " (SELECT count(*) FROM gold) AS gold_rows,"
+        " (SELECT count(*) FROM gold_clean) AS gold_clean_rows"
+    ),
+    "bronze_csv_roundtrip": _with(
+        "SELECT order_id, order_date, customer_id, country, product, quantity,"
+        " NULLIF(unit_price, '') AS unit_price FROM bronze"
+    ),
+    "silver_flat_roundtrip": _with(_S),
+    "silver_partitioned_roundtrip": _with(_S),
+    "silver_append_roundtrip": _with("SELECT * FROM basic UNION ALL SELECT * FROM basic"),
+    "gold_partitioned_roundtrip": _with(_D),
+    "gold_flat_roundtrip": _with(_D),
+    "gold_basic_roundtrip": _with(
+        "SELECT order_date, country, product, total_quantity, total_revenue FROM gold"
+    ),
+    "partition_fallback": _with(_D),
+    "empty_guard": _with(_D),
+    "catalog_roundtrip": _with(_S),
+    "silver_inspect": _with("SELECT * FROM silver ORDER BY order_id LIMIT 10"),
+    "gold_report": _with(
+        "SELECT order_date, country, product, total_quantity, total_revenue FROM gold_clean"
+        " ORDER BY order_date, country, product"
+    ),
+    "generate_orders": GENERATED,
+    "medallion_end_to_end": _with(_D),
+    "generated_end_to_end": _with(_D, bronze=GENERATED),
+}

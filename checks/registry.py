@@ -1,0 +1,198 @@
+"""Every checked query, over the whole tables of a scale-factor folder."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from assay.operators import (
+    align,
+    dedup,
+    drop_missing_critical,
+    gold_metrics,
+    positive_measures,
+    silver_metrics,
+    typed_orders,
+)
+from assay.plans import (
+    bronze_to_silver,
+    bronze_to_silver_basic,
+    gold_having,
+    gold_orders,
+    gold_orders_basic,
+    gold_report,
+    run_medallion,
+    silver_inspect,
+    silver_orders,
+    silver_orders_basic,
+    silver_to_gold,
+    silver_to_gold_basic,
+)
+from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
+from assay.sinks import land_bronze, register_table
+from assay.sources import fill_orders, read_bronze_csv, read_layer, read_table
+from assay.workspace import new_folder
+from checks.star_bronze import star_bronze
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+AS_OF = dt.date(2024, 1, 5)
+DATABASE = "assay_checks"
+
+
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed_orders(star_bronze(spark, sf_dir))
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_orders(star_bronze(spark, sf_dir))
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_orders(_silver(spark, sf_dir), exact_cents=True)
+
+
+def align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drifted = star_bronze(spark, sf_dir).select(
+        "unit_price",
+        "quantity",
+        F.col("order_id").alias("ORDER_ID"),
+        "product",
+        F.lit("web").alias("channel"),
+        "customer_id",
+        "order_date",
+    )
+    return align(drifted, BRONZE)
+
+
+def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    land_bronze(star_bronze(spark, sf_dir), layout.bronze)
+    return read_bronze_csv(spark, layout.bronze)
+
+
+def _written_silver(spark: SparkSession, sf_dir: str, partition_by: str | None) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    bronze_to_silver(star_bronze(spark, sf_dir), layout.silver, partition_by=partition_by)
+    return read_layer(spark, layout.silver, SILVER)
+
+
+def silver_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    for _ in range(2):
+        bronze_to_silver_basic(star_bronze(spark, sf_dir), layout.silver)
+    return read_layer(spark, layout.silver, SILVER)
+
+
+def _written_gold(spark: SparkSession, sf_dir: str, partition_by: str | None) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    silver_to_gold(
+        _silver(spark, sf_dir), layout.gold, partition_by=partition_by, exact_cents=True
+    )
+    return read_layer(spark, layout.gold, GOLD)
+
+
+def gold_basic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    silver_to_gold_basic(_silver(spark, sf_dir), layout.gold, exact_cents=True)
+    return read_layer(spark, layout.gold, GOLD_BASIC)
+
+
+def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold written once, then a second batch in which every row fails the rules."""
+    layout = Layout(new_folder(spark))
+    silver = _silver(spark, sf_dir)
+    silver_to_gold(silver, layout.gold, exact_cents=True)
+    silver_to_gold(
+        silver.withColumn("quantity", -F.col("quantity")), layout.gold, exact_cents=True
+    )
+    return read_layer(spark, layout.gold, GOLD)
+
+
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver both registered and read back by name."""
+    layout = Layout(new_folder(spark))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{layout.base}'")
+    run = uuid.uuid4().hex
+    land_bronze(star_bronze(spark, sf_dir), layout.bronze)
+    bronze = register_table(
+        spark,
+        f"{DATABASE}.bronze_orders_{run}",
+        layout.bronze,
+        StructType([*BRONZE, StructField("run", StringType())]),
+        partition_by="run",
+        file_format="csv",
+    )
+    bronze_to_silver(read_table(spark, bronze, BRONZE), layout.silver, partition_by="country")
+    silver = register_table(
+        spark, f"{DATABASE}.silver_orders_{run}", layout.silver, SILVER, partition_by="country"
+    )
+    return read_table(spark, silver, SILVER)
+
+
+def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = Layout(new_folder(spark))
+    run_medallion(
+        spark,
+        star_bronze(spark, sf_dir),
+        layout,
+        silver_partition="country",
+        gold_partition="country",
+        exact_cents=True,
+    )
+    return read_layer(spark, layout.gold, GOLD)
+
+
+def generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return fill_orders(keys, "o_orderkey", seed=42, as_of_date=AS_OF)
+
+
+def generated_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ingest runs of the same generated orders: the second adds copies, silver keeps one each."""
+    layout = Layout(new_folder(spark))
+    land_bronze(generate(spark, sf_dir), layout.bronze, "20240105_000000")
+    run_medallion(
+        spark, generate(spark, sf_dir), layout, stamp="20240105_010000", exact_cents=True
+    )
+    return read_layer(spark, layout.gold, GOLD)
+
+
+QUERIES: dict[str, Query] = {
+    "align_schema": align_schema,
+    "typed_orders": _typed,
+    "drop_missing_critical": lambda s, d: drop_missing_critical(_typed(s, d)),
+    "positive_measures": lambda s, d: positive_measures(_typed(s, d)),
+    "dedup_orders": lambda s, d: dedup(
+        _typed(s, d).transform(drop_missing_critical).transform(positive_measures), ORDER_KEY
+    ),
+    "silver_orders": _silver,
+    "silver_orders_basic": lambda s, d: silver_orders_basic(star_bronze(s, d)),
+    "dq_metrics_silver": lambda s, d: silver_metrics(star_bronze(s, d)),
+    "gold_orders": _gold,
+    "gold_orders_basic": lambda s, d: gold_orders_basic(_silver(s, d), exact_cents=True),
+    "gold_having": lambda s, d: gold_having(
+        silver_orders_basic(star_bronze(s, d)), exact_cents=True
+    ),
+    "dq_metrics_gold": lambda s, d: gold_metrics(_silver(s, d)),
+    "bronze_csv_roundtrip": bronze_csv_roundtrip,
+    "silver_flat_roundtrip": lambda s, d: _written_silver(s, d, None),
+    "silver_partitioned_roundtrip": lambda s, d: _written_silver(s, d, "country"),
+    "silver_append_roundtrip": silver_append_roundtrip,
+    "gold_partitioned_roundtrip": lambda s, d: _written_gold(s, d, "country"),
+    "gold_flat_roundtrip": lambda s, d: _written_gold(s, d, None),
+    "gold_basic_roundtrip": gold_basic_roundtrip,
+    "partition_fallback": lambda s, d: _written_gold(s, d, "no_such_column"),
+    "empty_guard": empty_guard,
+    "catalog_roundtrip": catalog_roundtrip,
+    "silver_inspect": lambda s, d: silver_inspect(_silver(s, d)),
+    "gold_report": lambda s, d: gold_report(_gold(s, d)),
+    "generate_orders": generate,
+    "medallion_end_to_end": medallion_end_to_end,
+    "generated_end_to_end": generated_end_to_end,
+}
