@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import pytest
+from frames import bronze
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from assay.operators import align
+from assay.plans import silver_orders
+from assay.schemas import BRONZE
+
+
+def test_missing_becomes_null_extra_is_dropped_order_and_case_follow_the_schema(spark):
+    drifted = (
+        bronze(spark, {})
+        .drop("country")
+        .withColumnRenamed("order_id", "Order_ID")
+        .withColumn("channel", F.lit("web"))
+    )
+    drifted = drifted.select(*reversed(drifted.columns))
+    aligned = align(drifted, BRONZE)
+    assert aligned.schema == BRONZE
+    assert tuple(aligned.first()) == ("1", "2024-01-05", "101", None, "Widget A", "1", "9.99")
+
+
+def test_declared_types_are_applied(spark):
+    schema = StructType([StructField("a", IntegerType()), StructField("b", StringType())])
+    df = spark.createDataFrame([("1", 2), ("x", 3)], "a string, b int")
+    assert [tuple(r) for r in align(df, schema).collect()] == [(1, "2"), (None, "3")]
+    kept = align(df, schema, enforce_types=False)
+    assert [f.dataType.simpleString() for f in kept.schema] == ["string", "int"]
+
+
+def test_odd_names(spark):
+    schema = StructType([StructField("a.b", StringType()), StructField("c`d", StringType())])
+    df = spark.createDataFrame([("1", "2")], schema)
+    assert tuple(align(df, schema).first()) == ("1", "2")
+
+
+def test_exact_name_wins_over_other_case(spark):
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = spark.createDataFrame([("upper", "exact")], "A string, a string")
+        schema = StructType([StructField("a", StringType())])
+        assert align(df, schema).first()[0] == "exact"
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
+@pytest.mark.parametrize("missing", ["country", "product"])
+def test_silver_of_a_source_without_an_optional_column(spark, missing):
+    row = silver_orders(bronze(spark, {}).drop(missing)).first()
+    assert row[missing] is None and row["order_id"] == "1"
+
+
+def test_silver_of_a_source_without_a_critical_column_is_empty(spark):
+    assert silver_orders(bronze(spark, {}).drop("customer_id")).isEmpty()

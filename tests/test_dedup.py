@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import pytest
+from frames import bronze, plan_of
+from pyspark.sql import functions as F
+
+from assay.operators import dedup
+from assay.plans import silver_orders
+
+
+def test_same_survivor_at_any_partitioning(spark):
+    df = spark.range(4000).select(
+        (F.col("id") % 37).cast("string").alias("k"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 11).alias("a"),
+        (F.col("id") % 101).alias("b"),
+    )
+    best = {}
+    for k, a, b in df.collect():
+        order = (a is None, a or 0, b)
+        best[k] = min(best.get(k, order), order)
+    want = {(k, None if none else a, b) for k, (none, a, b) in best.items()}
+    for parts in (1, 3, 16):
+        got = [tuple(r) for r in dedup(df.repartition(parts), ["k"]).collect()]
+        assert len(got) == 37 and set(got) == want
+
+
+def test_idempotent(spark):
+    df = bronze(spark, {"quantity": "3"}, {"quantity": "2"}, {"order_id": "2"})
+    once = dedup(df, ["order_id"])
+    assert sorted(once.collect()) == sorted(dedup(once, ["order_id"]).collect())
+
+
+def test_survivor_order_can_be_given(spark):
+    df = bronze(
+        spark,
+        {"quantity": "3", "order_date": "2024-01-05"},
+        {"quantity": "2", "order_date": "2024-01-07"},
+        {"quantity": "9", "order_date": "2024-01-07"},
+    )
+    latest = silver_orders(df, survivor_order=[F.col("order_date").desc()]).first()
+    assert (str(latest["order_date"]), latest["quantity"]) == ("2024-01-07", 2)
+    assert dedup(df, ["order_id"], ["quantity"]).first()["quantity"] == "2"
+
+
+@pytest.mark.parametrize("key_type", ["bigint", "double", "date"])
+def test_other_key_types(spark, key_type):
+    source = "date_add(date'2024-01-01', cast(id % 3 as int))" if key_type == "date" else f"cast(id % 3 as {key_type})"
+    df = spark.range(30).select(F.expr(source).alias("k"), "id")
+    assert sorted(r["id"] for r in dedup(df, ["k"]).collect()) == [0, 1, 2]
+
+
+def test_equal_keys_that_differ_in_bits(spark):
+    df = spark.sql("SELECT * FROM VALUES (0.0D, 2), (-0.0D, 1) AS t(k, v)")
+    assert [r["v"] for r in dedup(df, ["k"]).collect()] == [1]
+    folded = spark.sql("SELECT k COLLATE UTF8_LCASE AS k, v FROM VALUES ('a', 2), ('A', 1) AS t(k, v)")
+    assert [r["v"] for r in dedup(folded, ["k"]).collect()] == [1]
+
+
+def test_several_keys_and_no_other_column(spark):
+    df = spark.range(20).select((F.col("id") % 2).alias("a"), (F.col("id") % 3).cast("string").alias("b"))
+    assert dedup(df, ["a", "b"]).count() == 6
+
+
+def test_null_keys_are_one_key(spark):
+    df = bronze(spark, {"order_id": None}, {"order_id": None}, {})
+    assert dedup(df, ["order_id"]).count() == 2
+
+
+def test_columns_without_an_order_pass_through(spark):
+    df = spark.sql("SELECT 'k' AS k, map('a', 1) AS m, 2 AS v UNION ALL SELECT 'k', map('b', 2), 1")
+    assert dedup(df, ["k"]).first()["m"] == {"b": 2}
+
+
+def test_one_shuffle_with_the_limit_on_both_sides(spark, tmp_path):
+    bronze(spark, {}).write.parquet(str(tmp_path / "b"))
+    plan = plan_of(silver_orders(spark.read.parquet(str(tmp_path / "b"))))
+    assert plan.count("Exchange ") == 1
+    below = plan.split("Exchange ", 1)
+    assert "Final" in below[0] and "Partial" in below[1] and "WindowGroupLimit" in below[1]
+    assert "total_amount" not in below[1]
+
+
+def test_hot_key_leaves_each_map_task_as_one_row(spark, tmp_path):
+    """A third of all rows under one id: the shuffle carries at most one of them per map task."""
+    rows, tasks = 60_000, 6
+    df = spark.range(0, rows, numPartitions=tasks).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    unique = rows - rows // 3
+    # No AQE, so that the executed plan's own metrics can be read after the run.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        result = dedup(df, ["k"])
+        assert len(result.collect()) == unique + 1
+        plan = result._jdf.queryExecution().executedPlan()
+        while "Exchange" not in plan.nodeName():
+            plan = plan.children().apply(0)
+        shuffled = plan.metrics().apply("shuffleRecordsWritten").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert shuffled == unique + tasks
