@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from frames import GOOD, bronze
+
+from assay.plans import silver_orders
+from assay.schemas import BRONZE
+from assay.sinks import land_bronze
+from assay.sinks.bronze import run_stamp
+from assay.sources import read_bronze_csv
+
+HEADER = ",".join(BRONZE.names)
+
+
+def _file(folder, name, *lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+    return str(folder)
+
+
+def test_many_files_all_text_empty_is_null(spark, tmp_path):
+    _file(tmp_path, "a.csv", HEADER, "1,2024-01-05,101,US,Widget A,3,9.99")
+    _file(tmp_path, "b.csv", HEADER, '2,2024-01-05,102,,"",4,19.99', "", "3,,,,,,")
+    df = read_bronze_csv(spark, str(tmp_path))
+    assert df.schema == BRONZE
+    rows = {r["order_id"]: tuple(r)[1:] for r in df.collect()}
+    assert rows["1"] == ("2024-01-05", "101", "US", "Widget A", "3", "9.99")
+    assert rows["2"] == ("2024-01-05", "102", None, None, "4", "19.99")
+    assert rows["3"] == (None,) * 6
+    assert df.count() == 3
+
+
+def test_short_long_and_quoted_rows(spark, tmp_path):
+    folder = _file(
+        tmp_path,
+        "a.csv",
+        HEADER,
+        "1,2024-01-05,101",
+        "2,2024-01-05,102,US,Widget A,3,9.99,surplus",
+        '3,2024-01-05,103,US,"Widget, A ""big""",3,9.99',
+    )
+    rows = {r["order_id"]: r for r in read_bronze_csv(spark, folder).collect()}
+    assert rows["1"]["country"] is None and rows["1"]["unit_price"] is None
+    assert rows["2"]["unit_price"] == "9.99"
+    assert rows["3"]["product"] == 'Widget, A "big"'
+
+
+def test_a_file_with_another_header_fails_instead_of_filling_wrong_columns(spark, tmp_path):
+    _file(tmp_path, "a.csv", HEADER, "1,2024-01-05,101,US,Widget A,3,9.99")
+    turned = ",".join(reversed(BRONZE.names))
+    _file(tmp_path, "b.csv", turned, "9.99,3,Widget A,US,101,2024-01-05,2")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bronze_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        silver_orders(read_bronze_csv(spark, str(tmp_path))).collect()
+
+
+def test_folders_with_their_own_headers(spark, tmp_path):
+    first = _file(tmp_path / "v1", "a.csv", HEADER, "1,2024-01-05,101,US,Widget A,3,9.99")
+    second = _file(
+        tmp_path / "v2",
+        "a.csv",
+        "unit_price,Order_ID,order_date,customer_id,channel,quantity",
+        "19.99,2,2024-01-06,102,web,4",
+    )
+    rows = {r["order_id"]: tuple(r)[1:] for r in read_bronze_csv(spark, first, second).collect()}
+    assert rows == {
+        "1": ("2024-01-05", "101", "US", "Widget A", "3", "9.99"),
+        "2": ("2024-01-06", "102", None, None, "4", "19.99"),
+    }
+
+
+def test_no_path():
+    with pytest.raises(ValueError):
+        read_bronze_csv(None)
+
+
+def test_runs_add_up_and_are_never_overwritten(spark, tmp_path):
+    target = str(tmp_path / "orders")
+    first = land_bronze(bronze(spark, {}), target, "20240105_101112")
+    land_bronze(bronze(spark, {"order_id": "2"}), target, "20240106_101112")
+    assert first.endswith("/run=20240105_101112")
+    land_bronze(bronze(spark, {"order_id": "3"}), target, "20240106_101112")
+    df = read_bronze_csv(spark, target)
+    assert df.schema == BRONZE
+    assert sorted(r["order_id"] for r in df.collect()) == ["1", "2", "3"]
+    assert df.count() == 3
+
+
+def test_stamp():
+    assert run_stamp(dt.datetime(2024, 1, 5, 10, 11, 12)) == "20240105_101112"
+
+
+@pytest.mark.parametrize(
+    "text", [" padded ", 'say "hi"', "a,b", "back\\slash", 'ends in \\', '"', "O'Neil", "Ünïcode", "#1", "\ttab"]
+)
+def test_values_come_back_as_they_were(spark, tmp_path, text):
+    target = str(tmp_path / "orders")
+    land_bronze(bronze(spark, {"product": text}, {"order_id": "#2", "country": text}), target)
+    rows = {r["order_id"]: r.asDict() for r in read_bronze_csv(spark, target).collect()}
+    assert rows["1"] == {**GOOD, "product": text}
+    assert rows["#2"] == {**GOOD, "order_id": "#2", "country": text}
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    target = str(tmp_path / "orders")
+    land_bronze(bronze(spark, {"product": "two\nlines"}, {"order_id": "2"}), target)
+    rows = {r["order_id"]: r for r in read_bronze_csv(spark, target, multi_line=True).collect()}
+    assert rows["1"]["product"] == "two\nlines" and len(rows) == 2

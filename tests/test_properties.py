@@ -1,0 +1,82 @@
+"""Random small bronze against the rules written out in plain Python."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from assay.operators import silver_metrics
+from assay.plans import gold_orders, silver_orders
+from assay.schemas import BRONZE
+
+DATES = {"2024-01-05": dt.date(2024, 1, 5), "2024-1-6": dt.date(2024, 1, 6), "x": None, None: None}
+QUANTITIES = {"1": 1, "2.9": 2, " 7 ": 7, "0": 0, "-4": -4, "many": None, None: None}
+PRICES = {"9.99": 9.99, "0.10": 0.1, "0": 0.0, "-1": -1.0, "free": None, None: None}
+
+orders = st.tuples(
+    st.sampled_from(["1", "2", "3", "", None]),
+    st.sampled_from(list(DATES)),
+    st.sampled_from(["7", "8", None]),
+    st.sampled_from(["US", "CA", None]),
+    st.sampled_from(["A", "B", None]),
+    st.sampled_from(list(QUANTITIES)),
+    st.sampled_from(list(PRICES)),
+)
+
+
+def _last_if_none(value):
+    return (value is None, value if value is not None else 0)
+
+
+def expected_silver(rows):
+    kept = {}
+    for order_id, date, customer, country, product, quantity, price in rows:
+        date, quantity, price = DATES[date], QUANTITIES[quantity], PRICES[price]
+        if None in (order_id, date, customer) or not (quantity or 0) > 0 or not (price or 0) > 0:
+            continue
+        row = (date, customer, country, product, quantity, price)
+        order = (date, customer, *map(str, _last_if_none(country)), *map(str, _last_if_none(product)))
+        kept[order_id] = min(kept.get(order_id, ((*order, quantity, price), row)), ((*order, quantity, price), row))
+    return {(order_id, *row, row[4] * row[5]) for order_id, (_, row) in kept.items()}
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(orders, min_size=1, max_size=40), parts=st.integers(1, 5))
+def test_silver_and_gold(spark, rows, parts):
+    df = spark.createDataFrame(rows, BRONZE).repartition(parts)
+    silver = silver_orders(df)
+    want = expected_silver(rows)
+    got = [tuple(r) for r in silver.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+    counts = silver_metrics(df).first()
+    assert tuple(counts) == (len(rows), len(want), len(rows) - len(want))
+
+    totals = {}
+    for _, date, _, country, product, quantity, price, _ in want:
+        if None not in (country, product):
+            totals.setdefault((date, country, product), []).append((quantity, round(price * 100)))
+    expected = {
+        (*key, sum(q for q, _ in group), sum(q * c for q, c in group) / 100, sum(c for _, c in group) / 100 / len(group))
+        for key, group in totals.items()
+    }
+    assert {tuple(r) for r in gold_orders(silver, exact_cents=True).collect()} == expected
+
+
+def test_gold_adds_up_to_silver(spark):
+    """Quantities over non-null keys are the same before and after the rollup."""
+    df = spark.range(5000).select(
+        (F.col("id") % 3000).cast("string").alias("order_id"),
+        F.lit("2024-01-05").alias("order_date"),
+        F.lit("7").alias("customer_id"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("country"),
+        F.when(F.col("id") % 11 != 0, "A").alias("product"),
+        (F.col("id") % 9).cast("string").alias("quantity"),
+        F.lit("1.25").alias("unit_price"),
+    )
+    silver = silver_orders(df)
+    keyed = silver.filter("country IS NOT NULL AND product IS NOT NULL")
+    assert gold_orders(silver).agg(F.sum("total_quantity")).first() == keyed.agg(F.sum("quantity")).first()
