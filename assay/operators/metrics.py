@@ -26,15 +26,23 @@ GROUP_ROWS = "group_rows"
 def silver_metrics(bronze: DataFrame, *, reject_non_finite: bool = False) -> DataFrame:
     """One row: ``raw_rows``, ``clean_rows`` and ``removed_rows`` of bronze to silver.
 
-    Silver has one row for each id that has a valid row, so the clean count is a distinct count of
-    ids: only ids are shuffled, already distinct within each map task.
+    Silver has one row for each id that has a valid row, so the clean count is the number of such ids.
+    Rows are counted per id first, invalid ones under null: that sums a hot id within each map task
+    and is faster than a distinct count, which plans more aggregates over the same keys.
     """
     valid = critical_present() & measures_positive(reject_non_finite=reject_non_finite)
-    counts = cast_orders(align(bronze, BRONZE, enforce_types=False)).agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_distinct(F.when(valid, F.col("order_id"))).alias("clean_rows"),
+    per_id = (
+        cast_orders(align(bronze, BRONZE, enforce_types=False))
+        .groupBy(F.when(valid, F.col("order_id")).alias("valid_id"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    raw_rows = F.coalesce(F.sum("rows"), F.lit(0))
+    clean_rows = F.count("valid_id")
+    return per_id.agg(
+        raw_rows.alias("raw_rows"),
+        clean_rows.alias("clean_rows"),
+        (raw_rows - clean_rows).alias("removed_rows"),
     )
-    return counts.withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows"))
 
 
 def group_rows() -> Column:
