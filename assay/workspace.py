@@ -20,14 +20,25 @@ def _single_machine_folder() -> str:
     return folder
 
 
-def new_folder(spark: SparkSession) -> str:
-    """A folder of its own below the one that ``spark.checkpoint.dir`` names.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Every node must see it, so a temporary folder of this machine serves only in local mode.
     """
     base = spark.conf.get(SHARED_FOLDER, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all nodes share")
-        base = _single_machine_folder()
-    return f"{base.rstrip('/')}/assay-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    if spark.conf.get("spark.master", "").startswith("local"):
+        return _single_machine_folder()
+    raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all nodes share")
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, deleted when the driver's JVM ends in good order."""
+    folder = f"{shared_base(spark)}/assay-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    file_system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    file_system.mkdirs(path)
+    file_system.deleteOnExit(path)
+    return folder

@@ -21,7 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
-        .config("spark.checkpoint.dir", str(scratch / "shared"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from assay.cluster import session_settings
-from assay.workspace import new_folder
+from assay.workspace import new_folder, shared_base
 
 
 class FakeSession:
@@ -17,19 +19,24 @@ class FakeSession:
         return self.settings.get(key, default)
 
 
-def test_shared_folder_of_the_session_is_used(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
+def test_folders_are_new_and_below_the_shared_one(spark):
     first, second = new_folder(spark), new_folder(spark)
-    assert first.startswith(shared + "/") and first != second
+    assert first != second
+    assert first.startswith(shared_base(spark) + "/") and Path(first).is_dir()
+
+
+def test_the_folder_the_cluster_names_is_used():
+    named = FakeSession(spark_checkpoint_dir="hdfs:///shared/", spark_master="yarn")
+    assert shared_base(named) == "hdfs:///shared"
 
 
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        new_folder(FakeSession(spark_master="yarn"))
+        shared_base(FakeSession(spark_master="yarn"))
 
 
 def test_local_mode_without_shared_folder():
-    assert "assay-" in new_folder(FakeSession(spark_master="local[2]"))
+    assert Path(shared_base(FakeSession(spark_master="local[2]"))).is_dir()
 
 
 def test_settings_grow_with_the_data():
