@@ -2,28 +2,41 @@
 
 from __future__ import annotations
 
-MIB = 1024 * 1024
-_SHUFFLE_PARTITION = 256 * MIB
+from math import isqrt
+
+KIB, MIB, GIB = 2**10, 2**20, 2**30
+
+# Bounds of what one task reads, shuffles or writes.
+_SHUFFLE_BLOCK = 64 * KIB
+_SMALLEST_PIECE = 128 * MIB
+_LARGEST_PIECE = 2 * GIB
+_LARGEST_SPLIT = GIB
+_LARGEST_FILE = 512 * MIB
 
 
 def session_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for jobs over ``input_bytes`` of stored data on ``cores`` executor cores.
 
     Adaptive execution merges shuffle partitions that are too small but does not split those of an
-    aggregate or a window, so their number must fit the largest shuffle from the start: here one
-    partition per 256 MiB of input, at least one per core.
+    aggregate or a window, so their number must fit the largest shuffle from the start.
+
+    A shuffle cuts the output of each of M map tasks into R blocks. With pieces of a fixed size both
+    numbers grow with the data, and the blocks shrink until reading them is all seeks: at 100 TB in
+    pieces of 128 MiB a block holds 180 bytes. So pieces grow with the square root of the data, which
+    keeps a block near 64 KiB, up to what a task sorts with little spilling.
     """
-    partitions = max(cores, -(-input_bytes // _SHUFFLE_PARTITION))
+    piece = min(max(isqrt(input_bytes * _SHUFFLE_BLOCK), _SMALLEST_PIECE), _LARGEST_PIECE)
+    partitions = max(cores, -(-input_bytes // piece))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Output of a rebalanced write: files of about this much shuffled data.
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
-        # Merge towards the advisory size once there is more than one such piece per core.
+        # Merging aims at this size, and a rebalanced write at files of about this much shuffled data.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(piece, _LARGEST_FILE)),
+        # Without a piece for every core, keep all cores busy instead of merging up to that size.
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(
-            input_bytes < cores * 128 * MIB
+            input_bytes < cores * piece
         ).lower(),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(128 * MIB if input_bytes < 2**40 else 256 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(min(piece, _LARGEST_SPLIT)),
         "spark.sql.session.timeZone": "UTC",
     }

@@ -1,8 +1,10 @@
 from assay.plans.gold import gold_having, gold_orders, gold_orders_basic
-from assay.plans.medallion import StageFailed, StageResult, run_medallion
 from assay.plans.medallion import (
+    StageFailed,
+    StageResult,
     bronze_to_silver,
     bronze_to_silver_basic,
+    run_medallion,
     silver_to_gold,
     silver_to_gold_basic,
 )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from assay.operators import gold_rules, rollup
 from assay.operators.metrics import count_groups, group_rows
@@ -15,6 +16,7 @@ from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
 from assay.schemas import GOLD, SILVER, Layout
 from assay.sinks import (
     SKIPPED_EMPTY,
+    WRITTEN,
     WriteResult,
     append_layer,
     land_bronze,
@@ -124,7 +126,7 @@ def silver_to_gold_basic(
     """Overwrite gold with the basic rollup, empty or not."""
     gold = gold_orders_basic(silver, exact_cents=exact_cents)
     gold.write.mode("overwrite").option("compression", "snappy").parquet(target)
-    return StageResult("silver_to_gold_basic", WriteResult("written", target))
+    return StageResult("silver_to_gold_basic", WriteResult(WRITTEN, target))
 
 
 def _stage(name: str, run: Callable[[], StageResult]) -> StageResult:
@@ -153,7 +155,7 @@ def run_medallion(
     ``gold_orders``.
     """
 
-    def register(table: str, result: StageResult, schema) -> None:
+    def register(table: str, result: StageResult, schema: StructType) -> None:
         if database is None or result.write.status == SKIPPED_EMPTY:
             return
         register_table(
@@ -166,7 +168,7 @@ def run_medallion(
 
     def ingest() -> StageResult:
         folder = land_bronze(incoming, layout.bronze, stamp)
-        return StageResult("ingest", WriteResult("written", folder))
+        return StageResult("ingest", WriteResult(WRITTEN, folder))
 
     def to_silver() -> StageResult:
         result = bronze_to_silver(

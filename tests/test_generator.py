@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from frames import plan_of
 from pyspark.sql import functions as F
 
 from assay.functions import hash_pick
@@ -52,6 +53,11 @@ def test_seed_and_start(spark):
     assert first[100:] == tail
 
 
+def test_only_the_key_is_read(spark):
+    keys = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan_of(fill_orders(keys, "o_orderkey"))
+
+
 def test_all_generated_orders_are_valid(spark):
     df = generate_orders(spark, 300, as_of_date=DAY)
     assert silver_orders(df).count() == 300

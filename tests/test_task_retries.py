@@ -1,0 +1,60 @@
+"""Counts and rows of a write whose tasks fail and run again."""
+
+from __future__ import annotations
+
+import json
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import json, sys
+sys.path.insert(0, {repo!r})
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from assay.plans import bronze_to_silver, silver_to_gold
+from assay.schemas import GOLD, SILVER
+from assay.sources import generate_orders, read_layer
+
+spark = (
+    SparkSession.builder.master("local[2,4]")
+    .config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "4")
+    .config("spark.sql.warehouse.dir", {folder!r} + "/warehouse")
+    .getOrCreate()
+)
+
+
+def lose_first_attempts(batches):
+    lost = TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() % 2 == 0
+    for batch in batches:
+        yield batch
+    if lost:
+        raise RuntimeError("lost")
+
+
+orders = generate_orders(spark, 1000)
+bronze = orders.union(orders).repartition(4).mapInArrow(lose_first_attempts, orders.schema)
+silver = bronze_to_silver(bronze, {folder!r} + "/silver", partition_by="country", metrics=True)
+kept = read_layer(spark, {folder!r} + "/silver", SILVER)
+shaky = kept.mapInArrow(lose_first_attempts, kept.schema)
+gold = silver_to_gold(shaky, {folder!r} + "/gold", metrics=True)
+total = read_layer(spark, {folder!r} + "/gold", GOLD).agg(F.sum("total_quantity")).first()[0]
+print(json.dumps([silver.metrics, gold.metrics, kept.count(), total, kept.agg(F.sum("quantity")).first()[0]]))
+"""
+
+
+def test_rerun_tasks_change_nothing(tmp_path):
+    repo = str(Path(__file__).resolve().parent.parent)
+    script = tmp_path / "run.py"
+    script.write_text(SCRIPT.format(repo=repo, folder=str(tmp_path)))
+    run = subprocess.run(
+        [sys.executable, str(script)], capture_output=True, text=True, timeout=300, check=False
+    )
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert "lost" in run.stderr
+    silver, gold, rows, gold_quantity, silver_quantity = json.loads(run.stdout.splitlines()[-1])
+    assert silver == {"raw_rows": 2000, "clean_rows": 1000, "removed_rows": 1000}
+    assert rows == 1000 and gold["silver_rows"] == 1000
+    assert gold["gold_rows"] == gold["gold_clean_rows"] == 9
+    assert gold_quantity == silver_quantity

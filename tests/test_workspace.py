@@ -39,9 +39,21 @@ def test_local_mode_without_shared_folder():
     assert Path(shared_base(FakeSession(spark_master="local[2]"))).is_dir()
 
 
-def test_settings_grow_with_the_data():
-    small, large = session_settings(10**7, 8), session_settings(10**14, 4000)
-    assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) * 256 * 2**20 >= 10**14
-    assert large["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
-    assert small["spark.sql.adaptive.enabled"] == "true"
+@pytest.mark.parametrize("input_bytes", [10**7, 10**10, 10**12, 10**14])
+def test_shuffle_blocks_and_partitions_stay_of_a_workable_size(input_bytes):
+    settings = session_settings(input_bytes, 1000)
+    partitions = int(settings["spark.sql.shuffle.partitions"])
+    split = int(settings["spark.sql.files.maxPartitionBytes"])
+    assert 1000 <= partitions <= 100_000
+    assert input_bytes / partitions <= 2 * 2**30
+    if input_bytes >= 10**12:
+        assert split / partitions >= 16 * 2**10
+    # One map task for each core at least, once there is data for it.
+    assert split * 1000 <= max(input_bytes, 1000 * 128 * 2**20)
+
+
+def test_settings_of_small_data():
+    settings = session_settings(10**7, 8)
+    assert settings["spark.sql.shuffle.partitions"] == "8"
+    assert settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "true"
+    assert settings["spark.sql.adaptive.enabled"] == "true"
