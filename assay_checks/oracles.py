@@ -96,6 +96,10 @@ def _with(final: str, bronze: str = BRONZE) -> str:
 
 _D = "SELECT * FROM gold_clean"
 _S = "SELECT * FROM silver"
+_REPORT = (
+    "SELECT order_date, country, product, total_quantity, total_revenue FROM gold_clean"
+    " ORDER BY order_date, country, product"
+)
 
 ORACLES: dict[str, str] = {
     "align_schema": _with(
@@ -143,10 +147,8 @@ ORACLES: dict[str, str] = {
     "empty_guard": _with(_D),
     "catalog_roundtrip": _with(_S),
     "silver_inspect": _with("SELECT * FROM silver ORDER BY order_id LIMIT 10"),
-    "gold_report": _with(
-        "SELECT order_date, country, product, total_quantity, total_revenue FROM gold_clean"
-        " ORDER BY order_date, country, product"
-    ),
+    "gold_report": _with(_REPORT),
+    "catalog_sql_report": _with(_REPORT),
     "generate_orders": GENERATED,
     "medallion_end_to_end": _with(_D),
     "generated_end_to_end": _with(_D, bronze=GENERATED),

@@ -37,7 +37,7 @@ from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
 from assay.sinks import land_bronze, register_table
 from assay.sources import fill_orders, read_bronze_csv, read_layer, read_table
 from assay.workspace import new_folder
-from checks.star_bronze import star_bronze
+from assay_checks.star_bronze import star_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,15 +114,19 @@ def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout.gold, GOLD)
 
 
+def _table_name(spark: SparkSession, layer: str) -> str:
+    """A new name in the checks' database: an earlier result may still be read from its own table."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{new_folder(spark)}'")
+    return f"{DATABASE}.{layer}_{uuid.uuid4().hex}"
+
+
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver both registered and read back by name."""
     layout = Layout(new_folder(spark))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{layout.base}'")
-    run = uuid.uuid4().hex
     land_bronze(star_bronze(spark, sf_dir), layout.bronze)
     bronze = register_table(
         spark,
-        f"{DATABASE}.bronze_orders_{run}",
+        _table_name(spark, "bronze_orders"),
         layout.bronze,
         StructType([*BRONZE, StructField("run", StringType())]),
         partition_by="run",
@@ -130,11 +134,26 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bronze_to_silver(read_table(spark, bronze, BRONZE), layout.silver, partition_by="country")
     silver = register_table(
-        spark, f"{DATABASE}.silver_orders_{run}", layout.silver, SILVER, partition_by="country"
+        spark, _table_name(spark, "silver_orders"), layout.silver, SILVER, partition_by="country"
     )
     return read_table(spark, silver, SILVER)
 
 
+def catalog_sql_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue report as SQL text over a registered gold table."""
+    layout = Layout(new_folder(spark))
+    silver_to_gold(
+        _silver(spark, sf_dir), layout.gold, partition_by="order_date", exact_cents=True
+    )
+    gold = register_table(
+        spark, _table_name(spark, "gold_orders"), layout.gold, GOLD, partition_by="order_date"
+    )
+    return spark.sql(
+        "SELECT order_date, country, product, total_quantity, total_revenue"
+        f" FROM {gold} ORDER BY order_date, country, product"
+    )
+
+
 def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout(new_folder(spark))
     run_medallion(
@@ -190,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "partition_fallback": lambda s, d: _written_gold(s, d, "no_such_column"),
     "empty_guard": empty_guard,
     "catalog_roundtrip": catalog_roundtrip,
+    "catalog_sql_report": catalog_sql_report,
     "silver_inspect": lambda s, d: silver_inspect(_silver(s, d)),
     "gold_report": lambda s, d: gold_report(_gold(s, d)),
     "generate_orders": generate,

@@ -33,7 +33,7 @@ from assay.schemas import BRONZE, CRITICAL_FIELDS, GOLD, ORDER_KEY, ROLLUP_KEYS,
 from assay.sinks import land_bronze
 from assay.sources import read_bronze_csv, read_layer
 from assay.workspace import new_folder
-from checks.star_bronze import star_bronze
+from assay_checks.star_bronze import star_bronze
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))

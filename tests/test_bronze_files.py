@@ -94,7 +94,8 @@ def test_stamp():
 
 
 @pytest.mark.parametrize(
-    "text", [" padded ", 'say "hi"', "a,b", "back\\slash", 'ends in \\', '"', "O'Neil", "Ünïcode", "#1", "\ttab"]
+    "text",
+    [" padded ", 'say "hi"', "a,b", "back\\slash", "ends in \\", '"', "O'Neil", "Ünïcode", "#1", "\ttab"],
 )
 def test_values_come_back_as_they_were(spark, tmp_path, text):
     target = str(tmp_path / "orders")

@@ -44,8 +44,9 @@ def test_survivor_order_can_be_given(spark):
 
 @pytest.mark.parametrize("key_type", ["bigint", "double", "date"])
 def test_other_key_types(spark, key_type):
-    source = "date_add(date'2024-01-01', cast(id % 3 as int))" if key_type == "date" else f"cast(id % 3 as {key_type})"
-    df = spark.range(30).select(F.expr(source).alias("k"), "id")
+    number = F.col("id") % 3
+    key = F.date_add(F.lit("2024-01-01"), number.cast("int")) if key_type == "date" else number
+    df = spark.range(30).select(key.cast(key_type).alias("k"), "id")
     assert sorted(r["id"] for r in dedup(df, ["k"]).collect()) == [0, 1, 2]
 
 

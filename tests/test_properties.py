@@ -38,8 +38,9 @@ def expected_silver(rows):
         if None in (order_id, date, customer) or not (quantity or 0) > 0 or not (price or 0) > 0:
             continue
         row = (date, customer, country, product, quantity, price)
-        order = (date, customer, *map(str, _last_if_none(country)), *map(str, _last_if_none(product)))
-        kept[order_id] = min(kept.get(order_id, ((*order, quantity, price), row)), ((*order, quantity, price), row))
+        names = [str(part) for name in (country, product) for part in _last_if_none(name)]
+        candidate = ((date, customer, *names, quantity, price), row)
+        kept[order_id] = min(kept.get(order_id, candidate), candidate)
     return {(order_id, *row, row[4] * row[5]) for order_id, (_, row) in kept.items()}
 
 
@@ -59,10 +60,12 @@ def test_silver_and_gold(spark, rows, parts):
     for _, date, _, country, product, quantity, price, _ in want:
         if None not in (country, product):
             totals.setdefault((date, country, product), []).append((quantity, round(price * 100)))
-    expected = {
-        (*key, sum(q for q, _ in group), sum(q * c for q, c in group) / 100, sum(c for _, c in group) / 100 / len(group))
-        for key, group in totals.items()
-    }
+    expected = set()
+    for key, group in totals.items():
+        quantity = sum(q for q, _ in group)
+        revenue = sum(q * cents for q, cents in group) / 100
+        mean_price = sum(cents for _, cents in group) / 100 / len(group)
+        expected.add((*key, quantity, revenue, mean_price))
     assert {tuple(r) for r in gold_orders(silver, exact_cents=True).collect()} == expected
 
 
