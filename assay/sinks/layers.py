@@ -61,7 +61,8 @@ def write_layer(
         logger.warning("No rows for %s, skipping the write.", target)
         return WriteResult(SKIPPED_EMPTY, target, tuple(partition_cols), 0 if count_rows else None)
 
-    if partition_cols and rebalance and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    if partition_cols and rebalance and adaptive:
         df = df.hint("rebalance", *[F.col(name) for name in partition_cols])
     observation = Observation() if count_rows else None
     if observation is not None:

@@ -56,6 +56,15 @@ def test_silver_rows(edge):
     assert rows["18"]["product"] is None
 
 
+def test_same_rows_without_ansi(spark, edge):
+    want = sorted(map(str, silver_orders(edge).collect()))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert sorted(map(str, silver_orders(edge).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_silver_schema(edge):
     assert [(f.name, f.dataType) for f in silver_orders(edge).schema] == [
         (f.name, f.dataType) for f in SILVER
