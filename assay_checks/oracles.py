@@ -80,7 +80,7 @@ for _column in ("customer_id", "country", "product", "quantity", "unit_price"):
     )
 
 
-def _with(final: str, bronze: str = BRONZE) -> str:
+def with_stages(final: str, bronze: str = BRONZE) -> str:
     stages = {
         "bronze": bronze,
         "typed": TYPED,
@@ -102,54 +102,54 @@ _REPORT = (
 )
 
 ORACLES: dict[str, str] = {
-    "align_schema": _with(
+    "align_schema": with_stages(
         "SELECT order_id, order_date, customer_id, CAST(NULL AS VARCHAR) AS country, product,"
         " quantity, unit_price FROM bronze"
     ),
-    "typed_orders": _with("SELECT * FROM typed"),
-    "drop_missing_critical": _with("SELECT * FROM basic"),
-    "positive_measures": _with("SELECT * FROM typed WHERE quantity > 0 AND unit_price > 0.0"),
-    "dedup_orders": _with(_S),
-    "silver_orders": _with(_S),
-    "silver_orders_basic": _with("SELECT * FROM basic"),
-    "dq_metrics_silver": _with(
+    "typed_orders": with_stages("SELECT * FROM typed"),
+    "drop_missing_critical": with_stages("SELECT * FROM basic"),
+    "positive_measures": with_stages("SELECT * FROM typed WHERE quantity > 0 AND unit_price > 0.0"),
+    "dedup_orders": with_stages(_S),
+    "silver_orders": with_stages(_S),
+    "silver_orders_basic": with_stages("SELECT * FROM basic"),
+    "dq_metrics_silver": with_stages(
         "SELECT raw_rows, clean_rows, raw_rows - clean_rows AS removed_rows FROM"
         " (SELECT (SELECT count(*) FROM bronze) AS raw_rows,"
         " (SELECT count(*) FROM silver) AS clean_rows) c"
     ),
-    "gold_orders": _with(_D),
-    "gold_orders_basic": _with(
+    "gold_orders": with_stages(_D),
+    "gold_orders_basic": with_stages(
         "SELECT order_date, country, product, CAST(sum(quantity) AS BIGINT) AS total_quantity,"
         " CAST(sum(CAST(quantity * unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue"
         " FROM silver GROUP BY order_date, country, product"
     ),
-    "gold_having": _with(
+    "gold_having": with_stages(
         f"SELECT * FROM ({_rollup('basic')}) g WHERE total_quantity >= 0 AND total_revenue >= 0.0"
     ),
-    "dq_metrics_gold": _with(
+    "dq_metrics_gold": with_stages(
         "SELECT (SELECT count(*) FROM silver) AS silver_rows,"
         " (SELECT count(*) FROM gold) AS gold_rows,"
         " (SELECT count(*) FROM gold_clean) AS gold_clean_rows"
     ),
-    "bronze_csv_roundtrip": _with(
+    "bronze_csv_roundtrip": with_stages(
         "SELECT order_id, order_date, customer_id, country, product, quantity,"
         " NULLIF(unit_price, '') AS unit_price FROM bronze"
     ),
-    "silver_flat_roundtrip": _with(_S),
-    "silver_partitioned_roundtrip": _with(_S),
-    "silver_append_roundtrip": _with("SELECT * FROM basic UNION ALL SELECT * FROM basic"),
-    "gold_partitioned_roundtrip": _with(_D),
-    "gold_flat_roundtrip": _with(_D),
-    "gold_basic_roundtrip": _with(
+    "silver_flat_roundtrip": with_stages(_S),
+    "silver_partitioned_roundtrip": with_stages(_S),
+    "silver_append_roundtrip": with_stages("SELECT * FROM basic UNION ALL SELECT * FROM basic"),
+    "gold_partitioned_roundtrip": with_stages(_D),
+    "gold_flat_roundtrip": with_stages(_D),
+    "gold_basic_roundtrip": with_stages(
         "SELECT order_date, country, product, total_quantity, total_revenue FROM gold"
     ),
-    "partition_fallback": _with(_D),
-    "empty_guard": _with(_D),
-    "catalog_roundtrip": _with(_S),
-    "silver_inspect": _with("SELECT * FROM silver ORDER BY order_id LIMIT 10"),
-    "gold_report": _with(_REPORT),
-    "catalog_sql_report": _with(_REPORT),
+    "partition_fallback": with_stages(_D),
+    "empty_guard": with_stages(_D),
+    "catalog_roundtrip": with_stages(_S),
+    "silver_inspect": with_stages("SELECT * FROM silver ORDER BY order_id LIMIT 10"),
+    "gold_report": with_stages(_REPORT),
+    "catalog_sql_report": with_stages(_REPORT),
     "generate_orders": GENERATED,
-    "medallion_end_to_end": _with(_D),
-    "generated_end_to_end": _with(_D, bronze=GENERATED),
+    "medallion_end_to_end": with_stages(_D),
+    "generated_end_to_end": with_stages(_D, bronze=GENERATED),
 }
