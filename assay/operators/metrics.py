@@ -1,7 +1,8 @@
 """Row counts before and after the quality rules, each from one pass over its input.
 
-The counts are ordinary aggregates. Counters kept beside the job (observed metrics, accumulators) in
-a stage that ends in a shuffle count again the tasks rerun after a lost executor.
+The counts are ordinary aggregates. Counters kept beside the job (observed metrics, accumulators)
+count again what is rerun after a lost executor, if their stage ends in a shuffle, and reach the
+driver by listener events, which a busy driver may drop.
 """
 
 from __future__ import annotations

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from assay.operators import gold_rules, rollup
+from assay.operators import gold_rules, rollup, silver_metrics
 from assay.operators.metrics import count_groups, group_rows
 from assay.plans.gold import gold_orders, gold_orders_basic
 from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
@@ -49,31 +49,39 @@ def bronze_to_silver(
     *,
     partition_by: str | None = None,
     partition_overwrite: str = "static",
+    survivor_order: Sequence[str | Column] = (),
     reject_non_finite: bool = False,
     metrics: bool = False,
 ) -> StageResult:
     """Write silver: one full pass over bronze and one probe that stops at the first valid row.
 
-    ``metrics`` adds a count of bronze, which parses no column (for Parquet it reads footers only);
-    the clean count comes out of the write.
+    ``metrics`` adds a count of bronze, which parses no column, and one of the target as written: for
+    Parquet both read footers only. After a dynamic overwrite the target holds older partitions too,
+    so there the counts are taken from bronze, in a pass that shuffles ids alone.
     """
-    raw_rows = bronze.count() if metrics else 0
     write = write_layer(
-        silver_orders(bronze, reject_non_finite=reject_non_finite),
+        silver_orders(
+            bronze, survivor_order=survivor_order, reject_non_finite=reject_non_finite
+        ),
         target,
         partition_by=partition_by,
         partition_overwrite=partition_overwrite,
         # Choosing among duplicates cannot empty a set that is not empty.
         probe=valid_orders(bronze, reject_non_finite=reject_non_finite),
-        count_rows=metrics,
     )
     counts = {}
-    if metrics:
+    if metrics and write.partition_by and partition_overwrite == "dynamic":
+        counts = silver_metrics(bronze, reject_non_finite=reject_non_finite).first().asDict()
+    elif metrics:
+        written = write.status == WRITTEN
+        raw_rows = bronze.count()
+        clean_rows = read_layer(bronze.sparkSession, target, SILVER).count() if written else 0
         counts = {
             "raw_rows": raw_rows,
-            "clean_rows": write.rows,
-            "removed_rows": raw_rows - write.rows,
+            "clean_rows": clean_rows,
+            "removed_rows": raw_rows - clean_rows,
         }
+    if counts:
         logger.info("bronze to silver: %s", counts)
     return StageResult("bronze_to_silver", write, counts)
 

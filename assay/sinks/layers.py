@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
@@ -16,12 +16,11 @@ SKIPPED_EMPTY = "skipped_empty"
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write did; ``rows`` is None unless counting was asked for."""
+    """What a write did, and the partition column it settled on."""
 
     status: str
     target: str
     partition_by: tuple[str, ...] = ()
-    rows: int | None = None
 
 
 def resolve_partition(df: DataFrame, name: str | None) -> list[str]:
@@ -42,7 +41,6 @@ def write_layer(
     compression: str = "snappy",
     probe: DataFrame | None = None,
     rebalance: bool = True,
-    count_rows: bool = False,
 ) -> WriteResult:
     """Write ``df`` as Parquet, unless it has no rows: then leave the old target as it is.
 
@@ -51,33 +49,24 @@ def write_layer(
     A partitioned write is rebalanced by its partition column first: adaptive execution merges small
     partitions and splits one that holds much of the data over many tasks, each writing its own file.
     Without adaptive execution nothing would split it, so the rows stay where they are.
-
-    ``count_rows`` counts in the write's own pass. The counter sits after the last shuffle, in the
-    stage that writes, where the result of each task is taken once even if the task ran twice.
     """
     spark = df.sparkSession
     partition_cols = resolve_partition(df, partition_by) if partition_by is not None else []
     if (df if probe is None else probe).isEmpty():
         logger.warning("No rows for %s, skipping the write.", target)
-        return WriteResult(SKIPPED_EMPTY, target, tuple(partition_cols), 0 if count_rows else None)
+        return WriteResult(SKIPPED_EMPTY, target, tuple(partition_cols))
 
     adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
     if partition_cols and rebalance and adaptive:
         df = df.hint("rebalance", *[F.col(name) for name in partition_cols])
-    observation = Observation() if count_rows else None
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-
     writer = df.write.mode(mode).option("compression", compression)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", partition_overwrite)
     writer.parquet(target)
-
-    rows = None if observation is None else observation.get["rows"]
     logger.info("Wrote %s", target)
-    return WriteResult(WRITTEN, target, tuple(partition_cols), rows)
+    return WriteResult(WRITTEN, target, tuple(partition_cols))
 
 
 def append_layer(df: DataFrame, target: str) -> WriteResult:

@@ -87,6 +87,27 @@ def test_an_empty_batch_leaves_the_old_layers(spark, tmp_path):
     assert read_layer(spark, target, SILVER).count() == 1
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("partition_by", [None, "country"])
+def test_silver_counts_are_of_this_run(spark, tmp_path, mode, partition_by):
+    target = str(tmp_path / "silver")
+    options = {"partition_by": partition_by, "partition_overwrite": mode, "metrics": True}
+    old = bronze(spark, {"country": "CA"}, {"order_id": "2"}, {"order_id": "3"})
+    assert bronze_to_silver(old, target, **options).metrics["clean_rows"] == 3
+    new = bronze(spark, {"order_id": "4"}, {"order_id": "4"}, {"order_id": "5", "quantity": "0"})
+    result = bronze_to_silver(new, target, **options)
+    assert result.metrics == {"raw_rows": 3, "clean_rows": 1, "removed_rows": 2}
+    kept_old_country = mode == "dynamic" and partition_by is not None
+    assert read_layer(spark, target, SILVER).count() == (2 if kept_old_country else 1)
+
+
+def test_survivor_order_of_the_job(spark, tmp_path):
+    target = str(tmp_path / "silver")
+    source = bronze(spark, {"quantity": "1"}, {"quantity": "8"})
+    bronze_to_silver(source, target, survivor_order=[F.col("quantity").desc()])
+    assert read_layer(spark, target, SILVER).first()["quantity"] == 8
+
+
 @pytest.mark.parametrize("metrics", [False, True])
 def test_gold_job(spark, tmp_path, metrics):
     target = str(tmp_path / "gold")
