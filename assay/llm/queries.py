@@ -4,14 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assay.llm import bpe
 from assay.llm.mixing import mix
 from assay.llm.text import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANK_FILE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.encode(docs, path, offsets=False).drop("text")
+    return bpe.decode(tokens, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
@@ -27,5 +45,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
 }
