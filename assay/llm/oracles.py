@@ -2,6 +2,51 @@
 
 from __future__ import annotations
 
+OP8 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+tokens AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+  SELECT r, i, w[i : i + 2] AS win FROM tokens, unnest(range(1, len(w) - 1)) AS t(i)),
+twins AS (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows),
+covered AS (
+  SELECT r, count(DISTINCT i + o) AS n_repeat_words FROM twins, unnest([0, 1, 2]) AS t(o)
+  WHERE n > 1 GROUP BY r),
+lines AS (
+  SELECT r, i, l, rtrim(l, ' ') AS b
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM docs)),
+judged AS (
+  SELECT *, length(b) - length(replace(b, ' ', '')) + 1 AS weight FROM lines),
+passed AS (
+  SELECT r, l, min(i) AS i FROM judged
+  WHERE length(trim(b, ' ')) > 0
+    AND b[-1] IN ('.', '!', '?', ':', ';', '"', '''', ')', '…', '»', '”', '’', '。', '！', '？')
+    AND len(regexp_extract_all(b, '[#*$%&|<>]')) * 10 <= weight
+    AND len(regexp_extract_all(b, '[|>»•·]')) * 5 < weight
+    AND len(regexp_extract_all(b, '\p{Lu}{2,}')) * 2 <= weight
+    AND NOT regexp_matches(b, '(?i)cookie|copyright|rights reserved|licensed under|released under the|javascript|click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum')
+  GROUP BY r, l),
+cleaned AS (
+  SELECT r, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS kept_words FROM passed GROUP BY r),
+copies AS (
+  SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(kept_words, 0) AS kept_words
+  FROM tokens t LEFT JOIN covered c ON t.r = c.r LEFT JOIN copies d ON t.r = d.r
+    LEFT JOIN cleaned k ON t.r = k.r),
+base AS (
+  SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (n_words - kept_words) * 100 <= n_words * 40 AS kept
+FROM base
+"""
+
 OP10 = r"""
 WITH rows AS (
   SELECT doc_id, coalesce('=' || source, '') AS source_key,
@@ -40,5 +85,6 @@ FROM queued q LEFT JOIN taken t
 """
 
 ORACLES: dict[str, str] = {
+    "op8_line_rules": OP8,
     "op10_mix_sources": OP10,
 }

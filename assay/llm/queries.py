@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe
+from assay.llm import bpe, rules
 from assay.llm.mixing import mix
 from assay.llm.text import table, word_count
 
@@ -17,6 +17,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.measure(docs).select(
+        "row.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +59,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
 }
