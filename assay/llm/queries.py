@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, rules
+from assay.llm import bpe, fingerprints, rules
 from assay.llm.mixing import mix
 from assay.llm.text import table, word_count
 
@@ -17,6 +17,35 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    whole = fingerprints.fingerprints(docs)
+    doc_id, text = F.col("row.doc_id"), F.col("row.text")
+    paired = fingerprints.beside_next(whole, doc_id, text, F.struct(text.alias("text"), "packed"))
+    n_chars = F.length(text)
+    cut = F.floor(n_chars / 3).cast("int")
+    edited = paired.select(
+        doc_id,
+        n_chars.cast("bigint").alias("n_chars"),
+        F.concat(
+            F.substring(text, F.lit(1), n_chars - cut), F.substring("next.text", F.lit(1), cut)
+        ).alias("text"),
+        F.col("packed").alias("own"),
+        F.col("next.packed").alias("of_next"),
+    )
+    return fingerprints.fingerprints(edited).select(
+        "row.doc_id",
+        "row.n_chars",
+        F.sha2(F.col("row.text").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("row.own")).alias("fingerprint"),
+        fingerprints.as_text(F.col("packed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("row.own"), F.col("packed")).alias("near_edited"),
+        fingerprints.likeness(F.col("row.own"), F.col("row.of_next")).alias("near_next"),
+    )
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measure(docs).select(
@@ -59,6 +88,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_fingerprints": op4_fingerprints,
     "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
