@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, fingerprints, rules
+from assay.llm import bpe, fingerprints, rules, simhash
 from assay.llm.mixing import mix
 from assay.llm.text import table, word_count
 
@@ -46,6 +46,14 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        simhash.as_text(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measure(docs).select(
@@ -89,6 +97,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
+    "op5_simhash_groups": op5_simhash_groups,
     "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
