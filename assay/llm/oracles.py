@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH tokens AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS win
+  FROM tokens, unnest(range(1, len(w) - 18)) AS t(i)),
+placed AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS place FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, i + o AS i FROM placed, unnest(range(0, 20)) AS t(o) WHERE place > 1),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+each AS (
+  SELECT t.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, w
+  FROM tokens t LEFT JOIN lost l ON t.doc_id = l.doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM each),
+kept AS (
+  SELECT k.doc_id, string_agg(word, ' ' ORDER BY k.i) AS body
+  FROM words k LEFT JOIN gone g ON k.doc_id = g.doc_id AND k.i = g.i
+  WHERE g.i IS NULL GROUP BY k.doc_id)
+SELECT e.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM each e LEFT JOIN kept k ON e.doc_id = k.doc_id
+"""
+
 OP8 = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 tokens AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
@@ -85,6 +109,7 @@ FROM queued q LEFT JOIN taken t
 """
 
 ORACLES: dict[str, str] = {
+    "op3_substring_dedup": OP3,
     "op8_line_rules": OP8,
     "op10_mix_sources": OP10,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, fingerprints, rules, simhash
+from assay.llm import bpe, fingerprints, rules, simhash, substrings
 from assay.llm.mixing import mix
 from assay.llm.text import table, word_count
 
@@ -17,6 +17,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.repeats(docs).select(
+        "row.doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")
@@ -96,6 +106,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash_groups": op5_simhash_groups,
     "op8_line_rules": op8_line_rules,
