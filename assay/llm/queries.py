@@ -8,15 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, fingerprints, rules, simhash, substrings
+from assay.llm import bpe, ctw, fingerprints, rules, simhash, substrings
 from assay.llm.mixing import mix
-from assay.llm.text import table, word_count
+from assay.llm.text import fold, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ctw.score(docs, fold(F.col("doc_id"), 10) == 0).select(
+        "row.doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.repeats(docs).select(
@@ -106,6 +119,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_context_tree": op2_context_tree,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash_groups": op5_simhash_groups,

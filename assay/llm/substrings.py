@@ -15,12 +15,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, unsigned, with_row
+
 WINDOW = 20
 ANCHOR = 8
-BLOCK_BYTES = 4 << 20
 
 # Odd multipliers of the two rolling hashes.
 _RUN_FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -88,35 +89,6 @@ class Block:
         return np.cumsum(edges)[:-1] > 0
 
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.astype(np.uint64).view(np.int64))
-
-
-def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
-    return column.to_numpy().astype(np.int64).view(np.uint64)
-
-
-def _block_of(table: pa.Table, rows: int) -> pa.Array:
-    block = table.column("block")[0].as_py() if len(table) else 0
-    return pa.array(np.full(rows, block, np.int64))
-
-
-def blocked(docs: DataFrame, doc_id: Column, text: Column, block_bytes: int) -> DataFrame:
-    """``docs`` as ``row``, with ``id``, ``body`` and the ``block`` of each.
-
-    Rows of one id share a block, so that only rows without an id need an order between blocks.
-    """
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    placed = F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
-    return docs.select(
-        F.struct("*").alias("row"),
-        doc_id.cast("bigint").alias("id"),
-        text.cast("string").alias("body"),
-        F.pmod(placed, F.lit(blocks)).cast("bigint").alias("block"),
-    )
-
-
 def repeats(
     docs: DataFrame,
     *,
@@ -144,7 +116,7 @@ def repeats(
 
     def seeds(table: pa.Table) -> pa.Table:
         own = np.unique(Block(table, window, anchor).anchors)
-        return pa.table({"block": _block_of(table, len(own)), "anchor": _signed(own)})
+        return pa.table({"block": block_of(table, len(own)), "anchor": signed(own)})
 
     shared = (
         by_block.applyInArrow(seeds, "block bigint, anchor bigint")
@@ -155,14 +127,14 @@ def repeats(
 
     def extended(table: pa.Table, seeds: pa.Table) -> pa.Table:
         block = Block(table, window, anchor)
-        around = np.flatnonzero(np.isin(block.anchors, _unsigned(seeds.column("anchor"))))
+        around = np.flatnonzero(np.isin(block.anchors, unsigned(seeds.column("anchor"))))
         hashes, first = np.unique(block.windows()[around], return_index=True)
         at = around[first]
         return pa.table(
             {
-                "block": _block_of(table, len(at)),
-                "anchor": _signed(block.anchors[at]),
-                "hash": _signed(hashes),
+                "block": block_of(table, len(at)),
+                "anchor": signed(block.anchors[at]),
+                "hash": signed(hashes),
                 "id": pa.array(block.holders(block.starts[at]), pa.int64()),
             }
         )
@@ -177,12 +149,14 @@ def repeats(
         .select("block", "hash")
     )
 
-    found = source.schema["row"]
-    schema = f"row {found.dataType.simpleString()}, n_words bigint, n_removed bigint, kept string, spans array<struct<start:int,end:int>>"
+    schema = with_row(
+        source,
+        "n_words bigint, n_removed bigint, kept string, spans array<struct<start:int,end:int>>",
+    )
 
     def cut(table: pa.Table, later: pa.Table) -> pa.Table:
         block = Block(table, window, anchor)
-        gone = block.repeated(_unsigned(later.column("hash")))
+        gone = block.repeated(unsigned(later.column("hash")))
         kept, removed, spans = [], [], []
         ends = np.cumsum(block.counts)
         for start, end in zip((ends - block.counts).tolist(), ends.tolist()):
