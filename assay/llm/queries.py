@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, ctw, fingerprints, rules, simhash, substrings
+from assay.llm import bpe, ctw, fingerprints, langid, rules, simhash, substrings
 from assay.llm.mixing import mix
 from assay.llm.text import fold, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,16 @@ def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = langid.train(docs, public_tokenizers.path(PIECE_FILE), ~held_out)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        "row.doc_id", (fold(F.col("row.doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measure(docs).select(
@@ -123,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash_groups": op5_simhash_groups,
+    "op7_language": op7_language,
     "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
