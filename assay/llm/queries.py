@@ -8,16 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, ctw, fingerprints, langid, rules, simhash, substrings
+from assay.llm import bpe, ctw, fingerprints, langid, quality_fm, rules, simhash, substrings
 from assay.llm.mixing import mix
 from assay.llm.text import fold, table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+ACCEPTED = 0.3
 PIECE_FILE = "piece_bpe_32k.model"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    machine = quality_fm.train(docs, labels, ~held_out)
+    return quality_fm.score(docs, machine).select(
+        "row.doc_id",
+        (fold(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= ACCEPTED, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ctw.score(docs, fold(F.col("doc_id"), 10) == 0).select(
@@ -130,6 +144,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_context_tree": op2_context_tree,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprints": op4_fingerprints,
