@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, ctw, fingerprints, langid, quality_fm, rules, simhash, substrings
+from assay.llm import bpe, chat, ctw, fingerprints, langid, quality_fm, rules, simhash, substrings
 from assay.llm.mixing import mix
 from assay.llm.text import fold, table, word_count
 
@@ -92,6 +92,20 @@ def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_chat(turns).select(
+        "row.conv_id",
+        "row.turn",
+        "row.role",
+        "action",
+        "role_out",
+        "inserted",
+        F.col("cost").cast("bigint").alias("cost"),
+        "rendered",
+    )
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -149,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_simhash_groups": op5_simhash_groups,
+    "op6_chat_roles": op6_chat_roles,
     "op7_language": op7_language,
     "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
