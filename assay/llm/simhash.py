@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.llm.components import components
@@ -236,5 +236,28 @@ def near_groups(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS
     )
 
 
+def without_copies(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **settings
+) -> DataFrame:
+    """One row of ``docs`` for each group, the one marked ``first``; of equal rows any one."""
+
+    def key(ident: Column, tie: Column) -> Column:
+        return F.struct(ident.isNull().alias("n"), F.coalesce(ident, F.lit(0)).alias("id"), tie.alias("tie"))
+
+    groups = near_groups(docs, text=text, doc_id=doc_id, **settings).filter("first")
+    firsts = groups.select(key(F.col("id"), F.col("tie")).alias("key")).distinct()
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        key(docs[doc_id].cast("bigint"), F.xxhash64(docs[text].cast("string"))).alias("key"),
+    )
+    one = Window.partitionBy("key").orderBy(F.lit(0))
+    return (
+        keyed.join(firsts, "key")
+        .withColumn("copy", F.row_number().over(one))
+        .filter("copy = 1")
+        .select("row.*")
+    )
+
+
 def as_text(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

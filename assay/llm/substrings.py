@@ -183,3 +183,12 @@ def repeats(
         )
 
     return by_block.cogroup(later.groupBy("block")).applyInArrow(cut, schema)
+
+
+def without_repeats(docs: DataFrame, *, text: str = "text", **settings) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text``; a text that loses nothing stays as it is."""
+    found = repeats(docs, text=text, **settings)
+    cut = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row")[text])
+    return found.select(
+        *[(cut if name == text else F.col("row")[name]).alias(name) for name in docs.columns]
+    )

@@ -1,30 +1,70 @@
-"""From raw documents to token ids: the stages of a training-data pipeline, in order."""
+"""From raw documents to token ids: the stages of a training-data pipeline, in order.
+
+Each stage takes (spark, docs, sf_dir) and returns a frame; it is written as Parquet and read again as
+the next stage's documents. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assay.llm.mixing import mixed
+from assay.llm import bpe, mixing, rules, simhash, substrings
 from assay.workspace import new_folder
 
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failing lines go; documents that lose too much, are short or repeat themselves go."""
+    return _recounted(rules.clean(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by near fingerprints, the one with the smallest id stays."""
+    return simhash.without_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that occur earlier too are cut."""
+    return _recounted(substrings.without_repeats(docs))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed(docs)
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, which decode to it."""
+    tokens = bpe.encode(docs, public_tokenizers.path(RANK_FILE), offsets=False)
+    return tokens.drop("text").withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("mix_sources", mix_sources),
+    ("byte_bpe", byte_bpe),
 ]
 
-# Byte-pair encoding, fingerprints and anchors have no SQL form; tests/llm holds brute-force versions.
+# Merges by rank and 64-bit fingerprints have no SQL form; tests/llm holds a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over all that the one before kept, each written and read again."""
+    """All stages over ``documents``, each written and read again."""
+    folder = new_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        folder = f"{new_folder(spark)}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        path = f"{folder}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
