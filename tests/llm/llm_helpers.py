@@ -1,0 +1,53 @@
+"""Small inputs that the tests of several operators share."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def edge_docs(spark):
+    """Nulls in any column, empty and long texts, ties and repeated rows."""
+    long = " ".join(f"word{i % 977}" for i in range(30_000))
+    rows = [
+        (1, "One plain line of text.", "en", "a", 23),
+        (1, "One plain line of text.", "en", "a", 23),
+        (1, "Another text of the same id.", "en", None, None),
+        (2, None, None, None, None),
+        (3, "", "en", "a", 0),
+        (4, " \t\n ", "fr", "b", 4),
+        (5, long, "en", "a", len(long)),
+        (6, long, None, "b", len(long)),
+        (None, "A text without an id.", "en", "a", 21),
+        (None, None, None, None, None),
+        (7, "ÉTÉ ñandú ß 汉字 😀 x", "fr", "c", 20),
+        (8, "1234 %% ##", "de", "c", 10),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(docs, *names):
+    """``docs`` with text columns of the names that operators use themselves."""
+    from pyspark.sql import functions as F
+
+    return docs.withColumns({name: F.lit("mine") for name in names if name not in docs.columns})
+
+
+def random_docs(spark, seed, rows=60, vocabulary=12, longest=80):
+    """Texts over few words, so that passages recur, with null and shared ids."""
+    pick = random.Random(seed)
+    words = [f"w{i}" for i in range(vocabulary)]
+    passage = [pick.choice(words) for _ in range(40)]
+    out = []
+    for i in range(rows):
+        body = [pick.choice(words) for _ in range(pick.randint(0, longest))]
+        if pick.random() < 0.5:
+            at, start = pick.randint(0, len(body)), pick.randint(0, 20)
+            body[at:at] = passage[start : start + pick.randint(5, 30)]
+        out.append((i, pick.choice([" ", "\n", "  "]).join(body), "en", f"s{i % 4}", None))
+    return spark.createDataFrame(out, SCHEMA)

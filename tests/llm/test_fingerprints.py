@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from llm_helpers import clashing, edge_docs, empty_docs
+from pyspark.sql import functions as F
+
+from assay.llm import fingerprints as fp
+
+
+def _shingles(text):
+    words = text.split()
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_likeness_is_near_the_jaccard_similarity(spark):
+    pick = random.Random(2)
+    rows = []
+    for i in range(300):
+        n = pick.choice([3, 8, 30, 100, 400])
+        words = [f"w{pick.randint(0, 10**6)}" for _ in range(n)]
+        other = list(words)
+        for _ in range(pick.randint(0, max(1, n // 12))):
+            other[pick.randrange(n)] = "x"
+        rows.append((i, " ".join(words), " ".join(other)))
+    pairs = spark.createDataFrame(rows, "id int, a string, b string")
+    found = pairs.select(
+        "a", "b", fp.likeness(fp.packed(F.col("a")), fp.packed(F.col("b"))).alias("near")
+    ).collect()
+    errors = []
+    for row in found:
+        a, b = _shingles(row["a"]), _shingles(row["b"])
+        errors.append(row["near"] - len(a & b) / len(a | b))
+    assert abs(sum(errors) / len(errors)) < 0.02
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.05
+
+
+def test_equal_words_give_equal_fingerprints(spark):
+    docs = spark.createDataFrame([("a b  c d e f",), ("a\nb c d e f",), ("",), (None,), (" ",)], "text string")
+    found = [tuple(row["packed"]) for row in fp.fingerprints(docs).collect()]
+    assert found[0] == found[1]
+    assert found[2] == found[3] == found[4] == (0,) * 32
+
+
+def test_text_form(spark):
+    row = spark.createDataFrame([("a b c d e f",)], "t string").select(fp.as_text(fp.packed(F.col("t")))).first()
+    assert len(row[0]) == 2 * fp.BINS and set(row[0]) <= set("0123456789abcdef")
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "50"])
+def test_next_row_is_that_of_a_sort(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        pick = random.Random(3)
+        ids = [pick.choice([None, *range(300)]) for _ in range(200)]
+        rows = [(i, f"t{n % 150:03}") for n, i in enumerate(ids)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = fp.beside_next(docs, F.col("doc_id"), F.col("text"), F.struct("doc_id", "text")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = sorted(zip(order, [*order[1:], order[0]]), key=str)
+    assert sorted([((r["doc_id"], r["text"]), tuple(r["next"])) for r in found], key=str) == want
+
+
+def test_edge_rows(spark):
+    docs = clashing(edge_docs(spark), "row", "packed", "next", "to", "own_range")
+    found = fp.fingerprints(docs)
+    assert found.count() == docs.count()
+    beside = fp.beside_next(found, F.col("row.doc_id"), F.xxhash64("row.text"), F.col("packed"))
+    assert beside.filter(F.col("next").isNotNull()).count() == docs.count()
+    none = fp.fingerprints(empty_docs(spark))
+    assert fp.beside_next(none, F.col("row.doc_id"), F.xxhash64("row.text"), F.col("packed")).count() == 0

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from llm_helpers import clashing, edge_docs, empty_docs, random_docs
+from pyspark.sql import functions as F
+
+from assay.llm import rules
+
+
+def _repeated(words):
+    windows = Counter(zip(words, words[1:], words[2:]))
+    return len(
+        {
+            i + k
+            for i in range(len(words) - 2)
+            if windows[tuple(words[i : i + 3])] > 1
+            for k in range(3)
+        }
+    )
+
+
+def test_repeated_words_by_brute_force(spark):
+    docs = random_docs(spark, 1, vocabulary=5)
+    found = rules.measure(docs).select("row.text", "n_repeat_words", "n_words").collect()
+    for row in found:
+        words = row["text"].split()
+        assert (row["n_words"], row["n_repeat_words"]) == (len(words), _repeated(words))
+    assert any(row["n_repeat_words"] for row in found)
+
+
+def _verdict(spark, *lines):
+    prose = [" ".join(f"word{7 * i + k}" for k in range(7)) + "." for i in range(10)]
+    docs = spark.createDataFrame([(1, "\n".join([*prose, *lines]))], "doc_id int, text string")
+    return rules.measure(docs).first()
+
+
+def test_lines_that_fail_are_removed(spark):
+    bad = [
+        "Home | About | Shop | News | Contact.",
+        "no stop at the end of this line",
+        "BUY NOW OUR NEW OFFERS HERE.",
+        "We use cookies on this site.",
+        "a# b# c$ d% e& f* g.",
+        "word21 word22 word23 word24 word25 word26 word27.",
+    ]
+    row = _verdict(spark, *bad)
+    assert row["kept"] and not any(line in row["clean_text"].split("\n")[10:] for line in bad)
+    assert len(row["clean_text"].split("\n")) == 10
+    assert row["n_dup_lines"] == 1
+
+
+def test_a_document_that_loses_too_much_goes(spark):
+    assert not _verdict(spark, *[f"link {i} | page {i} | top {i}" for i in range(30)])["kept"]
+    assert _verdict(spark)["kept"]
+
+
+def test_edge_rows(spark):
+    docs = clashing(edge_docs(spark), "row", "tokens", "body", "n_words", "kept", "clean_text", "text_in")
+    found = rules.measure(docs).select("row.*", F.col("n_words").alias("n"), F.col("kept").alias("k"))
+    rows = found.collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert row["n"] == len((row["text"] or "").encode().split())
+        assert row["n"] >= 50 or not row["k"]
+    assert rules.clean(docs).columns == docs.columns
+    assert rules.measure(empty_docs(spark)).count() == 0

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from llm_helpers import clashing, edge_docs, empty_docs
+from pyspark.sql import functions as F
+
+from assay.llm import simhash
+from assay.llm.components import components
+
+
+def _groups(values, radius=3):
+    root = list(range(len(values)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(values):
+        for j in range(i):
+            if (a ^ values[j]).bit_count() <= radius:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(values))]
+
+
+def _clustered(seed, clusters=30, each=25, flips=4):
+    pick = random.Random(seed)
+    out = set()
+    for _ in range(clusters):
+        at = pick.getrandbits(64)
+        for _ in range(each):
+            out.add(at)
+            for _ in range(pick.randint(1, flips)):
+                at ^= 1 << pick.randrange(64)
+    return sorted(out)
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    values = _clustered(1)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    docs = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    found = {row["node"]: row["root"] for row in components(simhash.links(docs)).collect()}
+    want = _groups(values)
+    groups, got = {}, {}
+    for v, s, r in zip(values, signed, want):
+        groups.setdefault(r, set()).add(s)
+        got.setdefault(found.get(s, s), set()).add(s)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, got.values()))
+    assert any(len(g) > 5 for g in groups.values())
+
+
+def test_a_forest_in_small_sweeps_links_the_same(monkeypatch):
+    values = np.array(_clustered(2, clusters=6, each=80), np.uint64)
+    starts = np.array([0, 40, len(values) - 90])
+    whole = simhash.Forest(values, starts).link(3)
+    monkeypatch.setattr(simhash, "_SWEEP", 50)
+    assert (simhash.Forest(values, starts).link(3) == whole).all()
+    ends = [*starts[1:], len(values)]
+    for a, b in zip(starts, ends):
+        assert [a + g for g in _groups([int(v) for v in values[a:b]])] == whole[a:b].tolist()
+
+
+def test_fingerprint_of_short_and_empty_texts():
+    assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
+    assert simhash.fingerprint("A  B c") == simhash.fingerprint("a b C")
+    assert simhash.fingerprint("one") != simhash.fingerprint("two")
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(1, i) for i in range(200, 400)]
+    edges = spark.createDataFrame([*chain, *star, (500, 500)], "u bigint, v bigint")
+    found = {row["node"]: row["root"] for row in components(edges).collect()}
+    assert found == {**{i: 100 for i in range(101, 161)}, **{i: 1 for i in range(200, 400)}}
+
+
+def test_edge_rows(spark):
+    docs = clashing(edge_docs(spark), "id", "tie", "fp", "component", "first", "key", "row", "copy")
+    groups = simhash.near_groups(docs)
+    rows = groups.collect()
+    assert len(rows) == docs.count()
+    blank = {row["component"] for row in rows if row["fp"] == 0}
+    assert blank == {2}
+    kept = simhash.without_copies(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    # Two texts of id 1, one of each further group, and the group without any id.
+    assert sorted(row["doc_id"] for row in found if row["doc_id"]) == [1, 1, 2, 5, 7, 8]
+    assert len(found) == 7
+    assert simhash.near_groups(empty_docs(spark)).count() == 0
+    assert simhash.without_copies(empty_docs(spark)).count() == 0
+
+
+def test_a_third_of_all_rows_in_one_group(spark):
+    docs = spark.range(900).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("the same text for all of these"))
+        .otherwise(F.concat(F.md5(F.col("id").cast("string")), F.lit(" x y z")))
+        .alias("text"),
+    )
+    assert simhash.near_groups(docs).filter("component = 0").count() >= 300
