@@ -161,11 +161,9 @@ def fit(words: list[np.ndarray], statistics: np.ndarray, labels: np.ndarray) ->
     return machine
 
 
-def _measured(docs: DataFrame, text: str, n_chars: str | None) -> DataFrame:
+def _measured(docs: DataFrame, text: str, n_chars: str | None, *kept: Column) -> DataFrame:
     length = docs[n_chars].cast("double") if n_chars else F.lit(None).cast("double")
-    return docs.select(
-        F.struct("*").alias("row"), docs[text].cast("string").alias("body"), length.alias("length")
-    )
+    return docs.select(*kept, docs[text].cast("string").alias("body"), length.alias("length"))
 
 
 def train(
@@ -191,7 +189,8 @@ def train(
         .orderBy(F.xxhash64("sample_id"), "sample_id", "label")
         .limit(rows)
     )
-    joined = docs.join(F.broadcast(sample), docs[doc_id] == F.col("sample_id"))
+    known = _measured(docs, text, n_chars, docs[doc_id].cast("bigint").alias("id"))
+    joined = known.join(F.broadcast(sample), F.col("id") == F.col("sample_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,9 +205,8 @@ def train(
                 names=["id", "words", "statistics", "label"],
             )
 
-    measured = _measured(joined, text, n_chars).select("body", "length", "row.sample_id", "row.label")
     found = (
-        measured.withColumnRenamed("sample_id", "id")
+        joined.select("id", "body", "length", "label")
         .mapInArrow(run, "id bigint, words array<int>, statistics array<double>, label int")
         .toArrow()
         .sort_by([("id", "ascending"), ("label", "ascending")])
@@ -227,7 +225,7 @@ def score(
     text. Columns of ``docs`` stay inside ``row``, so none can clash.
     """
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    rows = _measured(docs, text, n_chars)
+    rows = _measured(docs, text, n_chars, F.struct("*").alias("row"))
     schema = StructType([rows.schema["row"], StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+from itertools import product
+from math import exp, lgamma, log, log10
+
+import numpy as np
+import pytest
+from llm_helpers import clashing, edge_docs, empty_docs, random_docs
+from pyspark.sql import functions as F
+
+from assay.llm import ctw
+
+
+def _kt(a, b):
+    return lgamma(a + 0.5) + lgamma(b + 0.5) - 2 * lgamma(0.5) - lgamma(a + b + 1)
+
+
+class _Tree:
+    """The model by recursion over dictionaries."""
+
+    def __init__(self, texts, depth):
+        self.depth, self.counts, self.children = depth, {}, {}
+        for text in texts:
+            for context, byte in self._steps(text):
+                for bit in range(8):
+                    prefix = (1 << bit) | (byte >> (8 - bit))
+                    for d in range(depth + 1):
+                        node = (context[:d], prefix)
+                        pair = self.counts.setdefault(node, [0, 0])
+                        pair[(byte >> (7 - bit)) & 1] += 1
+                        if d < depth:
+                            self.children.setdefault(node, set()).add((context[: d + 1], prefix))
+        self.memo = {}
+
+    def _steps(self, text):
+        stream = b"\xff" * self.depth + text + b"\xff"
+        for i in range(self.depth, len(stream)):
+            yield bytes(reversed(stream[i - self.depth : i])), stream[i]
+
+    def weighted(self, node):
+        if node not in self.memo:
+            own = _kt(*self.counts[node])
+            if len(node[0]) < self.depth:
+                below = sum(self.weighted(c) for c in self.children[node])
+                most = max(own, below)
+                own = most + log(exp(own - most) + exp(below - most)) - log(2)
+            self.memo[node] = own
+        return self.memo[node]
+
+    def _bit(self, context, prefix, bit, d=0):
+        node = (context[:d], prefix)
+        pair = self.counts.get(node)
+        own = (pair[bit] + 0.5) / (sum(pair) + 1) if pair else 0.5
+        if d == self.depth or not pair or (context[: d + 1], prefix) not in self.counts:
+            return own
+        share = exp(_kt(*pair) - log(2) - self.weighted(node))
+        return share * own + (1 - share) * self._bit(context, prefix, bit, d + 1)
+
+    def log10(self, text):
+        total = 0.0
+        for context, byte in self._steps(text):
+            for k in range(8):
+                prefix = (1 << k) | (byte >> (8 - k))
+                total += log10(self._bit(context, prefix, (byte >> (7 - k)) & 1))
+        return total
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_scores_by_recursion(spark, depth):
+    docs = random_docs(spark, 7, rows=40, longest=30)
+    held = F.col("doc_id") % 4 == 0
+    found = ctw.score(docs, held, depth=depth, block_bytes=1000).collect()
+    texts = {r["row"]["doc_id"]: r["row"]["text"].encode().lower() for r in found}
+    train = [t for i, t in texts.items() if i % 4]
+    tree = _Tree(train, depth)
+    tokens = [w for t in train for w in [*t.split(), None]]
+    for row in found:
+        own = texts[row["row"]["doc_id"]]
+        words = [*own.split(), None]
+        assert row["score"] == pytest.approx(tree.log10(own), rel=1e-9)
+        assert row["n_tokens"] == len(words) and row["train_tokens"] == len(tokens)
+        assert row["n_known"] == sum(w in set(tokens) for w in words)
+        floor = len(tokens) + 0.1 * (len(set(tokens)) + 1)
+        base = sum(log10((tokens.count(w) + 0.1) / floor) for w in words)
+        assert row["base_score"] == pytest.approx(base, rel=1e-9)
+
+
+def test_groups_of_grams_change_nothing(spark, monkeypatch):
+    docs = random_docs(spark, 8, rows=30)
+    first = {r["row"]["doc_id"]: r["score"] for r in ctw.score(docs, F.lit(False)).collect()}
+    monkeypatch.setattr(ctw, "GROUP_GRAMS", 50)
+    again = {r["row"]["doc_id"]: r["score"] for r in ctw.score(docs, F.lit(False)).collect()}
+    assert again == pytest.approx(first)
+
+
+def test_probabilities_of_the_next_byte_sum_to_one():
+    texts = [b"abracadabra", b"abba"]
+    tree = _Tree(texts, 2)
+    total = 0.0
+    for byte in range(256):
+        p = 1.0
+        for k in range(8):
+            p *= tree._bit(b"ab", (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1)
+        total += p
+    assert total == pytest.approx(1)
+
+
+def test_keys_of_several_texts():
+    keys, counts = ctw.gram_keys([b"ab", b"", b"c"], 2)
+    assert counts.tolist() == [3, 1, 2]
+    assert [k.to_bytes(3) for k in keys.tolist()] == [
+        b"\xff\xffa", b"a\xffb", b"ba\xff", b"\xff\xff\xff", b"\xff\xffc", b"c\xff\xff",
+    ]
+
+
+def test_log_gamma_tables_meet_the_series():
+    n = np.array([0, 5, 4095, 4096, 10**6, 10**9])
+    for a, b in product(n, n):
+        assert ctw.log_kt(np.array([a]), np.array([b]))[0] == pytest.approx(_kt(int(a), int(b)), rel=1e-9, abs=1e-5)
+
+
+def test_edge_rows(spark):
+    docs = clashing(edge_docs(spark), "row", "doc", "held", "key", "n", "kind", "block", "value", "score")
+    found = ctw.score(docs, F.col("doc_id") == 7).collect()
+    assert len(found) == docs.count()
+    by = {}
+    for row in found:
+        by.setdefault(row["row"]["text"], []).append(row)
+    assert by[None][0]["n_tokens"] == by[""][0]["n_tokens"] == 1
+    assert len({row["score"] for row in by["One plain line of text."]}) == 1
+    assert all(row["score"] < 0 for row in found)
+    assert [row["held_out"] for row in found if row["row"]["doc_id"] is None] == [False, False]
+    assert ctw.score(empty_docs(spark), F.lit(False)).count() == 0
+    unlearnt = ctw.score(docs, F.lit(True)).filter(F.col("row.text") == "").first()
+    assert unlearnt["train_tokens"] == 0 and unlearnt["base_score"] == pytest.approx(0)
+    assert unlearnt["score"] == pytest.approx(-8 * log10(2))
