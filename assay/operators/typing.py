@@ -11,9 +11,10 @@ from assay.functions import lenient_date, lenient_double, lenient_int
 def cast_orders(df: DataFrame) -> DataFrame:
     """Silver types for the seven order columns; a value that cannot be read becomes null.
 
-    Other columns pass through.
+    Names are resolved as Spark does, without case unless the session says so; other columns pass
+    through.
     """
-    quantity_type = df.schema["quantity"].dataType
+    quantity_type = df.select("quantity").schema[0].dataType
     return df.withColumns(
         {
             "order_id": F.col("order_id").cast("string"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from assay.operators import align
 from assay.schemas import BRONZE
@@ -15,16 +17,45 @@ def run_stamp(moment: dt.datetime | None = None) -> str:
     return (moment or dt.datetime.now(dt.UTC)).strftime("%Y%m%d_%H%M%S")
 
 
-def land_bronze(df: DataFrame, bronze_path: str, stamp: str | None = None) -> str:
+def _plain_digits(number: Column) -> Column:
+    """A floating number as text without an exponent, which whole-number casts do not read.
+
+    Below a thousandth and from 1e20 the usual form stays: no such number is a quantity, and prices
+    are read in either form.
+    """
+    usual = number.cast("string")
+    digits = F.regexp_replace(number.try_cast("decimal(38,17)").cast("string"), r"[.]?0+$", "")
+    fits = (F.abs(number) >= 1e-3) & (F.abs(number) < 1e20)
+    return F.when(usual.contains("E") & fits, digits).otherwise(usual)
+
+
+def _one_line(name: str) -> Column:
+    value = F.col(name)
+    broken = value.contains("\n") | value.contains("\r")
+    message = F.lit(f"{name} holds a line break; land and read it with multi_line=True")
+    return F.when(broken, F.raise_error(message).cast("string")).otherwise(value).alias(name)
+
+
+def land_bronze(
+    df: DataFrame, bronze_path: str, stamp: str | None = None, *, multi_line: bool = False
+) -> str:
     """Append one ingest run as CSV under ``run=<stamp>`` and return that folder.
 
     Earlier runs are never overwritten, not even one of the same second. The CSV writer trims values
-    unless told not to.
+    unless told not to. A value with a line break fails the landing, for readers would cut its row in
+    two; with ``multi_line`` it is written, to be read with the same setting.
     """
     folder = f"{bronze_path.rstrip('/')}/run={stamp or run_stamp()}"
+    floating = {
+        field.name: _plain_digits(df[field.name])
+        for field in df.schema
+        if isinstance(field.dataType, (DoubleType, FloatType))
+    }
+    rows = align(df.withColumns(floating) if floating else df, BRONZE)
+    if not multi_line:
+        rows = rows.select(*map(_one_line, rows.columns))
     (
-        align(df, BRONZE)
-        .write.mode("append")
+        rows.write.mode("append")
         .options(
             header=True,
             ignoreLeadingWhiteSpace=False,

@@ -1,12 +1,23 @@
-from assay.sources.bronze import read_bronze_csv
+from assay.sources.bronze import header_groups, read_bronze_csv
 from assay.sources.generator import fill_orders, generate_orders
-from assay.sources.layers import open_source, read_layer, read_table
+from assay.sources.layers import (
+    is_path,
+    open_bronze,
+    open_source,
+    read_foreign_layer,
+    read_layer,
+    read_table,
+)
 
 __all__ = [
     "fill_orders",
     "generate_orders",
+    "header_groups",
+    "is_path",
+    "open_bronze",
     "open_source",
     "read_bronze_csv",
+    "read_foreign_layer",
     "read_layer",
     "read_table",
 ]

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from assay.operators import align
 from assay.schemas import BRONZE
@@ -12,17 +18,75 @@ from assay.schemas import BRONZE
 # Quotes inside a quoted field are doubled, on reading and on writing.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
 
+Header = tuple[str, ...]
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a partition. What follows is neither awaited nor read any further."""
+    for batch in islice((b for b in batches if len(b)), 1):
+        yield batch.slice(0, 1)
+
+
+def header_groups(spark: SparkSession, *paths: str) -> dict[Header, list[str]]:
+    """Files below the paths, at any depth, by their header line; empty files are left out.
+
+    The headers are read on the executors: every split of a file is a partition of its own, and only
+    the start of each is read. The driver gets the file names, as it does for any listing.
+    """
+    apart = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        apart.conf.set(f"spark.sql.files.{name}", "128m")
+    # At least so many partitions would make smaller splits, so that a file had several.
+    apart.conf.set("spark.sql.files.minPartitionNum", "1")
+    lines = apart.read.option("recursiveFileLookup", True).text(list(paths))
+    starts = lines.select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    firsts = starts.mapInArrow(_first_lines, "value string, file string, start bigint")
+    grouped = firsts.filter("start = 0").groupBy("value").agg(F.collect_list("file").alias("files"))
+    out: dict[Header, list[str]] = {}
+    for row in grouped.collect():
+        line = row["value"].removeprefix("﻿").rstrip("\r")
+        header = tuple(next(csv.reader([line]), []))
+        out.setdefault(header, []).extend(row["files"])
+    return out
+
+
+def _text_schema(header: Header) -> StructType:
+    """Text columns of these names; a name that comes again is numbered, as no column may."""
+    seen: set[str] = set()
+    fields = []
+    for place, name in enumerate(header):
+        unique = name if name and name.lower() not in seen else f"{name}_{place}"
+        seen.add(unique.lower())
+        fields.append(StructField(unique, StringType()))
+    return StructType(fields)
+
 
 def read_bronze_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """All CSV files below each path as bronze: text columns, bound by header name.
 
-    The files below one path share one header; ``enforceSchema=False`` makes a file with another one
-    fail the read instead of filling the wrong columns. Give folders whose headers differ as separate
-    paths. ``multi_line`` reads line breaks inside quotes, but then a file cannot be split.
+    Files lie flat, in ``run=`` folders or in any others. Files that share a header are read together,
+    and the groups are united by name: a column that a group lacks is null there, an extra one is
+    dropped. If there is one header only, a file that comes later with another fails the read.
+    ``multi_line`` reads line breaks inside quotes, but then a file cannot be split.
     """
     if not paths:
         raise ValueError("no bronze path given")
+    groups = header_groups(spark, *paths)
     reader = spark.read.options(
-        header=True, enforceSchema=False, multiLine=multi_line, **CSV_QUOTING
+        header=True, recursiveFileLookup=True, multiLine=multi_line, **CSV_QUOTING
     )
-    return reduce(DataFrame.unionByName, [align(reader.csv(path), BRONZE) for path in paths])
+    if not groups:
+        return spark.createDataFrame([], BRONZE)
+    if len(groups) == 1:
+        (header,) = groups
+        reader = reader.options(enforceSchema=len(set(header)) < len(header))
+        return align(reader.schema(_text_schema(header)).csv(list(paths)), BRONZE)
+    parts = [
+        align(reader.schema(_text_schema(header)).csv(sorted(files)), BRONZE)
+        for header, files in sorted(groups.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -5,23 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from assay.operators import align
+from assay.sources.bronze import read_bronze_csv
+
 
 def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parquet under the declared schema.
 
     Declaring it skips footer inference, keeps partition values as they were written ('007' stays
-    text) and puts the partition column back in its place.
+    text) and puts the partition column back in its place. Files whose types differ fail the read:
+    open them with :func:`read_foreign_layer`.
     """
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def read_foreign_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet of another writer: the types are those of the files, brought to ``schema`` by name.
+
+    A value that does not fit the declared type is null, such as a ``bigint`` beyond ``int``.
+    """
+    return align(spark.read.parquet(path), schema)
+
+
 def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+    """A catalog table or view. Its files are listed anew: a layer may have been rewritten since."""
+    spark.catalog.refreshTable(name)
     table = spark.table(name)
     return table if schema is None else table.select(*schema.names)
 
 
-def open_source(spark: SparkSession, source: str, schema: StructType) -> DataFrame:
-    """A layer by path if ``source`` holds a slash, else by catalog name."""
-    if "/" in source:
+def is_path(source: str) -> bool:
+    return "/" in source
+
+
+def open_source(spark: SparkSession, source: str | DataFrame, schema: StructType) -> DataFrame:
+    """A layer by path if ``source`` holds a slash, else by catalog name; a frame is as it is."""
+    if isinstance(source, DataFrame):
+        return source
+    if is_path(source):
         return read_layer(spark, source, schema)
     return read_table(spark, source, schema)
+
+
+def open_bronze(
+    spark: SparkSession, source: str | DataFrame, *, multi_line: bool = False
+) -> DataFrame:
+    """Bronze by path, as CSV, or by catalog name; a frame is as it is."""
+    if isinstance(source, DataFrame):
+        return source
+    if is_path(source):
+        return read_bronze_csv(spark, source, multi_line=multi_line)
+    return read_table(spark, source)
