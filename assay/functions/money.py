@@ -1,9 +1,9 @@
 """Sums and means of money that do not depend on the order of summing.
 
-A sum of doubles changes in its last digits with the order in which partitions arrive. For amounts
-of at most two decimals the sum can be taken over whole cents (``bigint``) instead, which is exact
-and as cheap as a sum of doubles. Amounts that do not fit whole cents (NaN, infinite, beyond
-``bigint``) send their group back to the plain sum of doubles, so none is lost.
+A sum of doubles changes in its last digits with the order in which partitions arrive. A group whose
+amounts all are whole cents is summed over cents (``bigint``), which is exact. Any other group, or one
+whose cents do not fit, is summed over decimals of twelve places, up to 1e26: nothing is rounded to
+cents. Only groups with an amount beyond that, infinite or not a number take the plain sum of doubles.
 """
 
 from __future__ import annotations
@@ -11,11 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_WIDE = "decimal(38,12)"
+#: How far from a whole cent an amount may be for the error of its binary form, in cents.
+_CENT_ERROR = 1e-6
+
 
 def exact_sum(amount: Column) -> Column:
-    cents = F.rint(amount * F.lit(100.0)).try_cast("bigint")
+    hundredfold = amount * F.lit(100.0)
+    whole = F.rint(hundredfold)
+    # The error of a large product grows with it.
+    near = F.abs(hundredfold - whole) <= F.greatest(F.lit(_CENT_ERROR), F.abs(whole) * 1e-15)
+    cents = F.when(near, whole.try_cast("bigint"))
+    wide = amount.try_cast(_WIDE)
     in_cents = F.when(F.count(cents) == F.count(amount), F.try_sum(cents))
-    return F.coalesce(in_cents / F.lit(100.0), F.sum(amount))
+    in_decimals = F.when(F.count(wide) == F.count(amount), F.try_sum(wide))
+    return F.coalesce(in_cents / F.lit(100.0), in_decimals.cast("double"), F.sum(amount))
 
 
 def exact_mean(amount: Column) -> Column:

@@ -42,6 +42,18 @@ def test_overflow_of_the_cent_sum_falls_back(spark):
     assert _of(spark, [9e16, 9e16])[0] == 1.8e17
 
 
+def test_parts_of_a_cent_are_not_rounded_away(spark):
+    assert _of(spark, [0.004] * 1000) == (4.0, 0.004)
+    assert _of(spark, [0.125, 0.01]) == (0.135, 0.0675)
+
+
+def test_cents_beyond_bigint_stay_exact_at_any_parallelism(spark):
+    values = [9e16, 0.01, 9e16, 0.02, 1e17] * 200
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    sums = {df.repartition(parts).agg(exact_sum(F.col("x"))).first()[0] for parts in (1, 3, 8)}
+    assert sums == {200 * 28 * 10**16 + 6.0}
+
+
 def test_mean_is_over_rows_not_over_quantity(spark):
     df = silver(spark, {"quantity": 9, "unit_price": 10.0}, {"quantity": 1, "unit_price": 20.0})
     row = rollup(df).first()
