@@ -1,5 +1,6 @@
 from assay.plans.gold import gold_having, gold_orders, gold_orders_basic
 from assay.plans.medallion import (
+    WRITTEN_ROWS,
     StageFailed,
     StageResult,
     bronze_to_silver,
@@ -12,6 +13,7 @@ from assay.plans.reports import gold_report, silver_inspect
 from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
 
 __all__ = [
+    "WRITTEN_ROWS",
     "StageFailed",
     "StageResult",
     "bronze_to_silver",

@@ -5,14 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from assay.operators import gold_rules, rollup, silver_metrics
+from assay.operators import gold_rules, rollup
 from assay.operators.metrics import count_groups, group_rows
 from assay.plans.gold import gold_orders, gold_orders_basic
-from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
+from assay.plans.silver import silver_orders, silver_orders_basic
 from assay.schemas import GOLD, SILVER, Layout
 from assay.sinks import (
     SKIPPED_EMPTY,
@@ -21,12 +22,17 @@ from assay.sinks import (
     append_layer,
     land_bronze,
     register_table,
+    staging_folder,
     write_layer,
 )
-from assay.sources import read_bronze_csv, read_layer
+from assay.sources import is_path, open_bronze, open_source
+from assay.workspace import Files
 
 logger = logging.getLogger(__name__)
 
+#: For ``metrics``: only the counts that need no further pass.
+WRITTEN_ROWS = "written"
+
 
 class StageFailed(RuntimeError):
     """A stage raised; later stages were not started."""
@@ -44,21 +50,25 @@ class StageResult:
 
 
 def bronze_to_silver(
-    bronze: DataFrame,
+    bronze: DataFrame | str,
     target: str,
     *,
     partition_by: str | None = None,
     partition_overwrite: str = "static",
     survivor_order: Sequence[str | Column] = (),
     reject_non_finite: bool = False,
-    metrics: bool = False,
+    multi_line: bool = False,
+    rebalance: bool = True,
+    metrics: bool | str = False,
 ) -> StageResult:
-    """Write silver: one full pass over bronze and one probe that stops at the first valid row.
+    """Write silver in one pass over bronze: a frame, a catalog table's name or a folder of CSV files.
 
-    ``metrics`` adds a count of bronze, which parses no column, and one of the target as written: for
-    Parquet both read footers only. After a dynamic overwrite the target holds older partitions too,
-    so there the counts are taken from bronze, in a pass that shuffles ids alone.
+    ``metrics=WRITTEN_ROWS`` gives ``clean_rows``, from the footers of what was written.
+    ``metrics=True`` adds ``raw_rows`` and ``removed_rows``, and for that counts bronze in a second
+    pass; for Parquet that reads footers only, for CSV it reads all the text.
     """
+    if isinstance(bronze, str):
+        bronze = open_bronze(SparkSession.active(), bronze, multi_line=multi_line)
     write = write_layer(
         silver_orders(
             bronze, survivor_order=survivor_order, reject_non_finite=reject_non_finite
@@ -66,20 +76,17 @@ def bronze_to_silver(
         target,
         partition_by=partition_by,
         partition_overwrite=partition_overwrite,
-        # Choosing among duplicates cannot empty a set that is not empty.
-        probe=valid_orders(bronze, reject_non_finite=reject_non_finite),
+        rebalance=rebalance,
     )
     counts = {}
-    if metrics and write.partition_by and partition_overwrite == "dynamic":
-        counts = silver_metrics(bronze, reject_non_finite=reject_non_finite).first().asDict()
-    elif metrics:
-        written = write.status == WRITTEN
+    if metrics:
+        counts = {"clean_rows": write.rows}
+    if metrics is True:
         raw_rows = bronze.count()
-        clean_rows = read_layer(bronze.sparkSession, target, SILVER).count() if written else 0
         counts = {
             "raw_rows": raw_rows,
-            "clean_rows": clean_rows,
-            "removed_rows": raw_rows - clean_rows,
+            "clean_rows": write.rows,
+            "removed_rows": raw_rows - write.rows,
         }
     if counts:
         logger.info("bronze to silver: %s", counts)
@@ -94,38 +101,41 @@ def bronze_to_silver_basic(bronze: DataFrame, target: str) -> StageResult:
 
 
 def silver_to_gold(
-    silver: DataFrame,
+    silver: DataFrame | str,
     target: str,
     *,
     partition_by: str | None = None,
     partition_overwrite: str = "static",
     exact_cents: bool = False,
+    rebalance: bool = True,
     metrics: bool = False,
 ) -> StageResult:
-    """Write gold in one pass over silver.
+    """Write gold in one pass over silver: a frame, a catalog table's name or a Parquet folder.
 
-    Whether any group is left shows only after the aggregate, so the rollup is kept for the guard, the
-    counts and the write. A kept block lost with its executor is computed again.
+    With ``metrics`` the rollup before its rules is stored beside the target for as long as the job
+    runs: groups that the rules drop must exist to be counted.
     """
-    if metrics:
-        # Null-key groups must exist to be counted, so the rules come after the kept rollup.
-        kept = rollup(silver, group_rows(), exact_cents=exact_cents).persist()
-        gold = gold_rules(kept).select(*GOLD.names)
-    else:
-        kept = gold = gold_orders(silver, exact_cents=exact_cents).persist()
+    spark = SparkSession.active()
+    silver = open_source(spark, silver, SILVER)
+    write = partial(
+        write_layer,
+        target=target,
+        partition_by=partition_by,
+        partition_overwrite=partition_overwrite,
+        rebalance=rebalance,
+    )
+    if not metrics:
+        return StageResult("silver_to_gold", write(gold_orders(silver, exact_cents=exact_cents)))
+    stored = staging_folder(target)
     try:
-        counts = count_groups(kept).first().asDict() if metrics else {}
-        write = write_layer(
-            gold,
-            target,
-            partition_by=partition_by,
-            partition_overwrite=partition_overwrite,
-        )
+        rollup(silver, group_rows(), exact_cents=exact_cents).write.parquet(stored)
+        groups = spark.read.parquet(stored)
+        counts = count_groups(groups).first().asDict()
+        result = write(gold_rules(groups).select(*GOLD.names))
     finally:
-        kept.unpersist()
-    if counts:
-        logger.info("silver to gold: %s", counts)
-    return StageResult("silver_to_gold", write, counts)
+        Files(spark).delete(stored)
+    logger.info("silver to gold: %s", counts)
+    return StageResult("silver_to_gold", result, counts)
 
 
 def silver_to_gold_basic(
@@ -152,15 +162,21 @@ def run_medallion(
     stamp: str | None = None,
     silver_partition: str | None = None,
     gold_partition: str | None = None,
+    bronze_source: str | None = None,
+    silver_source: str | None = None,
     database: str | None = None,
+    multi_line: bool = False,
     exact_cents: bool = False,
-    metrics: bool = False,
+    rebalance: bool = True,
+    metrics: bool | str = False,
 ) -> list[StageResult]:
     """Land ``incoming`` as a new bronze run, then rebuild silver and gold from all runs.
 
     A stage starts only when the one before is done; a failure raises :class:`StageFailed` with the
-    stage's name. With ``database`` the layers are registered there as ``silver_orders`` and
-    ``gold_orders``.
+    stage's name. Without a valid row silver is skipped, and so is gold if there is no earlier silver.
+    ``bronze_source`` and ``silver_source`` are what the later stages read instead of the layout's
+    folders: a catalog table's name or a path. With ``database`` the layers are registered there as
+    ``silver_orders`` and ``gold_orders``, anew if they were registered over another place.
     """
 
     def register(table: str, result: StageResult, schema: StructType) -> None:
@@ -172,29 +188,37 @@ def run_medallion(
             result.write.target,
             schema,
             partition_by=next(iter(result.write.partition_by), None),
+            replace=True,
         )
 
     def ingest() -> StageResult:
-        folder = land_bronze(incoming, layout.bronze, stamp)
+        folder = land_bronze(incoming, layout.bronze, stamp, multi_line=multi_line)
         return StageResult("ingest", WriteResult(WRITTEN, folder))
 
     def to_silver() -> StageResult:
         result = bronze_to_silver(
-            read_bronze_csv(spark, layout.bronze),
+            bronze_source or layout.bronze,
             layout.silver,
             partition_by=silver_partition,
+            multi_line=multi_line,
+            rebalance=rebalance,
             metrics=metrics,
         )
         register("silver_orders", result, SILVER)
         return result
 
     def to_gold() -> StageResult:
+        source = silver_source or layout.silver
+        if is_path(source) and not Files(spark).exists(source):
+            logger.warning("No silver at %s, skipping gold.", source)
+            return StageResult("silver_to_gold", WriteResult(SKIPPED_EMPTY, layout.gold))
         result = silver_to_gold(
-            read_layer(spark, layout.silver, SILVER),
+            source,
             layout.gold,
             partition_by=gold_partition,
             exact_cents=exact_cents,
-            metrics=metrics,
+            rebalance=rebalance,
+            metrics=bool(metrics),
         )
         register("gold_orders", result, GOLD)
         return result

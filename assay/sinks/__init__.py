@@ -6,6 +6,7 @@ from assay.sinks.layers import (
     WriteResult,
     append_layer,
     resolve_partition,
+    staging_folder,
     write_layer,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "land_bronze",
     "register_table",
     "resolve_partition",
+    "staging_folder",
     "write_layer",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from assay.sources.bronze import CSV_QUOTING
@@ -30,6 +31,13 @@ def _same_location(left: str, right: str) -> bool:
     return bare(left) == bare(right)
 
 
+def _refuse_files_outside(spark: SparkSession, path: str, column: str) -> None:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    outside = files.filter(~F.col("path").contains(f"/{column}=")).select("path").first()
+    if outside is not None:
+        raise ValueError(f"{outside[0]} lies in no {column}= folder and would not be shown")
+
+
 def register_table(
     spark: SparkSession,
     table: str,
@@ -38,14 +46,19 @@ def register_table(
     *,
     partition_by: str | None = None,
     file_format: str = "parquet",
+    replace: bool = False,
 ) -> str:
     """Make ``table`` an external table over ``path`` and bring its partitions up to date.
 
     Call it after every write: a partitioned table shows no rows until its partitions are listed, and
     shows partitions that an overwrite has removed until they are dropped. A table of that name over
-    another place or layout is registered anew; one that owns its data is left alone and refused.
+    another place or layout is registered anew only with ``replace``, as its grants and properties are
+    lost; one that owns its data is always left alone and refused. A partitioned table shows only what
+    lies in partition folders, so files elsewhere below ``path`` are refused as well.
     """
     columns = list(schema)
+    if partition_by is not None and partition_by in schema.names:
+        _refuse_files_outside(spark, path, partition_by)
     if partition_by is not None and partition_by not in schema.names:
         raise ValueError(f"{partition_by} is not a column of {table}")
 
@@ -60,6 +73,8 @@ def register_table(
             == {f.name: f.dataType for f in columns}
             and partitions_known == ([partition_by] if partition_by else [])
         )
+        if not unchanged and not replace:
+            raise ValueError(f"{table} is registered over another place or layout; pass replace=True")
         if not unchanged:
             spark.sql(f"DROP TABLE {table}")
 

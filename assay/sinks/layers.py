@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assay.workspace import Files
+
 logger = logging.getLogger(__name__)
 
 WRITTEN = "written"
 SKIPPED_EMPTY = "skipped_empty"
 
+# Text columns that a layer may be partitioned by.
+_TEXT_KEYS = ("country", "product")
+
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write did, and the partition column it settled on."""
+    """What a write did, the partition column it settled on, and how many rows it wrote."""
 
     status: str
     target: str
     partition_by: tuple[str, ...] = ()
+    rows: int | None = None
 
 
 def resolve_partition(df: DataFrame, name: str | None) -> list[str]:
@@ -31,6 +38,23 @@ def resolve_partition(df: DataFrame, name: str | None) -> list[str]:
     return []
 
 
+def blank_keys_as_null(df: DataFrame) -> DataFrame:
+    """An empty country or product is null: a partition folder cannot hold an empty text, and the rows
+    of a layer must not depend on how it is partitioned."""
+    texts = {
+        name: F.nullif(F.col(name), F.lit(""))
+        for name, kind in df.dtypes
+        if name in _TEXT_KEYS and kind == "string"
+    }
+    return df.withColumns(texts) if texts else df
+
+
+def staging_folder(target: str) -> str:
+    """A new folder beside the target, so on the same store."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/_staging-{name}-{uuid.uuid4().hex}"
+
+
 def write_layer(
     df: DataFrame,
     target: str,
@@ -39,37 +63,67 @@ def write_layer(
     partition_by: str | None = None,
     partition_overwrite: str = "static",
     compression: str = "snappy",
-    probe: DataFrame | None = None,
     rebalance: bool = True,
 ) -> WriteResult:
     """Write ``df`` as Parquet, unless it has no rows: then leave the old target as it is.
 
-    ``probe`` is a cheaper frame that is empty exactly when ``df`` is; it is asked for one row only.
+    ``df`` is worked out once, into a folder beside the target; the footers there tell the number of
+    rows. A static overwrite then puts that folder in the target's place, so one that fails leaves the
+    old layer alone; on an object store the move is a copy made by the store. Other modes write the
+    stored rows on from there.
 
-    A partitioned write is rebalanced by its partition column first: adaptive execution merges small
-    partitions and splits one that holds much of the data over many tasks, each writing its own file.
-    Without adaptive execution nothing would split it, so the rows stay where they are.
+    ``rebalance`` shuffles a partitioned write by its partition column once more: adaptive execution
+    merges small partitions and splits one that holds much of the data over many tasks, each writing
+    its own file. Leave it off for a column of few values, where tasks write files of useful size
+    anyhow. Without adaptive execution nothing would be split, so the rows stay where they are.
     """
-    spark = df.sparkSession
+    spark, files = df.sparkSession, Files(df.sparkSession)
     partition_cols = resolve_partition(df, partition_by) if partition_by is not None else []
-    if (df if probe is None else probe).isEmpty():
-        logger.warning("No rows for %s, skipping the write.", target)
-        return WriteResult(SKIPPED_EMPTY, target, tuple(partition_cols))
+    df = blank_keys_as_null(df)
+    schema = df.schema
+
+    def writer(rows: DataFrame):
+        out = rows.write.option("compression", compression)
+        return out.partitionBy(*partition_cols) if partition_cols else out
 
     adaptive = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
     if partition_cols and rebalance and adaptive:
         df = df.hint("rebalance", *[F.col(name) for name in partition_cols])
-    writer = df.write.mode(mode).option("compression", compression)
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-        if mode == "overwrite":
-            writer = writer.option("partitionOverwriteMode", partition_overwrite)
-    writer.parquet(target)
+    staged = staging_folder(target)
+    try:
+        writer(df).parquet(staged)
+        rows = spark.read.schema(schema).parquet(staged)
+        count = rows.count()
+        if not count:
+            logger.warning("No rows for %s, skipping the write.", target)
+            return WriteResult(SKIPPED_EMPTY, target, tuple(partition_cols), 0)
+        if mode == "overwrite" and (partition_overwrite == "static" or not partition_cols):
+            _put_in_place(files, staged, target)
+        else:
+            writer(rows).mode(mode).option("partitionOverwriteMode", partition_overwrite).parquet(target)
+    finally:
+        files.delete(staged)
     logger.info("Wrote %s", target)
-    return WriteResult(WRITTEN, target, tuple(partition_cols))
+    return WriteResult(WRITTEN, target, tuple(partition_cols), count)
+
+
+def _put_in_place(files: Files, staged: str, target: str) -> None:
+    """The old layer is moved aside first and deleted last."""
+    old = staging_folder(target)
+    replaced = files.exists(target)
+    if replaced:
+        files.move(target, old)
+    try:
+        files.move(staged, target)
+    except Exception:
+        if replaced:
+            files.move(old, target)
+        raise
+    if replaced:
+        files.delete(old)
 
 
 def append_layer(df: DataFrame, target: str) -> WriteResult:
     """Add ``df`` to the target as snappy Parquet, without a guard: a rerun adds its rows again."""
-    df.write.mode("append").option("compression", "snappy").parquet(target)
+    blank_keys_as_null(df).write.mode("append").option("compression", "snappy").parquet(target)
     return WriteResult(WRITTEN, target)

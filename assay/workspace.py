@@ -33,12 +33,42 @@ def shared_base(spark: SparkSession) -> str:
     raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all nodes share")
 
 
+class Files:
+    """A few file operations on whatever store a path is in."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _open(self, path: str):
+        found = self._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self._conf), found
+
+    def exists(self, path: str) -> bool:
+        store, found = self._open(path)
+        return store.exists(found)
+
+    def make(self, path: str, *, until_exit: bool = False) -> None:
+        store, found = self._open(path)
+        store.mkdirs(found)
+        if until_exit:
+            store.deleteOnExit(found)
+
+    def delete(self, path: str) -> None:
+        store, found = self._open(path)
+        store.delete(found, True)
+
+    def move(self, source: str, target: str) -> None:
+        store, found = self._open(source)
+        _, place = self._open(target)
+        if place.getParent() is not None:
+            store.mkdirs(place.getParent())
+        if not store.rename(found, place):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
 def new_folder(spark: SparkSession) -> str:
     """A new folder below the shared one, deleted when the driver's JVM ends in good order."""
     folder = f"{shared_base(spark)}/assay-{uuid.uuid4().hex}"
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    file_system = path.getFileSystem(context._jsc.hadoopConfiguration())
-    file_system.mkdirs(path)
-    file_system.deleteOnExit(path)
+    Files(spark).make(folder, until_exit=True)
     return folder

@@ -57,9 +57,12 @@ def test_another_place_or_layout_registers_anew(spark, db, tmp_path):
     write_layer(silver(spark, {"order_id": "a"}), str(tmp_path / "a"))
     write_layer(silver(spark, {"order_id": "b"}), str(tmp_path / "b"), partition_by="country")
     register_table(spark, table, str(tmp_path / "a"), SILVER)
-    register_table(spark, table, str(tmp_path / "b"), SILVER, partition_by="country")
+    with pytest.raises(ValueError, match="replace=True"):
+        register_table(spark, table, str(tmp_path / "b"), SILVER, partition_by="country")
+    assert [r["order_id"] for r in spark.table(table).collect()] == ["a"]
+    register_table(spark, table, str(tmp_path / "b"), SILVER, partition_by="country", replace=True)
     assert [r["order_id"] for r in spark.table(table).collect()] == ["b"]
-    register_table(spark, table, str(tmp_path / "a"), SILVER)
+    register_table(spark, table, str(tmp_path / "a"), SILVER, replace=True)
     assert [r["order_id"] for r in spark.table(table).collect()] == ["a"]
     assert spark.read.parquet(str(tmp_path / "b")).count() == 1
 
@@ -87,3 +90,17 @@ def test_bronze_files_as_a_table(spark, db, tmp_path):
         )
         assert read_table(spark, f"{db}.bronze", BRONZE).count() == number + 1
     assert {r["product"] for r in spark.table(f"{db}.bronze").collect()} == {'a "b", c'}
+
+
+def test_files_outside_the_partitions_are_refused(spark, db, tmp_path):
+    root = tmp_path / "orders"
+    land_bronze(bronze(spark, {}), str(root))
+    (root / "flat.csv").write_text(",".join(BRONZE.names) + "\n")
+    with pytest.raises(ValueError, match="flat.csv"):
+        register_table(spark, f"{db}.hidden", str(root), _with_run(), partition_by="run", file_format="csv")
+
+
+def _with_run():
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    return StructType([*BRONZE, StructField("run", StringType())])

@@ -3,13 +3,14 @@ from __future__ import annotations
 import logging
 from pathlib import Path
 
+import pytest
 from frames import silver
 from pyspark.sql import functions as F
 
 from assay.operators import drop_missing_critical
 from assay.schemas import SILVER
 from assay.sinks import SKIPPED_EMPTY, WRITTEN, append_layer, resolve_partition, write_layer
-from assay.sources import open_source, read_layer
+from assay.sources import open_source, read_foreign_layer, read_layer
 
 
 def _ids(spark, path):
@@ -69,11 +70,58 @@ def test_no_rows_and_no_target(spark, tmp_path):
     assert not target.exists()
 
 
-def test_probe_decides(spark, tmp_path):
-    target = tmp_path / "t"
-    df = silver(spark, {})
-    assert write_layer(df, str(target), probe=df.filter("false")).status == SKIPPED_EMPTY
-    assert write_layer(df, str(target), probe=df).status == WRITTEN
+def test_rows_are_counted_and_worked_out_once(spark, tmp_path):
+    target = str(tmp_path / "t")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = silver(spark, {}, {}, {})
+    result = write_layer(df.mapInArrow(count, df.schema), target, partition_by="country", rebalance=False)
+    assert (result.rows, seen.value) == (3, 3)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_failed_overwrite_leaves_the_old_layer(spark, tmp_path):
+    target = str(tmp_path / "t")
+    write_layer(silver(spark, {}), target)
+    bad = silver(spark, {}, {}).withColumn("product", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        write_layer(bad, target)
+    assert _ids(spark, target) == ["0"] and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_layer_can_be_rewritten_from_itself(spark, tmp_path):
+    target = str(tmp_path / "t")
+    write_layer(silver(spark, {}, {}), target)
+    write_layer(read_layer(spark, target, SILVER).filter("order_id = '1'"), target)
+    assert _ids(spark, target) == ["1"]
+
+
+def test_append_mode_is_guarded_too(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for df in (silver(spark, {}), silver(spark, {}).filter("false"), silver(spark, {})):
+        write_layer(df, target, mode="append", partition_by="country")
+    assert _ids(spark, target) == ["0", "0"]
+
+
+@pytest.mark.parametrize("partition_by", [None, "country"])
+def test_an_empty_country_is_null_in_any_layout(spark, tmp_path, partition_by):
+    target = str(tmp_path / "t")
+    write_layer(silver(spark, {"country": ""}, {"country": None}), target, partition_by=partition_by)
+    assert {r["country"] for r in read_layer(spark, target, SILVER).collect()} == {None}
+
+
+def test_a_layer_of_another_writer(spark, tmp_path):
+    target = str(tmp_path / "t")
+    df = silver(spark, {"quantity": 3}).withColumn("quantity", F.col("quantity").cast("bigint"))
+    df.write.parquet(target)
+    found = read_foreign_layer(spark, target, SILVER)
+    assert found.schema["quantity"].dataType == SILVER["quantity"].dataType
+    assert found.first()["quantity"] == 3
 
 
 def test_static_overwrite_drops_partitions_dynamic_keeps_them(spark, tmp_path):

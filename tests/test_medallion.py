@@ -7,6 +7,7 @@ from frames import bronze, silver
 from pyspark.sql import functions as F
 
 from assay.plans import (
+    WRITTEN_ROWS,
     StageFailed,
     bronze_to_silver,
     bronze_to_silver_basic,
@@ -16,7 +17,7 @@ from assay.plans import (
     silver_to_gold,
     silver_to_gold_basic,
 )
-from assay.schemas import GOLD, GOLD_BASIC, SILVER, Layout
+from assay.schemas import BRONZE, GOLD, GOLD_BASIC, SILVER, Layout
 from assay.sinks import SKIPPED_EMPTY, WRITTEN
 from assay.sources import generate_orders, read_layer
 
@@ -65,17 +66,67 @@ def test_runs_from_ingest_to_gold(spark, tmp_path):
         spark.sql("DROP DATABASE lake CASCADE")
 
 
-def test_a_failure_names_its_stage_and_stops(spark, tmp_path):
+def test_a_first_batch_without_a_valid_row_is_skipped_to_the_end(spark, tmp_path):
     layout = Layout(str(tmp_path))
     bad = bronze(spark, {"order_date": "never"})
-    # Silver is skipped for want of valid rows; there is no earlier silver to roll up.
-    with pytest.raises(StageFailed, match="silver_to_gold") as failure:
-        run_medallion(spark, bad, layout)
-    assert failure.value.stage == "silver_to_gold" and failure.value.__cause__ is not None
+    results = run_medallion(spark, bad, layout, metrics=True)
+    assert [r.write.status for r in results] == [WRITTEN, SKIPPED_EMPTY, SKIPPED_EMPTY]
+    assert results[1].metrics == {"raw_rows": 1, "clean_rows": 0, "removed_rows": 1}
+    results = run_medallion(spark, bronze(spark, {}), layout)
+    assert {r.write.status for r in results} == {WRITTEN}
+
+
+def test_a_failure_names_its_stage_and_stops(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    with pytest.raises(StageFailed, match="bronze_to_silver") as failure:
+        run_medallion(spark, bronze(spark, {}), layout, bronze_source="no_such_table")
+    assert failure.value.stage == "bronze_to_silver" and failure.value.__cause__ is not None
 
     (tmp_path / "other").write_text("a file where a folder should be")
     with pytest.raises(StageFailed, match="ingest"):
-        run_medallion(spark, bad, Layout(str(tmp_path / "other")))
+        run_medallion(spark, bronze(spark, {}), Layout(str(tmp_path / "other")))
+
+
+def test_old_flat_files_stay_in_silver(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    folder = Path(layout.bronze)
+    folder.mkdir(parents=True)
+    lines = [f"old{i},2024-01-05,101,US,Widget A,3,9.99" for i in range(50)]
+    (folder / "orders_lambda_1.csv").write_text("\n".join([",".join(BRONZE.names), *lines]) + "\n")
+    new = bronze(spark, *[{"order_id": f"new{i}"} for i in range(5)])
+    results = run_medallion(spark, new, layout, metrics=True)
+    assert results[1].metrics == {"raw_rows": 55, "clean_rows": 55, "removed_rows": 0}
+    ids = {r["order_id"] for r in read_layer(spark, layout.silver, SILVER).collect()}
+    assert {f"old{i}" for i in range(50)} < ids
+
+
+def test_line_breaks_go_through_the_run(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    rows = bronze(spark, {"order_id": "1", "product": "Widget\nA"}, {"order_id": "2"})
+    with pytest.raises(StageFailed, match="ingest"):
+        run_medallion(spark, rows, layout)
+    results = run_medallion(spark, rows, layout, multi_line=True, metrics=True)
+    assert results[1].metrics == {"raw_rows": 2, "clean_rows": 2, "removed_rows": 0}
+
+
+def test_jobs_by_name_and_by_path(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    bronze(spark, {}, {"order_id": "2"}).createOrReplaceTempView("orders_view")
+    bronze_to_silver("orders_view", layout.silver)
+    read_layer(spark, layout.silver, SILVER).createOrReplaceTempView("silver_view")
+    for source in ("silver_view", layout.silver):
+        silver_to_gold(source, layout.gold)
+        assert read_layer(spark, layout.gold, GOLD).first()["total_quantity"] > 0
+    results = run_medallion(
+        spark, bronze(spark, {}), layout, bronze_source="orders_view", silver_source="silver_view"
+    )
+    assert {r.write.status for r in results} == {WRITTEN}
+
+
+def test_counts_of_what_was_written_alone(spark, tmp_path):
+    source = bronze(spark, {}, {"quantity": "0"})
+    result = bronze_to_silver(source, str(tmp_path / "s"), metrics=WRITTEN_ROWS)
+    assert result.metrics == {"clean_rows": 1}
 
 
 def test_an_empty_batch_leaves_the_old_layers(spark, tmp_path):
@@ -124,12 +175,14 @@ def test_gold_job(spark, tmp_path, metrics):
     assert read_layer(spark, target, GOLD).count() == 1
 
 
-def test_kept_rollup_is_released(spark, tmp_path):
+def test_nothing_is_left_behind(spark, tmp_path):
     spark.catalog.clearCache()
     silver_to_gold(silver(spark, {}), str(tmp_path / "gold"), metrics=True)
     with pytest.raises(Exception):
-        silver_to_gold(silver(spark, {}).withColumn("quantity", F.raise_error("no")), str(tmp_path / "g"))
+        bad = silver(spark, {}).withColumn("quantity", F.raise_error(F.lit("no")).cast("int"))
+        silver_to_gold(bad, str(tmp_path / "g"), metrics=True)
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert [p.name for p in tmp_path.iterdir()] == ["gold"]
 
 
 def test_basic_jobs(spark, tmp_path):
