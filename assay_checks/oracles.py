@@ -94,6 +94,34 @@ def with_stages(final: str, bronze: str = BRONZE) -> str:
     return f"WITH {steps}\n{final}"
 
 
+# Prices in quarters, summed as doubles: exact in any order.
+QUARTERS = """
+SELECT order_date, country, product, quantity, floor(unit_price * 4) / 4 AS price FROM silver
+"""
+
+
+def _double_rollup(mean: str, rule: str) -> str:
+    return with_stages(
+        "SELECT order_date, country, product, CAST(sum(quantity) AS BIGINT) AS total_quantity,"
+        f" sum(quantity * price) AS total_revenue{mean} FROM ({QUARTERS}) q"
+        f" GROUP BY order_date, country, product{rule}"
+    )
+
+
+# Line 0 of 3 has lost its country.
+DRIFTED = """
+SELECT order_id, order_date, customer_id,
+  CASE WHEN CAST(split_part(order_id, '-', 2) AS INT) % 3 = 0 THEN NULL ELSE country END AS country,
+  product, quantity, NULLIF(unit_price, '') AS unit_price
+FROM bronze
+"""
+
+BROKEN = """
+SELECT * REPLACE (CASE WHEN CAST(customer_id AS INT) % 7 = 0 THEN replace(product, ' ', chr(10))
+  ELSE product END AS product)
+FROM silver
+"""
+
 _D = "SELECT * FROM gold_clean"
 _S = "SELECT * FROM silver"
 _REPORT = (
@@ -131,6 +159,23 @@ ORACLES: dict[str, str] = {
         " (SELECT count(*) FROM gold) AS gold_rows,"
         " (SELECT count(*) FROM gold_clean) AS gold_clean_rows"
     ),
+    "gold_orders_double": _double_rollup(
+        ", sum(price) / count(price) AS avg_unit_price",
+        " HAVING order_date IS NOT NULL AND country IS NOT NULL AND product IS NOT NULL"
+        " AND sum(quantity) >= 0 AND sum(quantity * price) >= 0",
+    ),
+    "gold_basic_double": _double_rollup("", ""),
+    "silver_basic_mixed_case": with_stages(
+        "SELECT order_id, order_date, customer_id, country, product, quantity, unit_price,"
+        " total_amount FROM basic"
+    ),
+    "bronze_mixed_layout": with_stages(
+        "SELECT order_id, order_date, customer_id, country, product, quantity,"
+        " NULLIF(unit_price, '') AS unit_price FROM bronze"
+    ),
+    "bronze_drifted_headers": with_stages(DRIFTED),
+    "bronze_line_breaks_roundtrip": with_stages(BROKEN),
+    "medallion_from_catalog": with_stages(_D),
     "bronze_csv_roundtrip": with_stages(
         "SELECT order_id, order_date, customer_id, country, product, quantity,"
         " NULLIF(unit_price, '') AS unit_price FROM bronze"

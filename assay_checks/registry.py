@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -36,6 +37,7 @@ from assay.plans import (
 from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
 from assay.sinks import land_bronze, register_table
 from assay.sources import fill_orders, read_bronze_csv, read_layer, read_table
+from assay.sources.bronze import CSV_QUOTING
 from assay.workspace import new_folder
 from assay_checks.star_bronze import star_bronze
 
@@ -76,6 +78,85 @@ def bronze_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze_csv(spark, layout.bronze)
 
 
+def _write_csv(rows: DataFrame, folder: str) -> None:
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, **CSV_QUOTING}
+    rows.write.mode("append").options(header=True, **options).csv(folder)
+
+
+def _line(part: int):
+    return F.col("l_linenumber") % 3 == part
+
+
+def _numbered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze with the line number that its order ids end in."""
+    rows = star_bronze(spark, sf_dir)
+    return rows.withColumn("l_linenumber", F.substring_index("order_id", "-", -1).cast("int"))
+
+
+def bronze_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files flat in the root, in a run's folder and in a plain one."""
+    layout = Layout(new_folder(spark))
+    rows = _numbered_bronze(spark, sf_dir)
+    _write_csv(rows.filter(_line(0)).drop("l_linenumber"), layout.bronze)
+    land_bronze(rows.filter(_line(1)), layout.bronze, "20240105_000000")
+    _write_csv(rows.filter(_line(2)).drop("l_linenumber"), f"{layout.bronze}/2024/01")
+    return read_bronze_csv(spark, layout.bronze)
+
+
+def bronze_drifted_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group of files without a column, one in another order, one with a column more."""
+    layout = Layout(new_folder(spark))
+    rows = _numbered_bronze(spark, sf_dir)
+    bare = rows.drop("l_linenumber")
+    _write_csv(rows.filter(_line(0)).drop("l_linenumber", "country"), f"{layout.bronze}/a")
+    _write_csv(rows.filter(_line(1)).select(*reversed(bare.columns)), f"{layout.bronze}/b")
+    extra = rows.filter(_line(2)).select(F.lit("web").alias("channel"), *bare.columns)
+    _write_csv(extra, f"{layout.bronze}/c")
+    return read_bronze_csv(spark, layout.bronze)
+
+
+def bronze_line_breaks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with a line break in them, through the files and the silver job."""
+    layout = Layout(new_folder(spark))
+    broken = F.when(
+        F.col("customer_id").cast("int") % 7 == 0, F.regexp_replace("product", " ", "\n")
+    ).otherwise(F.col("product"))
+    land_bronze(star_bronze(spark, sf_dir).withColumn("product", broken), layout.bronze, multi_line=True)
+    bronze_to_silver(layout.bronze, layout.silver, multi_line=True)
+    return read_layer(spark, layout.silver, SILVER)
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with prices in quarters: sums of such doubles are exact in any order."""
+    price = F.floor(F.col("unit_price") * 4) / 4
+    return _silver(spark, sf_dir).withColumns(
+        {"unit_price": price, "total_amount": F.col("quantity") * price}
+    )
+
+
+def silver_basic_mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = star_bronze(spark, sf_dir)
+    return silver_orders_basic(rows.toDF(*[name.title() for name in rows.columns]))
+
+
+def medallion_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs by catalog names."""
+    layout = Layout(new_folder(spark))
+    land_bronze(star_bronze(spark, sf_dir), layout.bronze)
+    bronze = register_table(
+        spark,
+        _table_name(spark, "bronze_orders"),
+        layout.bronze,
+        StructType([*BRONZE, StructField("run", StringType())]),
+        partition_by="run",
+        file_format="csv",
+    )
+    bronze_to_silver(bronze, layout.silver)
+    silver = register_table(spark, _table_name(spark, "silver_orders"), layout.silver, SILVER)
+    silver_to_gold(silver, layout.gold, exact_cents=True)
+    return read_layer(spark, layout.gold, GOLD)
+
+
 def _written_silver(spark: SparkSession, sf_dir: str, partition_by: str | None) -> DataFrame:
     layout = Layout(new_folder(spark))
     bronze_to_silver(star_bronze(spark, sf_dir), layout.silver, partition_by=partition_by)
@@ -114,10 +195,28 @@ def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout.gold, GOLD)
 
 
+def _drop_tables(spark: SparkSession, names: list[str]) -> None:
+    # Without a session there is no catalog left to clear.
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not spark.catalog.listTables(DATABASE):
+        spark.sql(f"DROP DATABASE IF EXISTS {DATABASE}")
+
+
+_made: list[str] = []
+
+
 def _table_name(spark: SparkSession, layer: str) -> str:
-    """A new name in the checks' database: an earlier result may still be read from its own table."""
+    """A new name in the checks' database: an earlier result may still be read from its own table.
+
+    The tables are dropped when the driver ends in good order, as their folders are."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{new_folder(spark)}'")
-    return f"{DATABASE}.{layer}_{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_drop_tables, spark, _made)
+    _made.append(f"{DATABASE}.{layer}_{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +298,14 @@ QUERIES: dict[str, Query] = {
         silver_orders_basic(star_bronze(s, d)), exact_cents=True
     ),
     "dq_metrics_gold": lambda s, d: gold_metrics(_silver(s, d)),
+    "gold_orders_double": lambda s, d: gold_orders(_quarters(s, d)),
+    "gold_basic_double": lambda s, d: gold_orders_basic(_quarters(s, d)),
+    "silver_basic_mixed_case": silver_basic_mixed_case,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
+    "bronze_mixed_layout": bronze_mixed_layout,
+    "bronze_drifted_headers": bronze_drifted_headers,
+    "bronze_line_breaks_roundtrip": bronze_line_breaks_roundtrip,
+    "medallion_from_catalog": medallion_from_catalog,
     "silver_flat_roundtrip": lambda s, d: _written_silver(s, d, None),
     "silver_partitioned_roundtrip": lambda s, d: _written_silver(s, d, "country"),
     "silver_append_roundtrip": silver_append_roundtrip,
