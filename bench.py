@@ -2,7 +2,10 @@
 
 Bronze is made from the star schema and written to Parquet first, so its joins are not timed. Each
 query runs once to warm up and then BENCH_RUNS times (5); the median counts. ``plain_style`` holds the
-same work the plain way: a count after every step, nothing kept, ``dropna`` and ``dropDuplicates``.
+same work the plain way: a bare query beside a bare query, a job with counts beside a job with a count
+after every step; nothing kept, ``dropna`` and ``dropDuplicates``. ``jobs`` counts scans and shuffles
+of everything that a run of each job executes, from Spark's event log; reads of footers alone and the
+single rows of counts are left out.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -38,6 +42,7 @@ from assay_checks.star_bronze import star_bronze
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+EVENTS = tempfile.mkdtemp(prefix="assay-events-")
 
 
 def session() -> SparkSession:
@@ -48,6 +53,10 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "5g"))
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", EVENTS)
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.rolling.enabled", "false")
         .config(map=session_settings(stored, CPUS))
     )
     spark = builder.getOrCreate()
@@ -81,6 +90,31 @@ def plan_shape(df: DataFrame) -> dict[str, int]:
     }
 
 
+def job_shapes(names: list[str]) -> dict[str, dict[str, int]]:
+    """Scans and shuffles of the executions that ran under these descriptions, as last planned."""
+    described: dict[int, str] = {}
+    plans: dict[int, dict] = {}
+    for log in Path(EVENTS).iterdir():
+        for line in log.open(errors="replace"):
+            event = json.loads(line) if "sparkPlanInfo" in line else {}
+            if event.get("description") in names:
+                described[event["executionId"]] = event["description"]
+            if "sparkPlanInfo" in event:
+                plans[event["executionId"]] = event["sparkPlanInfo"]
+
+    def nodes(plan: dict) -> list[tuple[str, str]]:
+        own = (plan["nodeName"].strip(), plan["simpleString"])
+        return [own, *(n for child in plan["children"] for n in nodes(child))]
+
+    found = {name: {"scans": 0, "shuffles": 0} for name in names}
+    for execution, name in described.items():
+        for node, text in nodes(plans[execution]):
+            footers = node.startswith("Scan parquet") and "ReadSchema: struct<>" in text
+            found[name]["scans"] += node.startswith("Scan ") and not footers
+            found[name]["shuffles"] += node == "Exchange" and "SinglePartition" not in text
+    return found
+
+
 # The same work the plain way.
 
 
@@ -179,8 +213,8 @@ def main() -> None:
     }
     plain = {
         "dedup_orders": lambda: run(valid_orders(bronze).dropDuplicates(list(ORDER_KEY))),
-        "silver_orders": lambda: plain_silver_job(bronze, run),
-        "gold_orders": lambda: plain_gold_job(plain_clean(bronze), run),
+        "silver_orders": lambda: run(plain_clean(bronze)),
+        "gold_orders": lambda: run(plain_gold(plain_clean(bronze))[1]),
         "silver_partitioned_roundtrip": plain_silver_written,
         "gold_partitioned_roundtrip": plain_gold_written,
         "medallion_end_to_end": plain_end_to_end,
@@ -190,6 +224,12 @@ def main() -> None:
         timed[name], *rest = medians(work, *([plain[name]] if name in plain else []))
         if rest:
             timed_plain[name] = rest[0]
+    jobs = [name for name in ours if ours[name].__name__ != "<lambda>"]
+    for name in jobs:
+        for label, work in ((name, ours[name]), (f"plain {name}", plain[name])):
+            spark.sparkContext.setJobDescription(label)
+            work()
+    spark.sparkContext.setJobDescription(None)
     result = {
         "metric": "sum of median seconds, all headline queries",
         "value": round(sum(timed.values()), 3),
@@ -207,6 +247,7 @@ def main() -> None:
         "cpus": CPUS,
     }
     spark.stop()
+    result["jobs"] = job_shapes([label for name in jobs for label in (name, f"plain {name}")])
     print(json.dumps(result))
 
 
