@@ -58,17 +58,21 @@ def bronze_to_silver(
     survivor_order: Sequence[str | Column] = (),
     reject_non_finite: bool = False,
     multi_line: bool = False,
+    one_header: bool = False,
     rebalance: bool = True,
     metrics: bool | str = False,
 ) -> StageResult:
     """Write silver in one pass over bronze: a frame, a catalog table's name or a folder of CSV files.
+    For such a folder another pass finds the headers, unless ``one_header`` promises a single one.
 
     ``metrics=WRITTEN_ROWS`` gives ``clean_rows``, from the footers of what was written.
     ``metrics=True`` adds ``raw_rows`` and ``removed_rows``, and for that counts bronze in a second
     pass; for Parquet that reads footers only, for CSV it reads all the text.
     """
     if isinstance(bronze, str):
-        bronze = open_bronze(SparkSession.active(), bronze, multi_line=multi_line)
+        bronze = open_bronze(
+            SparkSession.active(), bronze, multi_line=multi_line, one_header=one_header
+        )
     write = write_layer(
         silver_orders(
             bronze, survivor_order=survivor_order, reject_non_finite=reject_non_finite
@@ -166,6 +170,7 @@ def run_medallion(
     silver_source: str | None = None,
     database: str | None = None,
     multi_line: bool = False,
+    one_header: bool = False,
     exact_cents: bool = False,
     rebalance: bool = True,
     metrics: bool | str = False,
@@ -201,6 +206,7 @@ def run_medallion(
             layout.silver,
             partition_by=silver_partition,
             multi_line=multi_line,
+            one_header=one_header,
             rebalance=rebalance,
             metrics=metrics,
         )

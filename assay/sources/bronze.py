@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 from functools import reduce
-from itertools import islice
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,31 +18,24 @@ CSV_QUOTING = {"quote": '"', "escape": '"'}
 Header = tuple[str, ...]
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of a partition. What follows is neither awaited nor read any further."""
-    for batch in islice((b for b in batches if len(b)), 1):
-        yield batch.slice(0, 1)
-
-
 def header_groups(spark: SparkSession, *paths: str) -> dict[Header, list[str]]:
     """Files below the paths, at any depth, by their header line; empty files are left out.
 
-    The headers are read on the executors: every split of a file is a partition of its own, and only
-    the start of each is read. The driver gets the file names, as it does for any listing.
+    One pass over the text on the executors, which parses nothing and keeps a line a file: Spark has
+    no way to read the start of a file alone. The driver gets the file names, as for any listing.
     """
-    apart = spark.newSession()
-    for name in ("maxPartitionBytes", "openCostInBytes"):
-        apart.conf.set(f"spark.sql.files.{name}", "128m")
-    # At least so many partitions would make smaller splits, so that a file had several.
-    apart.conf.set("spark.sql.files.minPartitionNum", "1")
-    lines = apart.read.option("recursiveFileLookup", True).text(list(paths))
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
     starts = lines.select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
+    ).filter("start = 0")
+    firsts = (
+        starts.withColumn("place", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("value"))
     )
-    firsts = starts.mapInArrow(_first_lines, "value string, file string, start bigint")
-    grouped = firsts.filter("start = 0").groupBy("value").agg(F.collect_list("file").alias("files"))
+    grouped = firsts.groupBy("value").agg(F.collect_list("file").alias("files"))
     out: dict[Header, list[str]] = {}
     for row in grouped.collect():
         line = row["value"].removeprefix("﻿").rstrip("\r")
@@ -65,20 +55,27 @@ def _text_schema(header: Header) -> StructType:
     return StructType(fields)
 
 
-def read_bronze_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
+def read_bronze_csv(
+    spark: SparkSession, *paths: str, multi_line: bool = False, one_header: bool = False
+) -> DataFrame:
     """All CSV files below each path as bronze: text columns, bound by header name.
 
     Files lie flat, in ``run=`` folders or in any others. Files that share a header are read together,
     and the groups are united by name: a column that a group lacks is null there, an extra one is
-    dropped. If there is one header only, a file that comes later with another fails the read.
+    dropped. Finding the headers is a pass over the text of its own: with ``one_header`` the caller
+    vouches that all files of a path share one, and it is left out. A file with another header then
+    fails the read, as does one that comes after the headers were found.
     ``multi_line`` reads line breaks inside quotes, but then a file cannot be split.
     """
     if not paths:
         raise ValueError("no bronze path given")
-    groups = header_groups(spark, *paths)
     reader = spark.read.options(
         header=True, recursiveFileLookup=True, multiLine=multi_line, **CSV_QUOTING
     )
+    if one_header:
+        parts = [reader.options(enforceSchema=False).csv(path) for path in paths]
+        return reduce(DataFrame.unionByName, [align(part, BRONZE) for part in parts])
+    groups = header_groups(spark, *paths)
     if not groups:
         return spark.createDataFrame([], BRONZE)
     if len(groups) == 1:

