@@ -14,19 +14,19 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from collections.abc import Iterable, Iterator
-from functools import cache, lru_cache
-from itertools import chain
+from collections.abc import Iterator
+from functools import cache, cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 # Bounds of memory, not of results: slices kept per worker, code points scanned at a time, and the
 # longest slice that is merged beside others.
-CACHED_SLICES = 400_000
+CACHED_SLICES = 300_000
 CHUNK_CHARS = 1_000_000
 _SIDE_BY_SIDE = 40
 _STRETCH = 64
@@ -71,6 +71,13 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 
 _STEP, _CUT = _automaton()
+# bytes.translate looks up a whole array at about a byte a nanosecond.
+_STEP_TABLE = bytes(_STEP).ljust(256, b"\0")
+_CUT_TABLE = bytes(_CUT.astype(np.uint8)).ljust(256, b"\0")
+
+
+def _looked_up(at: np.ndarray, table: bytes) -> np.ndarray:
+    return np.frombuffer(at.tobytes().translate(table), np.uint8).reshape(at.shape)
 
 
 @cache
@@ -120,12 +127,13 @@ def boundaries(kind: np.ndarray) -> np.ndarray:
     lanes = -(-n // _STRETCH)
     padded = np.full(lanes * _STRETCH, OTHER, np.uint8)
     padded[:n] = kind
-    columns = np.ascontiguousarray(padded.reshape(lanes, _STRETCH).T).astype(np.int16) * 8
+    columns = np.ascontiguousarray(padded.reshape(lanes, _STRETCH).T) * np.uint8(8)
 
     # The function of each stretch, as its eight images.
     images = np.broadcast_to(np.arange(8, dtype=np.uint8), (lanes, 8)).copy()
     for column in columns:
-        images = _STEP[column[:, None] + images]
+        images = _looked_up(column[:, None] + images, _STEP_TABLE)
+    images = images.copy()
     # Prefix compositions by doubling: after them, images[i] is the function of stretches 0 to i.
     reach = 1
     while reach < lanes:
@@ -134,12 +142,12 @@ def boundaries(kind: np.ndarray) -> np.ndarray:
 
     state = np.zeros(lanes, np.uint8)
     state[1:] = images[:-1, 0]
-    marks = np.empty((_STRETCH, lanes), bool)
+    marks = np.empty((_STRETCH, lanes), np.uint8)
     for row, column in enumerate(columns):
         at = column + state
-        marks[row] = _CUT[at]
-        state = _STEP[at]
-    return marks.T.ravel()[:n]
+        marks[row] = _looked_up(at, _CUT_TABLE)
+        state = _looked_up(at, _STEP_TABLE)
+    return marks.T.ravel()[:n].astype(bool)
 
 
 class Ranks:
@@ -152,41 +160,51 @@ class Ranks:
         for token, rank in by_bytes.items():
             self.tokens[rank] = token
         self.byte_ids = np.array([by_bytes[bytes([b])] for b in range(256)], np.int64)
-        self.pairs = {
-            (by_bytes[token[:i]], by_bytes[token[i:]]): rank
-            for token, rank in by_bytes.items()
-            for i in range(1, len(token))
-            if token[:i] in by_bytes and token[i:] in by_bytes
-        }
-        keys = np.array([(a << 32) | b for a, b in self.pairs], np.int64)
-        order = np.argsort(keys)
-        self._keys = keys[order]
-        self._merged = np.array(list(self.pairs.values()), np.int64)[order]
         self._none = len(self.tokens)
         self._by_bytes = by_bytes
-        self._cache: dict[bytes, tuple[int, ...]] = {}
-        self._older: dict[bytes, tuple[int, ...]] = {}
+        # Slices that were merged, with their ids as 32-bit numbers in a row.
+        self._cache: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
+
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of ids, sorted, as one number each, and the rank of the token that they make."""
+        known = self._by_bytes
+        made = np.fromiter(
+            (
+                number
+                for token, rank in known.items()
+                for i in range(1, len(token))
+                if token[:i] in known and token[i:] in known
+                for number in (known[token[:i]] << 32 | known[token[i:]], rank)
+            ),
+            np.int64,
+        ).reshape(-1, 2)
+        made = made[np.argsort(made[:, 0])]
+        return np.ascontiguousarray(made[:, 0]), np.ascontiguousarray(made[:, 1])
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) | right
-        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
-        return np.where(self._keys[at] == key, self._merged[at], self._none)
+        keys, made = self._pairs
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, made[at], self._none)
 
-    def merge_long(self, piece: bytes) -> tuple[int, ...]:
+    def merge_long(self, piece: bytes) -> bytes:
         """One slice, by a heap of pairs over linked symbols."""
         ids = self.byte_ids[list(piece)].tolist()
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [
-            (self.pairs[a, b], i)
-            for i, (a, b) in enumerate(zip(ids, ids[1:]))
-            if (a, b) in self.pairs
-        ]
+        by_id, known = self.tokens, self._by_bytes
+
+        def rank_at(left: int, right: int) -> int | None:
+            return known.get(by_id[ids[left]] + by_id[ids[right]])
+
+        heap = [(rank, i) for i in range(n - 1) if (rank := rank_at(i, i + 1)) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j >= n or self.pairs.get((ids[i], ids[j])) != rank:
+            if ids[i] < 0 or j >= n or rank_at(i, j) != rank:
                 continue
             ids[i], ids[j] = rank, -1
             after[i] = after[j]
@@ -194,14 +212,14 @@ class Ranks:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
                 if left >= 0 and right < n:
-                    found = self.pairs.get((ids[left], ids[right]))
+                    found = rank_at(left, right)
                     if found is not None:
                         heapq.heappush(heap, (found, left))
-        return tuple(x for x in ids if x >= 0)
+        return np.array([x for x in ids if x >= 0], np.int32).tobytes()
 
-    def merge_many(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
         """Slices side by side: in each round every unfinished one makes its lowest, leftmost merge."""
-        done: list[tuple[int, ...]] = [()] * len(pieces)
+        done = [b""] * len(pieces)
         if not pieces:
             return done
         owner = np.arange(len(pieces))
@@ -216,8 +234,11 @@ class Ranks:
             best = np.minimum.reduceat(rank, heads)
             finished = best == self._none
             if finished.any():
-                for k in np.flatnonzero(finished).tolist():
-                    done[owner[k]] = tuple(ids[heads[k] : heads[k] + lengths[k]].tolist())
+                raw = ids.astype(np.int32).tobytes()
+                at = 4 * heads[finished]
+                to = at + 4 * lengths[finished]
+                for k, a, b in zip(owner[finished].tolist(), at.tolist(), to.tolist()):
+                    done[k] = raw[a:b]
                 going = ~finished
                 stay = np.repeat(going, lengths)
                 ids, rank, best = ids[stay], rank[stay], best[going]
@@ -242,8 +263,8 @@ class Ranks:
             rank[back - 1] = self._pair_ranks(ids[back - 1], ids[back])
         return done
 
-    def ids(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of each slice."""
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each slice, as 32-bit numbers in a row."""
         if len(self._cache) > CACHED_SLICES // 2:
             self._older, self._cache = self._cache, {}
         known, older, whole = self._cache, self._older, self._by_bytes
@@ -254,13 +275,13 @@ class Ranks:
             if piece in older:
                 known[piece] = older[piece]
             elif piece in whole:
-                known[piece] = (whole[piece],)
+                known[piece] = whole[piece].to_bytes(4, "little")
             elif len(piece) > _SIDE_BY_SIDE:
                 known[piece] = self.merge_long(piece)
             else:
                 side_by_side.append(piece)
         known.update(zip(side_by_side, self.merge_many(side_by_side)))
-        return [known[piece] for piece in pieces]
+        return list(map(known.__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
@@ -281,44 +302,58 @@ def slices(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     raw = joined.encode()
     at = cuts
     if len(raw) > len(points):
-        width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-        at = (np.cumsum(width) - width)[cuts]
+        at = np.flatnonzero(np.frombuffer(raw, np.int8) >= -64)[cuts]  # not a continuation byte
     ends = [*at[1:].tolist(), len(raw)]
     pieces = [raw[a:b] for a, b in zip(at.tolist(), ends)]
     upto = np.searchsorted(cuts, np.append(heads, len(points)))
     return pieces, np.diff(upto)
 
 
-def encode_texts(texts: list[str], path: str) -> list[list[int]]:
-    """Ids of each text; the whole list is scanned as one chunk."""
+def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and how many each text has; scanned as one chunk."""
     pieces, counts = slices(texts)
-    found = iter(ranks(path).ids(pieces))
+    found = ranks(path).ids(pieces)
+    flat = np.frombuffer(b"".join(found), np.int32)
+    upto = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+    return flat, np.diff(upto[np.append(0, np.cumsum(counts))])
+
+
+def _chunks(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in a row with up to ``CHUNK_CHARS`` bytes together, or a single longer one."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        most = CHUNK_CHARS + (upto[at - 1] if at else 0)
+        end = max(int(np.searchsorted(upto, most, "right")), at + 1)
+        yield [text or "" for text in texts.slice(at, end - at).to_pylist()]
+        at = end
+
+
+def decode_ids(flat: np.ndarray, counts: np.ndarray, path: str) -> list[bytes]:
+    """The bytes of texts from their ids in a row and how many each has."""
+    by_id = ranks(path).tokens
+    ends = np.cumsum(counts, dtype=np.int64)
     return [
-        list(chain.from_iterable(next(found) for _ in range(count))) for count in counts.tolist()
+        b"".join(map(by_id.__getitem__, flat[a:b].tolist()))
+        for a, b in zip((ends - counts).tolist(), ends.tolist())
     ]
 
 
-def _chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
-    chunk, size = [], 0
-    for text in texts:
-        chunk.append(text or "")
-        size += len(chunk[-1])
-        if size >= CHUNK_CHARS:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
-
-
-def encode(docs: DataFrame, path: str, *, text: str = "text", offsets: bool = True) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, *, text: str = "text", offsets: bool = True, decoded: bool = False
+) -> DataFrame:
     """``docs`` with ``ids`` and, if wanted, ``offsets``: the first byte of each token in the text.
 
-    ``path`` names a rank file that every node can open. A null or empty text has no ids. Columns of
-    ``docs`` by these two names are replaced, all others are passed on.
+    ``decoded`` adds the bytes that the ids stand for, as :func:`decode` would, without sending them
+    back first. ``path`` names a rank file that every node can open. A null or empty text has no ids.
+    Columns of ``docs`` by these three names are replaced, all others are passed on.
     """
     added = [StructField("ids", ArrayType(IntegerType()))]
     if offsets:
         added.append(StructField("offsets", ArrayType(IntegerType())))
+    if decoded:
+        added.append(StructField("decoded", BinaryType()))
     kept = docs.drop(*[field.name for field in added])
     schema = StructType([*kept.select(F.struct("*").alias("row")).schema, *added])
 
@@ -326,22 +361,21 @@ def encode(docs: DataFrame, path: str, *, text: str = "text", offsets: bool = Tr
         lengths = np.fromiter(map(len, ranks(path).tokens), np.int32)
         for batch in batches:
             done = 0
-            for chunk in _chunks(batch.column("text_in").to_pylist()):
-                ids = encode_texts(chunk, path)
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            for chunk in _chunks(batch.column("text_in")):
+                flat, counts = encode_texts(chunk, path)
                 edges = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum()))
                 columns = [
                     batch.column("row").slice(done, len(chunk)),
                     pa.ListArray.from_arrays(edges, pa.array(flat)),
                 ]
                 if offsets:
                     wide = lengths[flat]
-                    at = np.cumsum(wide) - wide
+                    at = np.append(np.cumsum(wide) - wide, 0)
                     first = np.append(0, np.cumsum(counts))[:-1]
-                    base = at[np.minimum(first, max(len(at) - 1, 0))] if len(at) else first
-                    at = (at - np.repeat(base, counts)).astype(np.int32)
+                    at = (at[:-1] - np.repeat(at[first], counts)).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(edges, pa.array(at)))
+                if decoded:
+                    columns.append(pa.array(decode_ids(flat, counts, path), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 done += len(chunk)
 
@@ -358,12 +392,10 @@ def decode(tokens: DataFrame, path: str, *, ids: str = "ids", out: str = "decode
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = ranks(path).tokens
         for batch in batches:
-            text = [
-                b"".join([by_id[i] for i in row] if row else [])
-                for row in (x.as_py() for x in batch.column("ids_in"))
-            ]
+            column = batch.column("ids_in")
+            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            text = decode_ids(column.flatten().to_numpy(), counts, path)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(text, pa.binary())], names=schema.names
             )
