@@ -133,8 +133,8 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, path, offsets=False).drop("text")
-    return bpe.decode(tokens, path).select(
+    tokens = bpe.encode(docs, path, offsets=False, decoded=True)
+    return tokens.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
