@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 from assay.workspace import new_folder
 
 
-def _minima(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("least"))
+#: Tasks that share the links of a hot node.
+SALTS = 16
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``edges`` with the ``least`` neighbour of ``u``. A node's links are dealt over ``SALTS`` tasks:
+    its minimum, one row, is sent to each of them."""
+    salts = F.array(*map(F.lit, range(SALTS)))
+    least = edges.groupBy("u").agg(F.min("v").alias("least")).withColumn("salt", F.explode(salts))
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least, ["u", "salt"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
-        both.join(_minima(both), "u")
+        _with_least(both)
         .filter(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
     )
@@ -24,8 +33,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of these."""
-    joined = edges.join(_minima(edges), "u")
-    return joined.select(
+    return _with_least(edges).select(
         F.when(F.col("v") == F.col("least"), F.col("u")).otherwise(F.col("v")).alias("u"),
         F.col("least").alias("v"),
     ).distinct()
@@ -37,8 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` holds ``u`` and ``v`` in any order, repeats and loops allowed. Alternating stars halve
     the distance to the root, so rounds grow with the logarithm of the longest chain. Each round is
     written to the shared folder: the lineage is cut there and a lost executor costs one round at
-    most. Minima are summed in each task before the shuffle, and a hot node's links are an ordinary
-    skewed join.
+    most. Minima are taken in each task before the shuffle.
     """
     spark = edges.sparkSession
     base = new_folder(spark)
