@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+from pyspark.sql import functions as F
+
+from assay.llm.text import fold, word_count, words
+
+PIECES = ["a", "B", "é", "汉", "😀", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "　", "\x00"]
+
+
+def test_words_are_those_of_bytes_split(spark):
+    pick = random.Random(1)
+    texts = ["".join(pick.choices(PIECES, k=pick.randint(0, 20))) for _ in range(500)] + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in docs.select("t", words(F.col("t")).alias("w"), word_count(F.col("t")).alias("n")).collect():
+        want = [w.decode() for w in (row["t"] or "").encode().split()]
+        assert row["w"] == want and row["n"] == len(want)
+
+
+def test_fold_is_crc32_of_the_decimal_text(spark):
+    ids = [0, 1, 12345, -7, None]
+    docs = spark.createDataFrame([(i,) for i in ids], "i bigint")
+    for row in docs.select("i", fold(F.col("i"), 5).alias("f")).collect():
+        text = "" if row["i"] is None else str(row["i"])
+        assert row["f"] == zlib.crc32(text.encode()) % 5
