@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 from assay.cluster import session_settings
-from assay.workspace import new_folder, shared_base
+from assay.workspace import Files, new_folder, shared_base
 
 
 class FakeSession:
@@ -57,3 +57,22 @@ def test_settings_of_small_data():
     assert settings["spark.sql.shuffle.partitions"] == "8"
     assert settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "true"
     assert settings["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_expanded_data_gets_more_partitions_but_no_larger_splits():
+    plain, wide = session_settings(10**13, 1000), session_settings(10**13, 1000, expansion=3.0)
+    count = "spark.sql.shuffle.partitions"
+    assert int(wide[count]) > 2 * int(plain[count])
+    assert int(wide["spark.sql.files.maxPartitionBytes"]) <= 2**30
+
+
+def test_files_can_be_moved_and_deleted(spark, tmp_path):
+    files, here = Files(spark), tmp_path / "a"
+    files.make(str(here))
+    (here / "x").write_text("1")
+    files.move(str(here), str(tmp_path / "b" / "c"))
+    assert not files.exists(str(here)) and (tmp_path / "b" / "c" / "x").read_text() == "1"
+    with pytest.raises(Exception):
+        files.move(str(here), str(tmp_path / "d"))
+    files.delete(str(tmp_path / "b"))
+    assert not (tmp_path / "b").exists()
