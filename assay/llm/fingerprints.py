@@ -3,7 +3,7 @@
 A document's shingles (five words, or all of them if fewer) are hashed once. The upper bits of a hash
 name its bin and each bin keeps its smallest hash. An empty bin borrows from a full one that a hash of
 both bin numbers picks: the same walk over bins for every document, so two documents that share a full
-bin agree on the borrowed value. Of each bin the eight lowest bits are stored, as two hex digits.
+bin agree on the borrowed value. Of each bin eight bits are stored, as two hex digits.
 """
 
 from __future__ import annotations
@@ -91,7 +91,8 @@ def densified(minima: Column) -> Column:
 
         def stored(h: Column) -> Column:
             lent = F.coalesce(*[met(_bin(h), step) for step in range(_STEPS)], nearest(_bin(h)))
-            return F.when(_is_empty(h), lent).otherwise(h).bitwiseAND(low)
+            # Hashed with the bin once more: else all that lend one value would agree by one chance.
+            return F.xxhash64(F.when(_is_empty(h), lent).otherwise(h), _bin(h)).bitwiseAND(low)
 
         return F.transform(minima, stored)
 
