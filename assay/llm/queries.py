@@ -61,7 +61,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     whole = fingerprints.fingerprints(docs)
     doc_id, text = F.col("row.doc_id"), F.col("row.text")
-    paired = fingerprints.beside_next(whole, doc_id, text, F.struct(text.alias("text"), "packed"))
+    paired = fingerprints.beside_next(whole, doc_id, F.xxhash64(text), F.struct(text.alias("text"), "packed"))
     n_chars = F.length(text)
     cut = F.floor(n_chars / 3).cast("int")
     edited = paired.select(
