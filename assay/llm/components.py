@@ -18,7 +18,8 @@ def _with_least(edges: DataFrame) -> DataFrame:
     salts = F.array(*map(F.lit, range(SALTS)))
     least = edges.groupBy("u").agg(F.min("v").alias("least")).withColumn("salt", F.explode(salts))
     dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    return dealt.join(least, ["u", "salt"])
+    # Merged, not broadcast: a table of all linked nodes has no bound.
+    return dealt.join(least.hint("merge"), ["u", "salt"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
