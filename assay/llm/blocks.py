@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a block holds on average.
 BLOCK_BYTES = 4 << 20
+#: For a few tasks at least; results are the same at any number.
+FEWEST_BLOCKS = 16
 
 
 def signed(values: np.ndarray) -> pa.Array:
@@ -25,22 +28,27 @@ def block_of(table: pa.Table, rows: int) -> pa.Array:
     return pa.array(np.full(rows, block, np.int64))
 
 
+def texts_of(table: pa.Table, *path: str) -> list[str]:
+    """The texts at ``path`` inside ``row``; a null one is empty."""
+    return [text or "" for text in pc.struct_field(table.column("row"), path).to_pylist()]
+
+
 def with_row(source: DataFrame, added: str) -> StructType:
     """The schema of ``row``, as it is in ``source``, and of further columns given in DDL."""
     return StructType([source.schema["row"], *StructType.fromDDL(added)])
 
 
 def blocked(docs: DataFrame, doc_id: Column, text: Column, block_bytes: int) -> DataFrame:
-    """``docs`` as ``row``, with ``id``, ``body`` and the ``block`` of each.
+    """``docs`` as ``row``, with the ``id`` and the ``block`` of each. The text travels in ``row`` alone,
+    from where :func:`texts_of` takes it.
 
     Rows of one id share a block, so that only rows without an id need an order between blocks.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
+    blocks = max(FEWEST_BLOCKS, -(-size // block_bytes))
     placed = F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
     return docs.select(
         F.struct("*").alias("row"),
         doc_id.cast("bigint").alias("id"),
-        text.cast("string").alias("body"),
         F.pmod(placed, F.lit(blocks)).cast("bigint").alias("block"),
     )

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, unsigned, with_row
+from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, texts_of, unsigned, with_row
 from assay.workspace import new_folder
 
 DEPTH = 5
@@ -193,8 +193,8 @@ def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield chunk
 
 
-def _lowered(column) -> list[bytes]:
-    return [(text or "").encode().lower() for text in column.to_pylist()]
+def _lowered(texts: list[str | None]) -> list[bytes]:
+    return [(text or "").encode().lower() for text in texts]
 
 
 def train_counts(docs: DataFrame, text: Column, held_out: Column, depth: int) -> DataFrame:
@@ -204,7 +204,7 @@ def train_counts(docs: DataFrame, text: Column, held_out: Column, depth: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
-            texts = _lowered(batch.column("body"))
+            texts = _lowered(batch.column("body").to_pylist())
             for own in (False, True):
                 for chunk in _chunks([t for t, h in zip(texts, held) if bool(h) == own]):
                     for kind, keys in ((_GRAM, gram_keys(chunk, depth)[0]), (_WORD, _word_keys(chunk)[0])):
@@ -319,7 +319,7 @@ def score(
     by_block = source.groupBy("block")
 
     def held_keys(table: pa.Table) -> pa.Table:
-        texts = _lowered(table.column("body"))
+        texts = _lowered(texts_of(table, "doc", text))
         out = []
         for kind, keys_of in ((_GRAM, lambda c: gram_keys(c, depth)[0]), (_WORD, lambda c: _word_keys(c)[0])):
             parts = [np.unique(keys_of(chunk)) for chunk in _chunks(texts)]
@@ -355,7 +355,7 @@ def score(
             return np.where(keys[at] == wanted, values[at], 0.0)
 
         columns = {name: [] for name in ("n_tokens", "n_known", "base", "score")}
-        for chunk in _chunks(_lowered(table.column("body"))):
+        for chunk in _chunks(_lowered(texts_of(table, "doc", text))):
             wanted, sizes = _word_keys(chunk)
             counts = look_up(_WORD, wanted)
             heads = np.cumsum(sizes) - sizes

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, unsigned, with_row
+from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, texts_of, unsigned, with_row
 
 WINDOW = 20
 ANCHOR = 8
@@ -45,9 +45,9 @@ def _rolled(hashes: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
 class Block:
     """The documents of one block by id (null last), then text, as one row of words."""
 
-    def __init__(self, table: pa.Table, window: int, anchor: int):
+    def __init__(self, table: pa.Table, text: str, window: int, anchor: int):
         ids = table.column("id").to_pylist()
-        texts = [text or "" for text in table.column("body").to_pylist()]
+        texts = texts_of(table, text)
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.order = np.array(order, np.int64)
         self.ids = [ids[i] for i in order]
@@ -115,7 +115,7 @@ def repeats(
     by_block = source.groupBy("block")
 
     def seeds(table: pa.Table) -> pa.Table:
-        own = np.unique(Block(table, window, anchor).anchors)
+        own = np.unique(Block(table, text, window, anchor).anchors)
         return pa.table({"block": block_of(table, len(own)), "anchor": signed(own)})
 
     shared = (
@@ -126,7 +126,7 @@ def repeats(
     )
 
     def extended(table: pa.Table, seeds: pa.Table) -> pa.Table:
-        block = Block(table, window, anchor)
+        block = Block(table, text, window, anchor)
         around = np.flatnonzero(np.isin(block.anchors, unsigned(seeds.column("anchor"))))
         hashes, first = np.unique(block.windows()[around], return_index=True)
         at = around[first]
@@ -155,7 +155,7 @@ def repeats(
     )
 
     def cut(table: pa.Table, later: pa.Table) -> pa.Table:
-        block = Block(table, window, anchor)
+        block = Block(table, text, window, anchor)
         gone = block.repeated(unsigned(later.column("hash")))
         kept, removed, spans = [], [], []
         ends = np.cumsum(block.counts)
