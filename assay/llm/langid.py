@@ -11,12 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -34,7 +34,7 @@ _LONGEST_PIECE = 12
 _STRANGE = 1e-7
 _WORD_START = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_CACHED_WORDS = 300_000
+_CACHED_SCORES = 2_400_000
 _CHUNK_CHARS = 1_000_000
 
 
@@ -48,8 +48,30 @@ def text_words(text: str) -> list[str]:
     return runs
 
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Pieces(dict):
+    """Numbers of pieces, and a table to look many up at once."""
+
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of all pieces and of all their beginnings, with the number, or -1 for those
+        that only begin a piece."""
+        starts = {piece[:n]: -1 for piece in self for n in range(1, len(piece))}
+        found = {}
+        for piece, number in {**starts, **self}.items():
+            key = 0
+            for letter in piece:
+                key = (key * int(_SPREAD) + ord(letter)) % (1 << 64)
+            if found.setdefault(key, number) != number:
+                raise ValueError("two pieces share a hash")
+        keys = np.array(sorted(found), np.uint64)
+        return keys, np.array([found[int(key)] for key in keys], np.int32)
+
+
 @lru_cache(maxsize=2)
-def pieces(path: str) -> dict[str, int]:
+def pieces(path: str) -> Pieces:
     """The vocabulary's pieces up to a length, numbered from 1; number 0 is any single unknown letter."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     known = (
@@ -57,7 +79,8 @@ def pieces(path: str) -> dict[str, int]:
         for i in range(model.get_piece_size())
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
     )
-    return {piece: i for i, piece in enumerate(dict.fromkeys(p for p in known if len(p) <= _LONGEST_PIECE), 1)}
+    short = dict.fromkeys(piece for piece in known if len(piece) <= _LONGEST_PIECE)
+    return Pieces((piece, i) for i, piece in enumerate(short, 1))
 
 
 @dataclass
@@ -72,24 +95,38 @@ class Lattice:
 
     @classmethod
     def of(cls, words: list[str], known: dict[str, int]) -> Lattice:
-        edges: list[int] = []
-        lengths = []
-        for number, plain in enumerate(words):
-            word = _WORD_START + plain
-            n = len(word)
-            lengths.append(n)
-            for start in range(n):
-                single = True
-                for end in range(start + 1, min(start + _LONGEST_PIECE, n) + 1):
-                    piece = known.get(word[start:end])
-                    if piece is not None:
-                        edges += (number, start, end, piece)
-                        single = single and end > start + 1
-                if single:
-                    edges += (number, start, start + 1, 0)
-        table = np.array(edges, np.int32).reshape(-1, 4)
-        table = table[np.argsort(table[:, 2], kind="stable")]
-        return cls(*table.T.copy(), np.array(lengths, np.int32))
+        keys, numbers = (known if isinstance(known, Pieces) else Pieces(known)).table
+        joined = "".join(_WORD_START + word for word in words)
+        letters = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        lengths = np.fromiter(map(len, words), np.int32, len(words)) + 1
+        ends = np.repeat(np.cumsum(lengths), lengths)
+        # All places at once, a letter longer each time, for as long as some piece begins like this.
+        place = np.arange(len(letters))
+        key = np.zeros(len(letters), np.uint64)
+        starts, stops, found = [], [], []
+        for size in range(1, _LONGEST_PIECE + 1):
+            inside = place + size <= ends[place]
+            place, key = place[inside], key[inside]
+            if not len(place):
+                break
+            key = key * _SPREAD + letters[place + size - 1]
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            number = np.where(keys[at] == key, numbers[at], 0)
+            whole = number > 0
+            if size == 1:  # a letter that is no piece counts as piece 0
+                whole = np.ones(len(place), bool)
+            starts.append(place[whole])
+            stops.append(place[whole] + size)
+            found.append(np.maximum(number[whole], 0))
+            place, key = place[number != 0], key[number != 0]
+        start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        stop = np.concatenate(stops) if stops else np.zeros(0, np.int64)
+        piece = np.concatenate(found) if found else np.zeros(0, np.int32)
+        word = np.repeat(np.arange(len(words)), lengths)[start]
+        head = (np.cumsum(lengths) - lengths)[word]
+        order = np.argsort(stop - head, kind="stable")
+        columns = (word, start - head, stop - head, piece)
+        return cls(*(column[order].astype(np.int32) for column in columns), lengths)
 
     def _steps(self) -> list[slice]:
         last = int(self.length.max(initial=0))
@@ -208,10 +245,17 @@ def train(
             )
 
     totals = sample.mapInArrow(counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    commonest = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    found = (
+        totals.withColumn("place", F.row_number().over(commonest))
+        .filter(F.col("place") <= MOST_WORDS)
+        .toPandas()
+        .sort_values(["lang", "place"])
+    )
     known = pieces(path)
     columns = []
     for name in languages:
-        own = totals.filter(F.col("lang") == name).orderBy(F.desc("n"), "word").limit(MOST_WORDS).toPandas()
+        own = found[found["lang"] == name]
         columns.append(fit(own["word"].tolist(), own["n"].to_numpy(np.float64), known, rounds))
     every = np.array([count_of[name] for name in languages], np.float64)
     return Model(languages, np.stack(columns, axis=1), np.log(every / every.sum()), path)
@@ -230,7 +274,7 @@ class Scorer:
         self.scores = np.zeros((1024, len(self.model.languages)))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        if len(self.rows) > _CACHED_WORDS:
+        if len(self.rows) * len(self.model.languages) > _CACHED_SCORES:
             self._forget()
         new = [word for word in dict.fromkeys(words) if word not in self.rows]
         at = len(self.rows)
