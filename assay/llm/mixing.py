@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assay.llm.text import word_count
+from assay.workspace import new_folder
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -68,32 +69,37 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, laps:
 def mix(
     docs: DataFrame,
     *,
+    size: str | None = None,
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     laps: int = MOST_LAPS,
 ) -> DataFrame:
     """``row`` (the document as a struct), ``size``, ``source_size``, ``target`` and ``copies``.
 
-    ``docs`` has ``doc_id``, ``source`` and either ``size`` in words or ``text``; any further columns
-    travel inside ``row`` and cannot clash. Every row of ``docs`` comes back once, with the number of
+    ``docs`` has ``doc_id``, ``source`` and ``text``, or a column named by ``size`` with the number of
+    words; any further columns travel inside ``row`` and cannot clash. Every row of ``docs`` comes back once, with the number of
     copies that the mix takes, 0 to ``laps``.
 
     A null source is a source of its own. A null or empty text has size 0, is never taken and does
     not delay others. Equal rows, and rows that share id and source, queue together and finish at the
     same time; they are all taken or all left. The order depends on ids alone, so reruns agree.
     """
-    size = F.col("size").cast("bigint") if "size" in docs.columns else word_count(F.col("text"))
+    words = F.col(size).cast("bigint") if size else word_count(F.col("text"))
     key = shuffle_key(F.col("doc_id"))
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("doc_id").alias("id"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source_key"),
-        F.coalesce(size, F.lit(0)).alias("size"),
+        F.coalesce(words, F.lit(0)).alias("size"),
         key.alias("key"),
         F.shiftright(key, _KEY_BITS - _RANGE_BITS).alias("range"),
     )
 
-    ranges = rows.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
+    # What the sums need is stored once, so that texts are read twice and no more.
+    path = f"{new_folder(docs.sparkSession)}/sizes"
+    rows.drop("row").write.parquet(path)
+    sizes = docs.sparkSession.read.parquet(path)
+    ranges = sizes.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
     targets = source_targets(
         ranges.groupBy("source_key").agg(F.sum("range_size").alias("source_size")),
         weights,
@@ -108,9 +114,11 @@ def mix(
     ).join(targets, "source_key")
 
     within = Window.partitionBy("source_key", "range").orderBy("key", "id")
-    queued = rows.join(starts, ["source_key", "range"]).withColumn(
-        "finish", F.col("queued") + F.sum("size").over(within)
-    )
+
+    def queue(entries: DataFrame) -> DataFrame:
+        return entries.join(starts, ["source_key", "range"]).withColumn(
+            "finish", F.col("queued") + F.sum("size").over(within)
+        )
 
     def place(lap: Column) -> Column:
         time = F.try_divide(F.col("finish") + lap * F.col("source_size"), F.col("target"))
@@ -119,7 +127,7 @@ def mix(
         )
 
     # The cut: copies before it are taken. Only one narrow range of finish times is ever sorted.
-    copies = rows_for_cut(queued, place, laps)
+    copies = rows_for_cut(queue(sizes), place, laps)
     budget = targets.agg(F.sum("target").alias("budget"))
     totals = copies.groupBy("time_range").agg(F.sum("size").alias("words"))
     running = totals.withColumn("upto", F.sum("words").over(Window.orderBy("time_range")))
@@ -135,7 +143,7 @@ def mix(
         .filter(F.col("upto") <= budget.scalar())
         .agg(F.max("place").alias("last"))
     )
-    bounded = queued.withColumns({"cut": cut.select("cut.time_range").scalar(), "last": last.scalar()})
+    bounded = queue(rows).withColumns({"cut": cut.select("cut.time_range").scalar(), "last": last.scalar()})
 
     def taken(lap: int) -> Column:
         at = place(F.lit(lap))

@@ -148,7 +148,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("size")
     )
-    return mix(docs).select(
+    return mix(docs, size="size").select(
         "row.doc_id",
         "size",
         "source_size",
