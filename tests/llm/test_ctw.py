@@ -85,10 +85,11 @@ def test_scores_by_recursion(spark, depth):
         assert row["base_score"] == pytest.approx(base, rel=1e-9)
 
 
-def test_groups_of_grams_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("name, value", [("GROUP_GRAMS", 50), ("HEAD_GRAMS", 10), ("HEAD_GRAMS", 0)])
+def test_groups_and_the_head_change_nothing(spark, monkeypatch, name, value):
     docs = random_docs(spark, 8, rows=30)
     first = {r["row"]["doc_id"]: r["score"] for r in ctw.score(docs, F.lit(False)).collect()}
-    monkeypatch.setattr(ctw, "GROUP_GRAMS", 50)
+    monkeypatch.setattr(ctw, name, value)
     again = {r["row"]["doc_id"]: r["score"] for r in ctw.score(docs, F.lit(False)).collect()}
     assert again == pytest.approx(first)
 

@@ -53,7 +53,7 @@ def test_reruns_agree_at_any_partitioning(sources):
 
 
 def test_edge_rows(spark):
-    docs = clashing(edge_docs(spark), "size_", "key", "range", "row", "cut", "last", "copies", "target")
+    docs = clashing(edge_docs(spark), "size", "key", "range", "row", "cut", "last", "copies", "target")
     found = mix(docs).select("row.*", F.col("copies").alias("n")).collect()
     assert len(found) == docs.count()
     assert all(row["n"] == 0 for row in found if not (row["text"] or "").split())
