@@ -23,7 +23,8 @@ TRAIN_ROWS = 10_000
 WORD_BITS = 16
 FACTORS = 8
 BINS = 10
-EPOCHS = 8
+#: Passes over the sample; more of them over a small one, for so many steps at least.
+EPOCHS, FEWEST_STEPS = 8, 400
 #: Lengths of the two parts of a vector: words, of which most are rare, may say less than structure.
 WORD_LENGTH, STATISTICS_LENGTH = 0.5, 2.0
 _BATCH = 200
@@ -136,7 +137,8 @@ def fit(words: list[np.ndarray], statistics: np.ndarray, labels: np.ndarray) ->
         machine.vector[:] = 0.0
         return machine
     squared = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2)
-    for _ in range(EPOCHS):
+    steps = -(-len(labels) // _BATCH)
+    for _ in range(max(EPOCHS, -(-FEWEST_STEPS // steps))):
         order = random.permutation(len(labels))
         for at in range(0, len(order), _BATCH):
             rows = order[at : at + _BATCH]
