@@ -8,32 +8,39 @@ that training never saw lends its parent's estimate.
 
 Counts of all grams (contexts of full depth with the byte that follows) come from all training texts.
 The tree is worked out in groups of equal last two bytes: sums over the groups give the upper levels,
-which are at most 256 * 255 nodes, and with these every group rates its grams. Blocks of documents ask
-for the grams and words that they hold, once a block.
+which are at most 256 * 255 nodes, and with these every group rates its grams. The commonest grams are
+broadcast, a fixed number; for all others, and for words, each block of documents asks once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from math import lgamma
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.blocks import BLOCK_BYTES, block_of, blocked, signed, texts_of, unsigned, with_row
+from assay.llm.blocks import block_of, blocked, signed, texts_of, unsigned, with_row
 from assay.workspace import new_folder
 
 DEPTH = 5
+#: Larger than elsewhere: the larger a block, the fewer blocks ask for one gram.
+BLOCK_BYTES = 16 << 20
 ADDED = 0.1
 #: No byte of UTF-8: what stands before a text and ends it.
 _MARK = b"\xff"
 _WORD, _GRAM = 0, 1
-_CHUNK_BYTES = 2 << 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_CHUNK_BYTES = 512 << 10
+_WORD_BITS = 21
 #: Grams that a group of the tree holds on average.
 GROUP_GRAMS = 200_000
+#: The commonest grams, of which most texts consist, are broadcast: so many, 16 bytes each, and no more.
+HEAD_GRAMS = 1 << 18
 
 
 def _table_of(function, most: int) -> np.ndarray:
@@ -70,13 +77,12 @@ def gram_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     From its top byte down a key has the byte before, the one before that, and so on; the byte itself
     is the lowest.
     """
-    joined = np.frombuffer(b"".join(_MARK * depth + text + _MARK for text in texts), np.uint8)
+    joined = b"".join(_MARK * depth + text + _MARK for text in texts)
     counts = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    keys = joined[depth:].astype(np.uint64)
-    for back in range(1, depth + 1):
-        keys |= joined[depth - back : len(joined) - back].astype(np.uint64) << np.uint64(
-            8 * (depth + 1 - back)
-        )
+    # Eight bytes from each place on, the first of them lowest.
+    eight = np.ndarray(len(joined) - depth, "<u8", joined + b"\0" * 8, strides=(1,))
+    context = eight & np.uint64((1 << 8 * depth) - 1)
+    keys = (context << np.uint64(8)) | ((eight >> np.uint64(8 * depth)) & np.uint64(255))
     # Left out: the marks before all texts but the first.
     inside = np.ones(len(keys), bool)
     heads = np.cumsum(counts + depth)[:-1] - depth
@@ -85,6 +91,69 @@ def gram_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], counts
 
 
+class KeyIndex:
+    """Places of known 64-bit keys by a table of their hashes, many at a time.
+
+    Where two keys share a slot the later one has it; :meth:`find` misses the other.
+    """
+
+    def __init__(self, bits: int = 20):
+        self._shift = np.uint64(64 - bits)
+        self._slots = np.zeros(1 << bits, np.int32)
+        self.keys = np.zeros(1 << 10, np.uint64)
+        self.size = 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * _SPREAD) >> self._shift
+
+    def add(self, keys: np.ndarray) -> None:
+        end = self.size + len(keys)
+        while end > len(self.keys):
+            self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)])
+        self.keys[self.size : end] = keys
+        self._slots[self._slot(keys)] = np.arange(self.size, end)
+        self.size = end
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each key, and whether it is the right one."""
+        at = self._slots[self._slot(keys)]
+        return at, (self.keys[at] == keys) & (self.size > 0)
+
+
+class KeyCounts:
+    """Distinct keys and how often they came. A key may be listed in parts, to be added up."""
+
+    def __init__(self, bits: int = 20):
+        self.index = KeyIndex(bits)
+        self._counts = np.zeros(1 << 10, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        at, known = self.index.find(keys)
+        if len(self._counts) < len(self.index.keys):
+            self._counts = np.append(self._counts, np.zeros(len(self.index.keys) - len(self._counts), np.int64))
+        self._counts[: self.index.size] += np.bincount(at[known], minlength=self.index.size)[: self.index.size]
+        new, counts = np.unique(keys[~known], return_counts=True)
+        start = self.index.size
+        self.index.add(new)
+        if len(self._counts) < len(self.index.keys):
+            self._counts = np.append(self._counts, np.zeros(len(self.index.keys) - len(self._counts), np.int64))
+        self._counts[start : self.index.size] = counts
+
+    def add_once(self, key: np.uint64, times: int) -> None:
+        """One key that came so many times, perhaps none."""
+        self.add(np.full(1, key, np.uint64))
+        at, _ = self.index.find(np.full(1, key, np.uint64))
+        self._counts[at[0]] += times - 1
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.index.keys[: self.index.size], self._counts[: self.index.size]
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each key once, in order, with its count."""
+        keys, which = np.unique(self.listed()[0], return_inverse=True)
+        return keys, np.bincount(which, self.listed()[1], len(keys)).astype(np.int64)
+
+
 class Levels:
     """Nodes of one bit position, from full contexts up, for sorted distinct grams of a group."""
 
@@ -173,12 +242,44 @@ def _byte(keys: np.ndarray, at: int) -> np.ndarray:
     return ((keys >> np.uint64(8 * at)) & np.uint64(255)).astype(np.int32)
 
 
-def _word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each word and for each text's end, and how many each text has."""
-    digest = xxhash.xxh64_intdigest
-    split = [[*text.split(), b""] for text in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    return np.fromiter((digest(w) for words in split for w in words), np.uint64, int(counts.sum())), counts
+# The six bytes between words, and the mark that ends a text here.
+_GAP = np.zeros(256, bool)
+_GAP[[0x20, *range(0x09, 0x0E), 0xFF]] = True
+_LETTER = np.random.default_rng(1).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0xC2B2AE3D27D4EB4F
+#: The key of a text's end: no word hashes to it but by chance.
+END_KEY = np.uint64(0)
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(size, base, np.uint64)
+        factors[0] = 1
+        out.append(np.cumprod(factors, dtype=np.uint64))
+    return tuple(out)
+
+
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for each word of the texts, in a row, and the text that it is in.
+
+    A word's hash is the difference of two prefix sums over the bytes, so no word is taken apart.
+    """
+    joined = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8)
+    powers, inverse = _powers(1 << max(20, len(joined).bit_length()))
+    sums = np.zeros(len(joined) + 1, np.uint64)
+    np.cumsum(_LETTER[joined] * powers[: len(joined)], out=sums[1:])
+    inside = ~_GAP[joined]
+    edges = np.diff(inside.view(np.int8), prepend=np.int8(0))
+    starts, stops = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    keys = (sums[stops] - sums[starts]) * inverse[starts]
+    keys ^= keys >> np.uint64(32)
+    keys *= _SPREAD
+    keys ^= keys >> np.uint64(29)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return keys, np.searchsorted(ends, starts, "right")
 
 
 def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -201,25 +302,26 @@ def train_counts(docs: DataFrame, text: Column, held_out: Column, depth: int) ->
     """``kind``, ``key`` and ``n``: training counts of words and grams. Grams that only held-out texts
     have are listed with 0, for the tree rates them too."""
 
+    def listed(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(np.full(len(keys), kind, np.int32)), signed(keys), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             texts = _lowered(batch.column("body").to_pylist())
             for own in (False, True):
-                for chunk in _chunks([t for t, h in zip(texts, held) if bool(h) == own]):
-                    for kind, keys in ((_GRAM, gram_keys(chunk, depth)[0]), (_WORD, _word_keys(chunk)[0])):
-                        if kind == _WORD and own:
-                            continue
-                        unique, counts = np.unique(keys, return_counts=True)
-                        counts = np.zeros_like(counts) if own else counts
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(unique), kind, np.int32)),
-                                signed(unique),
-                                pa.array(counts.astype(np.int64)),
-                            ],
-                            names=["kind", "key", "n"],
-                        )
+                part = [t for t, h in zip(texts, held) if bool(h) == own]
+                grams, words = KeyCounts(), KeyCounts(_WORD_BITS)
+                for chunk in _chunks(part):
+                    grams.add(gram_keys(chunk, depth)[0])
+                    if not own:
+                        words.add(word_keys(chunk)[0])
+                keys, counts = grams.listed()
+                yield listed(_GRAM, keys, np.zeros_like(counts) if own else counts)
+                if part and not own:
+                    words.add_once(END_KEY, len(part))
+                    yield listed(_WORD, *words.listed())
 
     rows = docs.select(text.cast("string").alias("body"), held_out.alias("held_out"))
     counted = rows.mapInArrow(run, "kind int, key bigint, n bigint")
@@ -227,7 +329,7 @@ def train_counts(docs: DataFrame, text: Column, held_out: Column, depth: int) ->
 
 
 def rated_grams(grams: DataFrame, depth: int) -> DataFrame:
-    """``key`` and ``value``, the log10 probability of each gram's last byte after its context.
+    """``key``, ``n`` and ``value``, the log10 probability of each gram's last byte after its context.
 
     ``grams`` has ``key`` and ``n``. Grams of equal last two context bytes share a group.
     """
@@ -275,9 +377,9 @@ def rated_grams(grams: DataFrame, depth: int) -> DataFrame:
             levels = Levels(keys, counts, bit, depth, 2)
             node = (low >> (8 - bit)) | (1 << bit)
             value += np.log10(top.mix(last, node, levels.bit, *levels.estimates()))
-        return pa.table({"key": signed(keys), "value": pa.array(value)})
+        return pa.table({"key": signed(keys), "n": pa.array(counts), "value": pa.array(value)})
 
-    return by_group.applyInArrow(rate, "key bigint, value double")
+    return by_group.applyInArrow(rate, "key bigint, n bigint, value double")
 
 
 def score(
@@ -309,67 +411,131 @@ def score(
     floor = np.log10(train + ADDED * (distinct + 1))
 
     grams = counts.filter(F.col("kind") == _GRAM).select("key", "n")
+    rated_grams(grams, depth).write.parquet(f"{folder}/rated")
+    rated = spark.read.parquet(f"{folder}/rated")
+    commonest = rated.orderBy(F.desc("n"), "key").limit(HEAD_GRAMS).select("key", "value").toArrow()
+    head_keys = unsigned(commonest.column("key"))
+    order = np.argsort(head_keys)
+    head = spark.sparkContext.broadcast(
+        (head_keys[order], commonest.column("value").to_numpy()[order])
+    )
     values = (
-        rated_grams(grams, depth)
-        .select(F.lit(_GRAM).alias("kind"), "key", "value")
+        rated.select(F.lit(_GRAM).alias("kind"), "key", "value")
         .union(words.select(F.lit(_WORD).alias("kind"), "key", F.col("n").cast("double")))
     )
 
     source = blocked(marked, ident, body, block_bytes)
     by_block = source.groupBy("block")
 
-    def held_keys(table: pa.Table) -> pa.Table:
+    def asked_of(table: pa.Table) -> pa.Table:
         texts = _lowered(texts_of(table, "doc", text))
-        out = []
-        for kind, keys_of in ((_GRAM, lambda c: gram_keys(c, depth)[0]), (_WORD, lambda c: _word_keys(c)[0])):
-            parts = [np.unique(keys_of(chunk)) for chunk in _chunks(texts)]
-            keys = np.unique(np.concatenate(parts))
-            out.append(
-                pa.table(
-                    {
-                        "block": block_of(table, len(keys)),
-                        "kind": pa.array(np.full(len(keys), kind, np.int32)),
-                        "key": signed(keys),
-                    }
-                )
-            )
-        return pa.concat_tables(out)
+        held = np.array(pc.struct_field(table.column("row"), "held").to_pylist(), bool)
+        grams, words, learnt = KeyCounts(), KeyCounts(_WORD_BITS), KeyCounts(_WORD_BITS)
+        words.add_once(END_KEY, 1)
+        learnt.add_once(END_KEY, int((~held).sum()))
+        for flag in (False, True):
+            for chunk in _chunks([t for t, h in zip(texts, held) if h == flag]):
+                grams.add(gram_keys(chunk, depth)[0])
+                (words if flag else learnt).add(word_keys(chunk)[0])
+        keys = np.setdiff1d(grams.summed()[0], head.value[0], assume_unique=True)
+        # Of words also the training count in this block: where that is all of it, none is sent back.
+        known, counts = learnt.summed()
+        strange = np.setdiff1d(words.summed()[0], known)
+        named = np.concatenate([known, strange])
+        own = np.concatenate([np.full(len(keys), -1), counts, np.zeros(len(strange), np.int64)])
+        return pa.table(
+            {
+                "block": block_of(table, len(own)),
+                "kind": pa.array(np.repeat([_GRAM, _WORD], [len(keys), len(named)]).astype(np.int32)),
+                "key": signed(np.concatenate([keys, named])),
+                "own": pa.array(own),
+            }
+        )
 
-    asked = by_block.applyInArrow(held_keys, "block bigint, kind int, key bigint")
-    told = asked.join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    asked = by_block.applyInArrow(asked_of, "block bigint, kind int, key bigint, own bigint")
+    told = (
+        asked.join(values, ["kind", "key"])
+        .filter((F.col("kind") == _GRAM) | (F.col("own") != F.col("value")))
+        .select("block", "kind", "key", "value")
+    )
 
     def rate(table: pa.Table, told: pa.Table) -> pa.Table:
         kinds = told.column("kind").to_numpy()
         keys, found = unsigned(told.column("key")), told.column("value").to_numpy()
-        known = {}
+
+        kinds = np.append(kinds, np.full(len(head.value[0]), _GRAM))
+        keys, found = np.append(keys, head.value[0]), np.append(found, head.value[1])
+        by_kind = {}
         for kind in (_WORD, _GRAM):
-            own = kinds == kind
-            order = np.argsort(keys[own])
-            known[kind] = keys[own][order], found[own][order]
-
-        def look_up(kind: int, wanted: np.ndarray) -> np.ndarray:
-            keys, values = known[kind]
-            if not len(keys):
-                return np.zeros(len(wanted))
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            return np.where(keys[at] == wanted, values[at], 0.0)
-
-        columns = {name: [] for name in ("n_tokens", "n_known", "base", "score")}
-        for chunk in _chunks(_lowered(texts_of(table, "doc", text))):
-            wanted, sizes = _word_keys(chunk)
-            counts = look_up(_WORD, wanted)
-            heads = np.cumsum(sizes) - sizes
-            columns["n_tokens"].append(sizes)
-            columns["n_known"].append(np.add.reduceat((counts > 0).astype(np.int64), heads))
-            columns["base"].append(
-                np.add.reduceat(np.log10(counts + ADDED), heads) - sizes * floor
-            )
+            order = np.flatnonzero(kinds == kind)
+            order = order[np.argsort(keys[order])]
+            by_kind[kind] = keys[order], found[order]
+
+        def look_up(kind: int, wanted: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+            listed, values = by_kind[kind]
+            if not len(listed):
+                return otherwise
+            at = np.minimum(np.searchsorted(listed, wanted), len(listed) - 1)
+            return np.where(listed[at] == wanted, values[at], otherwise)
+
+        texts = _lowered(texts_of(table, "doc", text))
+        held = np.array(pc.struct_field(table.column("row"), "held").to_pylist(), bool)
+
+        grams = KeyIndex()
+        listed, gram_score = by_kind[_GRAM]
+        grams.add(listed)
+        learnt, spoken, scores = KeyCounts(_WORD_BITS), [], []
+        for chunk in _chunks(texts):
+            spoken.append(word_keys(chunk))
+
             wanted, sizes = gram_keys(chunk, depth)
-            columns["score"].append(
-                np.add.reduceat(look_up(_GRAM, wanted), np.cumsum(sizes) - sizes)
-            )
+            at, known = grams.find(wanted)
+            value = gram_score[at] if len(gram_score) else np.zeros(len(wanted))
+            missed = np.flatnonzero(~known)
+            value[missed] = look_up(_GRAM, wanted[missed], np.zeros(len(missed)))
+            scores.append(np.add.reduceat(value, np.cumsum(sizes) - sizes))
+
+        # A word's count is that of this block unless another was sent.
+        past = 0
+        owners = []
+        for (words, owner), chunk in zip(spoken, _chunks(texts)):
+            owners.append(owner + past)
+            learnt.add(words[~held[owners[-1]]])
+            past += len(chunk)
+        learnt.add_once(END_KEY, int((~held).sum()))
+        word = np.concatenate([words for words, _ in spoken])
+        owner = np.concatenate(owners)
+        listed, counts = learnt.summed()
+        counts = look_up(_WORD, listed, counts.astype(np.float64))
+        # Words that no text of this block is learnt from: what was sent, or never seen.
+        sent, values = by_kind[_WORD]
+        strange = ~np.isin(sent, listed)
+        listed, counts = np.append(listed, sent[strange]), np.append(counts, values[strange])
+        order = np.argsort(listed)
+        listed, counts = listed[order], counts[order]
+        index = KeyIndex(_WORD_BITS)
+        index.add(listed)
+
+        def count_of(keys: np.ndarray) -> np.ndarray:
+            at, known = index.find(keys)
+            count = np.where(known, counts[at], 0.0)
+            missed = np.flatnonzero(~known)
+            at = np.minimum(np.searchsorted(listed, keys[missed]), len(listed) - 1)
+            count[missed] = np.where(listed[at] == keys[missed], counts[at], 0.0)
+            return count
+
+        end = count_of(np.full(1, END_KEY, np.uint64))[0]
+        count = count_of(word)
+        n_words = np.bincount(owner, minlength=len(texts))
+        base = np.bincount(owner, np.log10(count + ADDED) - floor, len(texts))
         return pa.table(
-            {"row": table.column("row")} | {k: pa.array(np.concatenate(v)) for k, v in columns.items()}
+            {
+                "row": table.column("row"),
+                "n_tokens": pa.array(n_words + 1),
+                "n_known": pa.array(np.bincount(owner[count > 0], minlength=len(texts)) + int(end > 0)),
+                "base": pa.array(base + (np.log10(end + ADDED) - floor)),
+                "score": pa.array(np.concatenate(scores)),
+            }
         )
 
     scored = by_block.cogroup(told.groupBy("block")).applyInArrow(
