@@ -135,3 +135,27 @@ def test_edge_rows(spark):
     unlearnt = ctw.score(docs, F.lit(True)).filter(F.col("row.text") == "").first()
     assert unlearnt["train_tokens"] == 0 and unlearnt["base_score"] == pytest.approx(0)
     assert unlearnt["score"] == pytest.approx(-8 * log10(2))
+
+
+def test_key_counts_with_few_slots():
+    random = np.random.default_rng(3)
+    counts = ctw.KeyCounts(bits=3)
+    every = random.integers(0, 40, 5000).astype(np.uint64) * np.uint64(7919)
+    for part in np.array_split(every, 9):
+        counts.add(part)
+    counts.add_once(np.uint64(5), 0)
+    counts.add_once(np.uint64(6), 4)
+    keys, totals = counts.summed()
+    want = dict(zip(*np.unique(every, return_counts=True)))
+    assert dict(zip(keys.tolist(), totals.tolist())) == {**want, 5: 0, 6: 4}
+
+
+def test_word_keys_are_those_of_the_words():
+    texts = [b"one two\tone", b"", b" two  \n", b"\xe3\x80\x80x y", b"one"]
+    keys, owner = ctw.word_keys(texts)
+    words = [w for t in texts for w in t.split()]
+    assert owner.tolist() == [i for i, t in enumerate(texts) for _ in t.split()]
+    by_word = {}
+    for word, key in zip(words, keys.tolist()):
+        assert by_word.setdefault(word, key) == key
+    assert len(set(by_word.values())) == len(by_word) and int(ctw.END_KEY) not in by_word.values()
