@@ -317,11 +317,11 @@ def train_counts(docs: DataFrame, text: Column, held_out: Column, depth: int) ->
                     grams.add(gram_keys(chunk, depth)[0])
                     if not own:
                         words.add(word_keys(chunk)[0])
-                keys, counts = grams.listed()
+                keys, counts = grams.summed()
                 yield listed(_GRAM, keys, np.zeros_like(counts) if own else counts)
                 if part and not own:
                     words.add_once(END_KEY, len(part))
-                    yield listed(_WORD, *words.listed())
+                    yield listed(_WORD, *words.summed())
 
     rows = docs.select(text.cast("string").alias("body"), held_out.alias("held_out"))
     counted = rows.mapInArrow(run, "kind int, key bigint, n bigint")
@@ -463,6 +463,8 @@ def score(
         kinds = told.column("kind").to_numpy()
         keys, found = unsigned(told.column("key")), told.column("value").to_numpy()
 
+        asked_grams = keys[kinds == _GRAM]
+        gram_score = np.append(found[kinds == _GRAM], head.value[1])
         kinds = np.append(kinds, np.full(len(head.value[0]), _GRAM))
         keys, found = np.append(keys, head.value[0]), np.append(found, head.value[1])
         by_kind = {}
@@ -481,9 +483,10 @@ def score(
         texts = _lowered(texts_of(table, "doc", text))
         held = np.array(pc.struct_field(table.column("row"), "held").to_pylist(), bool)
 
+        # The commonest come last, so that no other gram takes their slots.
         grams = KeyIndex()
-        listed, gram_score = by_kind[_GRAM]
-        grams.add(listed)
+        grams.add(asked_grams)
+        grams.add(head.value[0])
         learnt, spoken, scores = KeyCounts(_WORD_BITS), [], []
         for chunk in _chunks(texts):
             spoken.append(word_keys(chunk))
