@@ -1,8 +1,9 @@
 """Line-first quality rules, in SQL expressions alone.
 
 Every line is judged by itself: punctuation at its end, navigation marks, symbols, capitals and
-boilerplate phrases. Lines that fail go, and so do later copies of a line. A document is then rejected
-if too many of its words went with them, or if it is short or repeats itself.
+boilerplate phrases. A long line is not failed for its last mark or for a phrase. Lines that fail go,
+and so do later copies of a line. A document is then rejected if too many of its words went with them,
+or if it is short or repeats itself.
 """
 
 from __future__ import annotations
@@ -18,8 +19,16 @@ FEWEST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 MOST_LOST_PERCENT = 40
 
-# What a line may end with, symbols, navigation marks and boilerplate phrases.
-LINE_ENDS = (".", "!", "?", ":", ";", '"', "'", ")", "…", "»", "”", "’", "。", "！", "？")
+#: From so many characters on, a line's last mark and a phrase in it do not fail it.
+LONG_LINE = 200
+
+# Blanks after a line, what it may end with (in other scripts any mark but bullets and
+# commas), symbols, navigation marks and boilerplate phrases.
+BLANKS = (
+    " \t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+LINE_END = r"""[.!?:;"')]|[\p{Po}\p{Pe}\p{Pf}&&[^\x00-\x7F•·،、，]]"""
 SYMBOLS = r"[#*$%&|<>]"
 NAVIGATION = r"[|>»•·]"
 CAPITALS = r"\p{Lu}{2,}"
@@ -34,17 +43,18 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def line_passes(line: Column) -> Column:
+def line_passes(line: Column, long_line: int | None = LONG_LINE) -> Column:
     """Whether a line holds prose. Its words are taken as its blanks and one more."""
-    bare = F.rtrim(line)
+    bare = F.rtrim(line, F.lit(BLANKS))
     weight = F.length(bare) - F.length(F.replace(bare, F.lit(" "), F.lit(""))) + 1
+    long = F.lit(False) if long_line is None else F.length(bare) >= long_line
     return (
         (F.length(F.trim(bare)) > 0)
-        & F.right(bare, F.lit(1)).isin(*LINE_ENDS)
+        & (long | F.rlike(F.right(bare, F.lit(1)), F.lit(LINE_END)))
         & (F.regexp_count(bare, F.lit(SYMBOLS)) * 10 <= weight)
         & (F.regexp_count(bare, F.lit(NAVIGATION)) * 5 < weight)
         & (F.regexp_count(bare, F.lit(CAPITALS)) * 2 <= weight)
-        & ~F.rlike(bare, F.lit(BOILERPLATE))
+        & (long | ~F.rlike(bare, F.lit(BOILERPLATE)))
     )
 
 
@@ -90,18 +100,20 @@ def repeated_words(tokens: Column) -> Column:
     return let(windows(tokens), from_windows)
 
 
-def measure(docs: DataFrame, *, text: str = "text") -> DataFrame:
+def measure(
+    docs: DataFrame, *, text: str = "text", long_line: int | None = LONG_LINE
+) -> DataFrame:
     """``row``, the counts of the whole text, the cleaned text and the verdict.
 
     A null text counts as empty: no words, so it fails. Lines end at line feeds; a line of blanks
-    alone has no word, is not counted as a copy, and is dropped from the cleaned text. Columns of
-    ``docs`` stay inside ``row``, so none can clash. Equal rows get equal results.
+    alone has no word, is not counted as a copy, and is dropped from the cleaned text. Lines of
+    ``long_line`` characters or more are spared two rules; with None, no line is. Columns of ``docs`` stay inside ``row``, so none can clash. Equal rows get equal results.
     """
     body = F.coalesce(F.col("text_in"), F.lit(""))
     base = docs.select(F.struct("*").alias("row"), docs[text].cast("string").alias("text_in"))
     # The arrays go from one select to the next by name: each is worked out once a document.
     tokens = base.select("row", body.alias("body"), words(F.col("text_in")).alias("tokens"))
-    kept_lines = F.filter(F.split(F.col("body"), "\n"), line_passes)
+    kept_lines = F.filter(F.split(F.col("body"), "\n"), lambda line: line_passes(line, long_line))
     spoken = F.filter(
         F.split(F.col("body"), "\n"), lambda line: F.length(F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))) > 0
     )

@@ -50,6 +50,33 @@ def test_lines_that_fail_are_removed(spark):
     assert row["n_dup_lines"] == 1
 
 
+def test_other_line_breaks_scripts_and_long_lines_are_kept(spark):
+    plain = [" ".join(f"word{7 * i + k}" for k in range(7)) for i in range(10)]
+    one_line = " ".join(f"word{i}" for i in range(70))
+    texts = {
+        "carriage returns": ".\r\n".join([*plain, ""]),
+        "tabs": ".\t\n".join([*plain, ""]),
+        "no-break spaces": ".\u00a0\n".join([*plain, ""]),
+        "danda": "।\n".join([*plain, ""]),
+        "arabic": "؟\n".join([*plain, ""]),
+        "one line": one_line,
+        "one line, a phrase": f"{one_line} subscribe to it.",
+        "thai": " ".join(["กขค" * 3 + str(i) for i in range(70)]),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    kept = {row["doc_id"] for row in rules.clean(docs).collect()}
+    assert kept == set(texts)
+    strict = rules.measure(docs, long_line=None).filter("kept").select("row.doc_id").collect()
+    assert {row["doc_id"] for row in strict} == set(list(texts)[:5])
+
+
+def test_commas_and_bullets_end_no_line(spark):
+    plain = [" ".join(f"word{7 * i + k}" for k in range(7)) for i in range(10)]
+    for mark in (",", "،", "、", "，", "•", "·"):
+        docs = spark.createDataFrame([(1, f"{mark}\n".join([*plain, ""]))], "doc_id int, text string")
+        assert not rules.measure(docs).first()["kept"]
+
+
 def test_a_document_that_loses_too_much_goes(spark):
     assert not _verdict(spark, *[f"link {i} | page {i} | top {i}" for i in range(30)])["kept"]
     assert _verdict(spark)["kept"]
