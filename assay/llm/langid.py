@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, Window
@@ -21,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
-#: Expected number of rows a language is learnt from, and the languages and words a model may have.
+#: Expected number of rows a language is learnt from, and the words of it that are learnt.
 TRAIN_ROWS = 2_000
-MOST_LANGUAGES = 200
 MOST_WORDS = 60_000
+#: Languages that are summed at once.
+BLOCK = 64
 ROUNDS = 4
 SMOOTHING = 0.1
 
@@ -178,10 +180,9 @@ def _smoothed(uses: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(words: list[str], counts: np.ndarray, known: dict[str, int], rounds: int) -> np.ndarray:
-    """Piece probabilities from word counts. Before the first round long pieces lead."""
-    lattice = Lattice.of(words, known)
-    weight = np.bincount(lattice.piece, counts[lattice.word], len(known) + 1)
+def fit(lattice: Lattice, counts: np.ndarray, pieces: int, rounds: int) -> np.ndarray:
+    """Piece probabilities from word counts."""
+    weight = np.bincount(lattice.piece, counts[lattice.word], pieces + 1)
     probability = _smoothed(weight)
     for _ in range(rounds):
         probability = _smoothed(lattice.expected(probability, counts))
@@ -190,11 +191,34 @@ def fit(words: list[str], counts: np.ndarray, known: dict[str, int], rounds: int
 
 @dataclass
 class Model:
+    """Of each language the pieces it uses, with their probabilities; all others share one."""
+
     languages: list[str]
-    probability: np.ndarray  # piece by language
+    used: list[np.ndarray]
+    probability: list[np.ndarray]
+    other: list[float]
     log_prior: np.ndarray
     path: str
 
+    def block(self, languages: slice, pieces: int) -> np.ndarray:
+        """Probabilities of all pieces and number 0, by language."""
+        out = np.tile(self.other[languages], (pieces + 1, 1))
+        out[0] = _STRANGE
+        for column, (used, own) in enumerate(zip(self.used[languages], self.probability[languages])):
+            out[used, column] = own
+        return out
+
+
+def _fitted(words: list[str], counts: np.ndarray, path: str, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """The pieces a language uses, their probabilities, and that of any other piece."""
+    known = pieces(path)
+    lattice = Lattice.of(words, known)
+    probability = fit(lattice, counts, len(known), rounds)
+    used = np.unique(lattice.piece[lattice.piece > 0])
+    unused = np.ones(len(probability), bool)
+    unused[0] = unused[used] = False
+    return used, probability[used], float(probability[unused].max(initial=0.0))
+
 
 def train(
     docs: DataFrame,
@@ -210,8 +234,8 @@ def train(
     """A model of the languages of the rows that ``learn`` marks.
 
     Each language is learnt from about ``rows`` rows, chosen by a hash of the id, and from its
-    ``MOST_WORDS`` commonest words there; priors count all marked rows. At most ``MOST_LANGUAGES``, the
-    commonest, are learnt. What reaches the driver is bounded by these three.
+    ``MOST_WORDS`` commonest words there, in a task of its own; priors count all marked rows. Every
+    language is learnt. What reaches the driver is a row a language, of the pieces that it uses.
     """
     labelled = docs.select(
         docs[lang].cast("string").alias("lang"),
@@ -219,18 +243,20 @@ def train(
         docs[doc_id].cast("string").alias("id"),
         learn.alias("learn"),
     ).filter(F.col("learn") & F.col("lang").isNotNull() & F.col("body").isNotNull())
-    sizes = (
-        labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    )
+    sizes = labelled.groupBy("lang").count().collect()
     if not sizes:
-        return Model([], np.zeros((1, 0)), np.zeros(0), path)
+        return Model([], [], [], [], np.zeros(0), path)
     languages = sorted(row["lang"] for row in sizes)
     count_of = {row["lang"]: row["count"] for row in sizes}
-    share = F.create_map(
-        *[F.lit(x) for name in languages for x in (name, min(1.0, rows / count_of[name]))]
+    shares = docs.sparkSession.createDataFrame(
+        [(name, min(1.0, rows / count_of[name])) for name in languages], "lang string, share double"
     )
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / F.lit(1e6)
-    sample = labelled.filter(place < F.try_element_at(share, F.col("lang"))).select("lang", "body")
+    sample = (
+        labelled.join(F.broadcast(shares), "lang")
+        .filter(place < F.col("share"))
+        .select("lang", "body")
+    )
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,47 +272,90 @@ def train(
 
     totals = sample.mapInArrow(counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     commonest = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    found = (
-        totals.withColumn("place", F.row_number().over(commonest))
-        .filter(F.col("place") <= MOST_WORDS)
-        .toPandas()
-        .sort_values(["lang", "place"])
+    learnt = totals.withColumn("place", F.row_number().over(commonest)).filter(
+        F.col("place") <= MOST_WORDS
     )
-    known = pieces(path)
-    columns = []
-    for name in languages:
-        own = found[found["lang"] == name]
-        columns.append(fit(own["word"].tolist(), own["n"].to_numpy(np.float64), known, rounds))
+
+    def fit_language(key: tuple, words: pd.DataFrame) -> pd.DataFrame:
+        words = words.sort_values("place")
+        used, own, other = _fitted(
+            words["word"].tolist(), words["n"].to_numpy(np.float64), path, rounds
+        )
+        return pd.DataFrame(
+            {
+                "lang": [key[0]],
+                "used": [used.astype(np.int32).tobytes()],
+                "own": [own.tobytes()],
+                "other": [other],
+            }
+        )
+
+    found = {
+        row["lang"]: row
+        for row in learnt.groupBy("lang")
+        .applyInPandas(fit_language, "lang string, used binary, own binary, other double")
+        .collect()
+    }
+    silent = _fitted([], np.zeros(0), path, rounds)
+    columns = [
+        (
+            np.frombuffer(found[name]["used"], np.int32),
+            np.frombuffer(found[name]["own"], np.float64),
+            found[name]["other"],
+        )
+        if name in found
+        else silent
+        for name in languages
+    ]
     every = np.array([count_of[name] for name in languages], np.float64)
-    return Model(languages, np.stack(columns, axis=1), np.log(every / every.sum()), path)
+    return Model(languages, *map(list, zip(*columns)), np.log(every / every.sum()), path)
 
 
 class Scorer:
-    """A model on an executor, with the words that it has summed already."""
+    """A block of a model's languages on an executor, with the words that it has summed already."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, languages: slice, blocks: int):
         self.model = model
+        self.languages = languages
+        self.width = len(model.languages[languages])
         self.known = pieces(model.path)
+        self.most = _CACHED_SCORES // blocks
         self._forget()
 
     def _forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.model.languages)))
+        self.scores = np.zeros((1024, self.width))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        if len(self.rows) * len(self.model.languages) > _CACHED_SCORES:
-            self._forget()
         new = [word for word in dict.fromkeys(words) if word not in self.rows]
         at = len(self.rows)
         while at + len(new) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
+        size = min(50_000, max(1, 400_000 // self.width))
+        probability = self.model.block(self.languages, len(self.known)) if new else None
+        for i in range(0, len(new), size):
+            part = new[i : i + size]
             self.scores[at + i : at + i + len(part)] = Lattice.of(part, self.known).log_probability(
-                self.model.probability
+                probability
             )
         self.rows.update(zip(new, range(at, at + len(new))))
-        return self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
+        out = self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
+        if len(self.rows) * self.width > self.most:
+            self._forget()
+        return out
+
+    def sums(self, words: list[str], heads: np.ndarray) -> np.ndarray:
+        """Scores of texts whose words begin at ``heads``."""
+        return np.add.reduceat(self.word_scores(words), heads)
+
+
+class Predictor:
+    """A model on an executor, in blocks of languages."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        starts = range(0, len(model.languages), BLOCK)
+        self.blocks = [Scorer(model, slice(at, at + BLOCK), len(starts)) for at in starts]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         split = [text_words(text) if text else [] for text in texts]
@@ -298,8 +367,9 @@ class Scorer:
         spoken = np.flatnonzero(counts)
         if len(spoken):
             heads = (np.cumsum(counts) - counts)[spoken]
-            scores = self.word_scores([word for words in split for word in words])
-            total[spoken] = np.add.reduceat(scores, heads)
+            words = [word for own in split for word in own]
+            for block in self.blocks:
+                total[spoken, block.languages] = block.sums(words, heads)
         total += self.model.log_prior
         total -= total.max(axis=1, keepdims=True)
         share = np.exp(total)
@@ -326,7 +396,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for batch in batches:
-            scorer = scorer or Scorer(shared.value)
+            scorer = scorer or Predictor(shared.value)
             body = batch.column("body")
             sizes = np.cumsum([len(x) if x else 1 for x in body.to_pylist()])
             at = 0

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -86,3 +87,28 @@ def test_a_long_run_of_letters_is_cut():
         np.full((len(langid.pieces(PATH)) + 1, 1), 1e-7)
     )
     assert np.isfinite(scores).all()
+
+
+def test_no_language_is_left_out(spark):
+    pairs = itertools.combinations("abcdefghijklmnopqrstuvw", 2)
+    texts = {a + b: f"{a}{b}{a}{b}{b} {b}{a}{a} " * 50 for a, b in pairs}
+    assert len(texts) > 200 + langid.BLOCK // 2
+    rows = [(i, text, name) for i, (name, text) in enumerate(sorted(texts.items()) * 2)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    silent = spark.createDataFrame([(-1, "123", "zz")], docs.schema)
+    model = langid.train(docs.unionByName(silent), PATH, F.lit(True))
+    assert model.languages == [*sorted(texts), "zz"]
+    found = langid.predict(docs, model).select("row.lang", "lang_pred").collect()
+    assert [row["lang_pred"] for row in found] == [row["lang"] for row in found]
+
+
+def test_blocks_of_languages_give_the_scores_of_one(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs, PATH, F.lit(True), rows=20)
+    texts = [row["text"] for row in docs.select("text").collect()]
+    one = langid.Predictor(model)
+    monkeypatch.setattr(langid, "BLOCK", 1)
+    many = langid.Predictor(model)
+    assert (len(one.blocks), len(many.blocks)) == (1, len(model.languages))
+    assert one.predict(texts)[0] == many.predict(texts)[0]
+    assert one.predict(texts)[1] == pytest.approx(many.predict(texts)[1])
