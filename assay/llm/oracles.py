@@ -108,8 +108,119 @@ FROM queued q LEFT JOIN taken t
   ON q.doc_id = t.doc_id AND q.source_key = t.source_key AND q.size = t.size
 """
 
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a short ASCII text, bit by bit: a byte is mixed in, then eight steps follow it."""
+    steps = (
+        f"flatten(list_transform(string_split({text}, ''), lambda c:"
+        " [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    )
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda r, b:"
+        " CASE WHEN b >= 0 THEN xor(r, b) ELSE xor(r >> 1, 3988292384 * (r & 1)) END))"
+    )
+
+
+def _field(name: str, kind: str = "VARCHAR") -> str:
+    text = f"CAST({name} AS {kind})"
+    return f"coalesce(CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text}, '-')"
+
+
+_HEAD = " || ".join(_field(name) for name in ("doc_id", "source", "lang", "n_chars"))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _grow(name: str, leaves: str) -> str:
+    return f"""
+{name}_nodes AS (
+  SELECT tree, 0 AS level, i, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}_nodes) c
+  WHERE n > 1 GROUP BY tree, level, i // 16),
+{name}_tops AS (
+  SELECT tree, max(level) AS height, arg_max(digest, level) AS digest FROM {name}_nodes GROUP BY tree),
+{name}_sides AS (
+  SELECT l.tree, l.i, p.level,
+    coalesce(string_agg(p.digest, '' ORDER BY p.i) FILTER (p.i < l.i // CAST(16 ** p.level AS BIGINT)), '') AS lefts,
+    coalesce(string_agg(p.digest, '' ORDER BY p.i) FILTER (p.i > l.i // CAST(16 ** p.level AS BIGINT)), '') AS rights
+  FROM {leaves} l JOIN {name}_tops t ON l.tree = t.tree
+    JOIN {name}_nodes p ON p.tree = l.tree AND p.level < t.height
+      AND p.i // 16 = l.i // CAST(16 ** (p.level + 1) AS BIGINT)
+  GROUP BY l.tree, l.i, p.level)"""
+
+
+OP12 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_HEAD} || {_field('text')}) AS digest,
+    CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN
+      sha256({_HEAD} || {_field(_LOWER)}) END AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM docs),
+{_grow('low', 'leaves')},
+crowns AS (
+  SELECT 0 AS tree, tree AS name, row_number() OVER (ORDER BY tree) - 1 AS i, digest FROM low_tops),
+{_grow('top', 'crowns')},
+steps AS (
+  SELECT tree, i, level, lefts, rights FROM low_sides
+  UNION ALL
+  SELECT l.tree, l.i, 100 + s.level, s.lefts, s.rights
+  FROM leaves l JOIN crowns c ON l.tree = c.name JOIN top_sides s ON s.i = c.i),
+ways AS (
+  SELECT tree, i, string_agg(lefts || rights, '' ORDER BY level) AS proof,
+    list([lefts, rights] ORDER BY level) AS way FROM steps GROUP BY tree, i),
+whole AS (
+  SELECT l.*, t.digest AS subroot, r.digest AS root, coalesce(proof, '') AS proof, coalesce(way, []) AS way
+  FROM leaves l JOIN low_tops t ON l.tree = t.tree CROSS JOIN top_tops r
+    LEFT JOIN ways w ON w.tree = l.tree AND w.i = l.i),
+closed AS (
+  SELECT *, list_reduce(list_prepend([coalesce(tampered, digest)], way),
+    lambda a, s: [sha256(s[1] || a[1] || s[2])])[1] AS folded_root FROM whole)
+SELECT doc_id, digest AS leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM closed
+"""
+
+OP13 = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS o
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT DISTINCT c, {_crc32('CAST(c AS VARCHAR)')} % 6 AS h, c - c % 100 AS base FROM turns),
+pieces AS (
+  SELECT v.c, 0 AS own, o, role, text FROM convs v JOIN turns t ON t.c = v.base AND t.o < v.h
+  UNION ALL
+  SELECT v.c, 1, o, role, text FROM convs v JOIN turns t ON t.c = v.c AND t.o >= v.h),
+paths AS (
+  SELECT v.c, coalesce(list([p.role, p.text] ORDER BY p.own, p.o) FILTER (p.c IS NOT NULL), []) AS path
+  FROM convs v LEFT JOIN pieces p ON p.c = v.c GROUP BY v.c),
+members AS (
+  SELECT c, d, path[1 : d] AS prefix, len(path) AS l, CASE WHEN d > 0 THEN path[d][2] ELSE '' END AS said
+  FROM paths, unnest(range(0, len(path) + 1)) AS t(d)),
+nodes AS (
+  SELECT d, prefix, min(c) AS id, count(*) AS n, min(length(said)) AS chars,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (l = d), '') AS ends,
+    max(l) = d AS childless
+  FROM members GROUP BY d, prefix),
+placed AS (SELECT m.c, m.d, n.id FROM members m JOIN nodes n ON m.d = n.d AND m.prefix = n.prefix),
+below AS (
+  SELECT p.id, p.d, sum(CAST(n.childless AS INT)) AS n_leaves, sum((n.n - 1) * n.chars) AS saved,
+    count(*) FILTER (n.d = p.d + 1) AS n_children
+  FROM nodes n JOIN placed p ON p.c = n.id AND p.d <= n.d GROUP BY p.id, p.d)
+SELECT CAST(n.id AS BIGINT) AS conv_id, CAST(n.d AS BIGINT) AS depth, CAST(u.id AS BIGINT) AS parent_conv_id,
+  CAST(n.n AS BIGINT) AS n_convs, CAST(b.n_children AS BIGINT) AS n_children,
+  CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.id = n.id AND b.d = n.d
+  LEFT JOIN placed u ON u.c = n.id AND u.d = n.d - 1
+"""
+
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": OP3,
     "op8_line_rules": OP8,
     "op10_mix_sources": OP10,
+    "op12_merkle": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, chat, ctw, fingerprints, langid, quality_fm, rules, simhash, substrings
+from assay.llm import (
+    bpe,
+    chat,
+    ctw,
+    fingerprints,
+    langid,
+    merkle,
+    prefix_trie,
+    quality_fm,
+    rules,
+    simhash,
+    substrings,
+    word_bpe,
+)
 from assay.llm.mixing import mix
 from assay.llm.text import fold, table, word_count
 
@@ -17,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANK_FILE = "byte_bpe_50k.tiktoken"
 ACCEPTED = 0.3
 PIECE_FILE = "piece_bpe_32k.model"
+WORD_FILE = "word_bpe_49k.json"
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +173,49 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_FILE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = word_bpe.encode(docs, path, decoded=True)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc_id, text = F.col("doc_id"), F.col("text")
+    head = [doc_id, F.col("source"), F.col("lang"), F.col("n_chars")]
+    tampered = F.coalesce(fold(doc_id, 5) == 0, F.lit(False)) & doc_id.isNotNull()
+    lowered = F.translate(text, CAPITALS, CAPITALS.lower())
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        merkle.leaf_digest(*head, text).alias("leaf"),
+        F.when(tampered, merkle.leaf_digest(*head, lowered)).alias("tampered_leaf"),
+    )
+    found = merkle.manifest(leaves, F.col("leaf"), F.col("source"), [doc_id])
+    claimed = F.coalesce("row.tampered_leaf", "leaf")
+    folded = found.withColumn("folded_root", merkle.folded(claimed, F.col("path")))
+    return folded.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_context_tree": op2_context_tree,
@@ -169,4 +227,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_rules": op8_line_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_mix_sources": op10_mix_sources,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
