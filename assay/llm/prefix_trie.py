@@ -34,6 +34,10 @@ FAMILY = 100
 #: A rebuilt conversation takes fewer than so many turns of its family's first.
 MOST_HEAD = 6
 
+#: A prefix with more than this part of all prefixes of all conversations is looked up by broadcast;
+#: there are fewer such prefixes than that.
+_HOT_PART = 1000
+
 _LIMBS = 4
 _TAIL_CHUNK = 1000
 
@@ -139,6 +143,19 @@ def keyed_prefixes(turns: DataFrame) -> DataFrame:
     )
 
 
+def shared_prefixes(prefixes: DataFrame) -> DataFrame:
+    """The prefixes that several conversations have. Very common ones do not go through the join, which
+    would send all rows of one to a single task."""
+    counted = prefixes.groupBy("depth", "key").agg(F.count(F.lit(1)).alias("members"))
+    common = _stored(counted.filter("members > 1"), "common")
+    many = F.greatest(F.lit(prefixes.count() // _HOT_PART), F.lit(1))
+    hot = common.filter(F.col("members") > many).select("depth", "key", F.lit(True).alias("hot"))
+    marked = prefixes.join(F.broadcast(hot), ["depth", "key"], "left")
+    rest = common.filter(F.col("members") <= many).select("depth", "key")
+    others = marked.filter("hot IS NULL").join(rest, ["depth", "key"], "left_semi")
+    return marked.filter("hot").unionByName(others).drop("hot")
+
+
 def sparse_table(values: np.ndarray) -> list[np.ndarray]:
     """Minima of the runs of 1, 2, 4, ... values; entry i of each is of the run that starts at i."""
     table = [values]
@@ -371,9 +388,8 @@ def trie(turns: DataFrame) -> DataFrame:
     """
     rebuilt, convs = rebuilt_turns(turns)
     prefixes = _stored(keyed_prefixes(rebuilt), "prefixes")
-    common = prefixes.groupBy("depth", "key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     arrays = (
-        prefixes.join(common.select("depth", "key"), ["depth", "key"], "left_semi")
+        shared_prefixes(prefixes)
         .groupBy("conv")
         .agg(F.sort_array(F.collect_list(F.struct("depth", "key", "chars"))).alias("shared"))
     )
