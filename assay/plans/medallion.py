@@ -10,6 +10,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from assay import versions
 from assay.operators import gold_rules, rollup
 from assay.operators.metrics import count_groups, group_rows
 from assay.plans.gold import gold_orders, gold_orders_basic
@@ -55,6 +56,7 @@ def bronze_to_silver(
     *,
     partition_by: str | None = None,
     partition_overwrite: str = "static",
+    null_share: float | None = None,
     survivor_order: Sequence[str | Column] = (),
     reject_non_finite: bool = False,
     multi_line: bool = False,
@@ -80,6 +82,7 @@ def bronze_to_silver(
         target,
         partition_by=partition_by,
         partition_overwrite=partition_overwrite,
+        null_share=null_share,
         rebalance=rebalance,
     )
     counts = {}
@@ -97,10 +100,13 @@ def bronze_to_silver(
     return StageResult("bronze_to_silver", write, counts)
 
 
-def bronze_to_silver_basic(bronze: DataFrame, target: str) -> StageResult:
-    """Append typed orders with all critical fields, in one pass without a shuffle."""
+def bronze_to_silver_basic(
+    bronze: DataFrame, target: str, *, batch: str | None = None
+) -> StageResult:
+    """Append typed orders with all critical fields, in one pass without a shuffle. With the name of a
+    ``batch`` a rerun adds nothing."""
     return StageResult(
-        "bronze_to_silver_basic", append_layer(silver_orders_basic(bronze), target)
+        "bronze_to_silver_basic", append_layer(silver_orders_basic(bronze), target, batch=batch)
     )
 
 
@@ -110,6 +116,7 @@ def silver_to_gold(
     *,
     partition_by: str | None = None,
     partition_overwrite: str = "static",
+    null_share: float | None = None,
     exact_cents: bool = False,
     rebalance: bool = True,
     metrics: bool = False,
@@ -126,6 +133,7 @@ def silver_to_gold(
         target=target,
         partition_by=partition_by,
         partition_overwrite=partition_overwrite,
+        null_share=null_share,
         rebalance=rebalance,
     )
     if not metrics:
@@ -137,7 +145,10 @@ def silver_to_gold(
         counts = count_groups(groups).first().asDict()
         result = write(gold_rules(groups).select(*GOLD.names))
     finally:
-        Files(spark).delete(stored)
+        files = Files(spark)
+        files.delete(stored)
+        if not files.list(target):
+            files.delete(target)
     logger.info("silver to gold: %s", counts)
     return StageResult("silver_to_gold", result, counts)
 
@@ -147,8 +158,7 @@ def silver_to_gold_basic(
 ) -> StageResult:
     """Overwrite gold with the basic rollup, empty or not."""
     gold = gold_orders_basic(silver, exact_cents=exact_cents)
-    gold.write.mode("overwrite").option("compression", "snappy").parquet(target)
-    return StageResult("silver_to_gold_basic", WriteResult(WRITTEN, target))
+    return StageResult("silver_to_gold_basic", write_layer(gold, target, guard=False))
 
 
 def _stage(name: str, run: Callable[[], StageResult]) -> StageResult:
@@ -178,12 +188,15 @@ def run_medallion(
     """Land ``incoming`` as a new bronze run, then rebuild silver and gold from all runs.
 
     A stage starts only when the one before is done; a failure raises :class:`StageFailed` with the
-    stage's name. Without a valid row silver is skipped, and so is gold if there is no earlier silver.
+    stage's name. Without a valid row silver is skipped, and so is gold if there never was a silver; one
+    that is missing for any other reason fails the run.
     ``bronze_source`` and ``silver_source`` are what the later stages read instead of the layout's
     folders: a catalog table's name or a path. With ``database`` the layers are registered there as
     ``silver_orders`` and ``gold_orders``, anew if they were registered over another place.
     """
 
+    statuses: dict[str, str] = {}
+
     def register(table: str, result: StageResult, schema: StructType) -> None:
         if database is None or result.write.status == SKIPPED_EMPTY:
             return
@@ -211,12 +224,17 @@ def run_medallion(
             metrics=metrics,
         )
         register("silver_orders", result, SILVER)
+        statuses["bronze_to_silver"] = result.write.status
         return result
 
     def to_gold() -> StageResult:
         source = silver_source or layout.silver
-        if is_path(source) and not Files(spark).exists(source):
-            logger.warning("No silver at %s, skipping gold.", source)
+        if is_path(source) and not versions.is_there(spark, source):
+            if source != layout.silver or statuses.get("bronze_to_silver") != SKIPPED_EMPTY:
+                raise FileNotFoundError(f"no silver at {source}")
+            if versions.is_there(spark, layout.gold):
+                raise FileNotFoundError(f"silver at {source} is gone, and gold was made from it")
+            logger.warning("No silver at %s yet, skipping gold.", source)
             return StageResult("silver_to_gold", WriteResult(SKIPPED_EMPTY, layout.gold))
         result = silver_to_gold(
             source,

@@ -2,6 +2,7 @@ from assay.sources.bronze import header_groups, read_bronze_csv
 from assay.sources.generator import fill_orders, generate_orders
 from assay.sources.layers import (
     is_path,
+    layer_folders,
     open_bronze,
     open_source,
     read_foreign_layer,
@@ -14,6 +15,7 @@ __all__ = [
     "generate_orders",
     "header_groups",
     "is_path",
+    "layer_folders",
     "open_bronze",
     "open_source",
     "read_bronze_csv",

@@ -58,6 +58,35 @@ class Files:
         store, found = self._open(path)
         store.delete(found, True)
 
+    def list(self, path: str) -> list[tuple[str, bool]]:
+        """Names directly below a path, and whether each is a folder; none if nothing is there."""
+        store, found = self._open(path)
+        if not store.exists(found):
+            return []
+        return [(s.getPath().getName(), s.isDirectory()) for s in store.listStatus(found)]
+
+    def read(self, path: str) -> str | None:
+        """A small file's text."""
+        store, found = self._open(path)
+        if not store.exists(found):
+            return None
+        stream = store.open(found)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> bool:
+        """Make a small file, unless there is one of that name."""
+        store, found = self._open(path)
+        store.mkdirs(found.getParent())
+        if not store.createNewFile(found):
+            return False
+        stream = store.create(found, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
     def move(self, source: str, target: str) -> None:
         store, found = self._open(source)
         _, place = self._open(target)

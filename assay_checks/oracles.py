@@ -196,5 +196,19 @@ ORACLES: dict[str, str] = {
     "catalog_sql_report": with_stages(_REPORT),
     "generate_orders": GENERATED,
     "medallion_end_to_end": with_stages(_D),
+    "silver_publish_recovery": with_stages(
+        "SELECT *, 'after the kill' AS seen FROM silver"
+        " WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 <> 2"
+        " UNION ALL SELECT *, 'after the rerun' AS seen FROM silver"
+    ),
+    "silver_batches_once": with_stages("SELECT * FROM basic"),
+    "catalog_by_difference": with_stages(
+        "SELECT * REPLACE (CASE WHEN country = 'CANADA' THEN quantity * 2 ELSE quantity END AS quantity)"
+        " FROM silver"
+    ),
+    "partition_null_heavy": with_stages(
+        "SELECT * EXCLUDE (country), CAST(0.25 AS DOUBLE) AS null_share, '' AS partitions FROM silver"
+        " UNION ALL SELECT * EXCLUDE (country), CAST(0.75 AS DOUBLE), 'country' FROM silver"
+    ),
     "generated_end_to_end": with_stages(_D, bronze=GENERATED),
 }

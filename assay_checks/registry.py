@@ -35,10 +35,11 @@ from assay.plans import (
     silver_to_gold_basic,
 )
 from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
-from assay.sinks import land_bronze, register_table
+from assay import versions
+from assay.sinks import land_bronze, register_table, write_layer
 from assay.sources import fill_orders, read_bronze_csv, read_layer, read_table
 from assay.sources.bronze import CSV_QUOTING
-from assay.workspace import new_folder
+from assay.workspace import Files, new_folder
 from assay_checks.star_bronze import star_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,64 @@ def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout.gold, GOLD)
 
 
+def silver_publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of two thirds of the lines, then what a write of all lines leaves that is killed at its
+    commit, then that write once more: what readers see after each step."""
+    layout = Layout(new_folder(spark))
+    files = Files(spark)
+    rows = _numbered_bronze(spark, sf_dir)
+    bronze_to_silver(rows.filter(~_line(2)), layout.silver, partition_by="country")
+    _silver(spark, sf_dir).write.partitionBy("country").parquet(f"{layout.silver}/v-killed")
+    files.create(f"{layout.silver}/{versions.COMMITS}/{2:012}.json", '{"batches": {}, "partit')
+    killed = read_layer(spark, layout.silver, SILVER).withColumn("seen", F.lit("after the kill"))
+    bronze_to_silver(rows, layout.silver, partition_by="country")
+    rerun = read_layer(spark, layout.silver, SILVER).withColumn("seen", F.lit("after the rerun"))
+    return killed.unionByName(rerun)
+
+
+def silver_batches_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches appended to basic silver, each of them twice."""
+    layout = Layout(new_folder(spark))
+    rows = _numbered_bronze(spark, sf_dir)
+    for _ in range(2):
+        for part in range(3):
+            bronze_to_silver_basic(
+                rows.filter(_line(part)).drop("l_linenumber"), layout.silver, batch=f"lines {part}"
+            )
+    return read_layer(spark, layout.silver, SILVER)
+
+
+def catalog_by_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table over silver by country, brought up after one country was written anew."""
+    layout = Layout(new_folder(spark))
+    table = _table_name(spark, "silver_orders")
+    silver = _silver(spark, sf_dir)
+    bronze_to_silver(star_bronze(spark, sf_dir), layout.silver, partition_by="country")
+    register_table(spark, table, layout.silver, SILVER, partition_by="country")
+    doubled = silver.filter("country = 'CANADA'").withColumn("quantity", F.col("quantity") * 2)
+    write_layer(doubled, layout.silver, partition_by="country", partition_overwrite="dynamic")
+    register_table(spark, table, layout.silver, SILVER, partition_by="country")
+    return read_table(spark, table, SILVER)
+
+
+def partition_null_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layers of orders, half of which have no country: one write gives up its partitions."""
+    layout = Layout(new_folder(spark))
+    half = F.when(F.crc32(F.col("order_id").cast("binary")) % 2 == 0, F.col("country"))
+    rows = _silver(spark, sf_dir).withColumn("country", half)
+    out = []
+    for share in (0.25, 0.75):
+        target = f"{layout.silver}-{share}"
+        result = write_layer(rows, target, partition_by="country", null_share=share)
+        found = read_layer(spark, target, SILVER).drop("country")
+        out.append(
+            found.withColumns(
+                {"null_share": F.lit(share), "partitions": F.lit(",".join(result.partition_by))}
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
 def _drop_tables(spark: SparkSession, names: list[str]) -> None:
     # Without a session there is no catalog left to clear.
     if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
@@ -321,4 +380,8 @@ QUERIES: dict[str, Query] = {
     "generate_orders": generate,
     "medallion_end_to_end": medallion_end_to_end,
     "generated_end_to_end": generated_end_to_end,
+    "silver_publish_recovery": silver_publish_recovery,
+    "silver_batches_once": silver_batches_once,
+    "catalog_by_difference": catalog_by_difference,
+    "partition_null_heavy": partition_null_heavy,
 }

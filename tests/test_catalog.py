@@ -4,8 +4,8 @@ import pytest
 from frames import bronze, silver
 
 from assay.schemas import BRONZE, SILVER
-from assay.sinks import land_bronze, register_table, write_layer
-from assay.sources import open_source, read_table
+from assay.sinks import append_layer, compact_layer, land_bronze, register_table, write_layer
+from assay.sources import open_source, read_layer, read_table
 
 
 @pytest.fixture(scope="module")
@@ -64,7 +64,7 @@ def test_another_place_or_layout_registers_anew(spark, db, tmp_path):
     assert [r["order_id"] for r in spark.table(table).collect()] == ["b"]
     register_table(spark, table, str(tmp_path / "a"), SILVER, replace=True)
     assert [r["order_id"] for r in spark.table(table).collect()] == ["a"]
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 1
+    assert read_layer(spark, str(tmp_path / "b"), SILVER).count() == 1
 
 
 def test_a_table_that_owns_its_data_is_refused(spark, db, tmp_path):
@@ -104,3 +104,36 @@ def _with_run():
     from pyspark.sql.types import StringType, StructField, StructType
 
     return StructType([*BRONZE, StructField("run", StringType())])
+
+
+def test_partitions_follow_by_difference(spark, db, tmp_path, monkeypatch):
+    """Of many partitions one is rewritten: only that one is touched, and nothing is listed."""
+    table, path = f"{db}.many", str(tmp_path / "s")
+    many = [{"order_id": str(i), "country": f"c/{i}" if i else None} for i in range(40)]
+    write_layer(silver(spark, *many), path, partition_by="country")
+    register_table(spark, table, path, SILVER, partition_by="country")
+    assert spark.table(table).count() == 40
+    new = silver(spark, {"order_id": "new", "country": "c/7"}, {"order_id": "more", "country": None})
+    write_layer(new, path, partition_by="country", partition_overwrite="dynamic")
+    said, sql = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (said.append(text), sql(text, *a, **b))[1])
+    register_table(spark, table, path, SILVER, partition_by="country")
+    changed = [text for text in said if "PARTITION (" in text]
+    assert len(changed) == 2 and all("SET LOCATION" in text for text in changed)
+    assert not any("MSCK" in text or "SHOW PARTITIONS" in text for text in said)
+    ids = {r["order_id"] for r in spark.table(table).collect()}
+    assert ids == {str(i) for i in range(40)} - {"0", "7"} | {"new", "more"}
+    write_layer(silver(spark, {"country": "c/1"}), path, partition_by="country")
+    register_table(spark, table, path, SILVER, partition_by="country")
+    assert [r["country"] for r in spark.table(table).collect()] == ["c/1"]
+
+
+def test_a_layer_in_several_folders_is_compacted_first(spark, db, tmp_path):
+    path = str(tmp_path / "s")
+    for batch in ("a", "b"):
+        append_layer(silver(spark, {}), path, batch=batch)
+    with pytest.raises(ValueError, match="compact"):
+        register_table(spark, f"{db}.pieces", path, SILVER)
+    compact_layer(spark, path, SILVER)
+    register_table(spark, f"{db}.pieces", path, SILVER)
+    assert spark.table(f"{db}.pieces").count() == 2

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assay.operators import drop_missing_critical
 from assay.schemas import SILVER
 from assay.sinks import SKIPPED_EMPTY, WRITTEN, append_layer, resolve_partition, write_layer
-from assay.sources import open_source, read_foreign_layer, read_layer
+from assay.sources import layer_folders, open_source, read_foreign_layer, read_layer
 
 
 def _ids(spark, path):
@@ -35,7 +35,7 @@ def test_unknown_partition_column_writes_flat(spark, tmp_path):
     target = str(tmp_path / "t")
     result = write_layer(silver(spark, {}), target, partition_by="region")
     assert (result.status, result.partition_by) == (WRITTEN, ())
-    assert not list(Path(target).glob("*=*")) and _ids(spark, target) == ["0"]
+    assert not list(Path(target).glob("*/*=*")) and _ids(spark, target) == ["0"]
 
 
 def test_partition_values_keep_type_place_and_nulls(spark, tmp_path):
@@ -51,7 +51,8 @@ def test_partition_by_date(spark, tmp_path):
     target = str(tmp_path / "t")
     df = silver(spark, {}, {})
     write_layer(df, target, partition_by="order_date")
-    assert (Path(target) / "order_date=2024-01-05").is_dir()
+    (folder,) = layer_folders(spark, target)
+    assert (Path(folder) / "order_date=2024-01-05").is_dir()
     assert sorted(read_layer(spark, target, SILVER).collect()) == sorted(df.collect())
 
 
@@ -159,7 +160,7 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
         write_layer(df, target, partition_by="country")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = {p.name: len(_data_files(p)) for p in Path(target).glob("country=*")}
+    files = {p.name: len(_data_files(p)) for p in Path(target).glob("*/country=*")}
     assert files["country=hot"] >= 3
     assert read_layer(spark, target, SILVER).count() == 120_000
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 from pathlib import Path
 
 import pytest
@@ -19,7 +20,7 @@ from assay.plans import (
 )
 from assay.schemas import BRONZE, GOLD, GOLD_BASIC, SILVER, Layout
 from assay.sinks import SKIPPED_EMPTY, WRITTEN
-from assay.sources import generate_orders, read_layer
+from assay.sources import generate_orders, layer_folders, read_layer
 
 
 def test_layout():
@@ -61,7 +62,8 @@ def test_runs_from_ingest_to_gold(spark, tmp_path):
         assert spark.table("lake.silver_orders").count() == 160
         total = spark.sql("SELECT sum(total_quantity) FROM lake.gold_orders").first()[0]
         assert total == kept.agg(F.sum("quantity")).first()[0]
-        assert (Path(layout.gold) / "order_date=2024-01-02").is_dir()
+        (folder,) = layer_folders(spark, layout.gold)
+        assert (Path(folder) / "order_date=2024-01-02").is_dir()
     finally:
         spark.sql("DROP DATABASE lake CASCADE")
 
@@ -76,6 +78,17 @@ def test_a_first_batch_without_a_valid_row_is_skipped_to_the_end(spark, tmp_path
     assert {r.write.status for r in results} == {WRITTEN}
 
 
+def test_a_silver_that_is_gone_fails_the_run(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    run_medallion(spark, bronze(spark, {}), layout)
+    shutil.rmtree(layout.silver)
+    shutil.rmtree(layout.bronze)
+    with pytest.raises(StageFailed, match="silver_to_gold"):
+        run_medallion(spark, bronze(spark, {"order_date": "never"}), layout)
+    with pytest.raises(StageFailed, match="silver_to_gold"):
+        run_medallion(spark, bronze(spark, {}), layout, silver_source=str(tmp_path / "elsewhere"))
+
+
 def test_a_failure_names_its_stage_and_stops(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
     with pytest.raises(StageFailed, match="bronze_to_silver") as failure:
