@@ -26,7 +26,7 @@ from assay.sinks import (
     staging_folder,
     write_layer,
 )
-from assay.sources import is_path, open_bronze, open_source
+from assay.sources import find_bronze, is_path, open_bronze, open_source
 from assay.workspace import Files
 
 logger = logging.getLogger(__name__)
@@ -65,13 +65,17 @@ def bronze_to_silver(
     metrics: bool | str = False,
 ) -> StageResult:
     """Write silver in one pass over bronze: a frame, a catalog table's name or a folder of CSV files.
-    For such a folder another pass finds the headers, unless ``one_header`` promises a single one.
 
     ``metrics=WRITTEN_ROWS`` gives ``clean_rows``, from the footers of what was written.
-    ``metrics=True`` adds ``raw_rows`` and ``removed_rows``, and for that counts bronze in a second
-    pass; for Parquet that reads footers only, for CSV it reads all the text.
+    ``metrics=True`` adds ``raw_rows`` and ``removed_rows``. Of a folder that :func:`land_bronze` filled
+    the ledger knows the rows, so its text is read once; other files, and frames, are counted in a
+    second pass, which for Parquet reads footers only.
     """
-    if isinstance(bronze, str):
+    found = None
+    if isinstance(bronze, str) and is_path(bronze) and not one_header:
+        found = find_bronze(SparkSession.active(), bronze, multi_line=multi_line)
+        bronze = found.frame()
+    elif isinstance(bronze, str):
         bronze = open_bronze(
             SparkSession.active(), bronze, multi_line=multi_line, one_header=one_header
         )
@@ -89,7 +93,7 @@ def bronze_to_silver(
     if metrics:
         counts = {"clean_rows": write.rows}
     if metrics is True:
-        raw_rows = bronze.count()
+        raw_rows = found.rows() if found is not None else bronze.count()
         counts = {
             "raw_rows": raw_rows,
             "clean_rows": write.rows,
@@ -174,6 +178,7 @@ def run_medallion(
     layout: Layout,
     *,
     stamp: str | None = None,
+    batch: str | None = None,
     silver_partition: str | None = None,
     gold_partition: str | None = None,
     bronze_source: str | None = None,
@@ -190,6 +195,7 @@ def run_medallion(
     A stage starts only when the one before is done; a failure raises :class:`StageFailed` with the
     stage's name. Without a valid row silver is skipped, and so is gold if there never was a silver; one
     that is missing for any other reason fails the run.
+    With the name of a ``batch`` a rerun of a run that failed lands its rows once.
     ``bronze_source`` and ``silver_source`` are what the later stages read instead of the layout's
     folders: a catalog table's name or a path. With ``database`` the layers are registered there as
     ``silver_orders`` and ``gold_orders``, anew if they were registered over another place.
@@ -210,7 +216,7 @@ def run_medallion(
         )
 
     def ingest() -> StageResult:
-        folder = land_bronze(incoming, layout.bronze, stamp, multi_line=multi_line)
+        folder = land_bronze(incoming, layout.bronze, stamp, multi_line=multi_line, batch=batch)
         return StageResult("ingest", WriteResult(WRITTEN, folder))
 
     def to_silver() -> StageResult:

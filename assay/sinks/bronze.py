@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from assay import landings
 from assay.operators import align
 from assay.schemas import BRONZE
 from assay.sources.bronze import CSV_QUOTING
+from assay.workspace import Files
+
+logger = logging.getLogger(__name__)
 
 
 def run_stamp(moment: dt.datetime | None = None) -> str:
@@ -37,15 +43,40 @@ def _one_line(name: str) -> Column:
 
 
 def land_bronze(
-    df: DataFrame, bronze_path: str, stamp: str | None = None, *, multi_line: bool = False
+    df: DataFrame,
+    bronze_path: str,
+    stamp: str | None = None,
+    *,
+    multi_line: bool = False,
+    batch: str | None = None,
 ) -> str:
-    """Append one ingest run as CSV under ``run=<stamp>`` and return that folder.
+    """Add one ingest run as CSV under ``run=<stamp>`` and return that folder.
+
+    Earlier runs are never overwritten: one of the same second gets a folder of its own. The ledger
+    below ``bronze_path`` notes the run before and after it is written (see :mod:`assay.landings`), so
+    one that is killed is never read; its text is counted once, for the ledger. ``batch`` names what is
+    landed: a batch that has landed is not landed again, and one that was killed is written anew into
+    its own folder, so a retry gives its rows once.
 
-    Earlier runs are never overwritten, not even one of the same second. The CSV writer trims values
-    unless told not to. A value with a line break fails the landing, for readers would cut its row in
-    two; with ``multi_line`` it is written, to be read with the same setting.
+    The CSV writer trims values unless told not to. A value with a line break fails the landing, for
+    readers would cut its row in two; with ``multi_line`` it is written, to be read with the same setting.
     """
-    folder = f"{bronze_path.rstrip('/')}/run={stamp or run_stamp()}"
+    spark, files = df.sparkSession, Files(df.sparkSession)
+    root = bronze_path.rstrip("/")
+    name = batch if batch is not None else uuid.uuid4().hex
+    started, landed = landings.find(files, root, name) if batch is not None else (None, None)
+    if landed is not None:
+        logger.warning("Batch %r has landed in %s already.", batch, landed.folder)
+        return f"{root}/{landed.folder}"
+    if started is not None:
+        run = started.folder
+        files.delete(f"{root}/{run}")
+    else:
+        run = f"run={stamp or run_stamp()}"
+        if files.exists(f"{root}/{run}"):
+            run = f"{run}-{uuid.uuid4().hex[:8]}"
+        landings.start(files, root, name, run)
+    folder = f"{root}/{run}"
     floating = {
         field.name: _plain_digits(df[field.name])
         for field in df.schema
@@ -54,14 +85,22 @@ def land_bronze(
     rows = align(df.withColumns(floating) if floating else df, BRONZE)
     if not multi_line:
         rows = rows.select(*map(_one_line, rows.columns))
-    (
-        rows.write.mode("append")
-        .options(
-            header=True,
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-            **CSV_QUOTING,
+    try:
+        (
+            rows.write.mode("append")
+            .options(
+                header=True,
+                ignoreLeadingWhiteSpace=False,
+                ignoreTrailingWhiteSpace=False,
+                **CSV_QUOTING,
+            )
+            .csv(folder)
         )
-        .csv(folder)
-    )
+    except Exception:
+        files.delete(folder)
+        raise
+    written = spark.read.schema(BRONZE).options(header=True, multiLine=multi_line, **CSV_QUOTING).csv(folder)
+    sizes = files.lengths(folder)
+    landing = landings.Landing(run, tuple(BRONZE.names), written.count(), len(sizes), sum(sizes.values()))
+    landings.finish(files, root, name, landing)
     return folder

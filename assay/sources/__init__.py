@@ -1,4 +1,4 @@
-from assay.sources.bronze import header_groups, read_bronze_csv
+from assay.sources.bronze import find_bronze, header_groups, read_bronze_csv
 from assay.sources.generator import fill_orders, generate_orders
 from assay.sources.layers import (
     is_path,
@@ -12,6 +12,7 @@ from assay.sources.layers import (
 
 __all__ = [
     "fill_orders",
+    "find_bronze",
     "generate_orders",
     "header_groups",
     "is_path",

@@ -65,6 +65,27 @@ class Files:
             return []
         return [(s.getPath().getName(), s.isDirectory()) for s in store.listStatus(found)]
 
+    def lengths(self, path: str) -> dict[str, int]:
+        """The files directly below a path that are not hidden, with their bytes."""
+        store, found = self._open(path)
+        below = [(s.getPath().getName(), s) for s in store.listStatus(found) if not s.isDirectory()]
+        return {name: s.getLen() for name, s in below if name[0] not in "_."}
+
+    def qualified(self, path: str) -> str:
+        """A path with its store's name."""
+        store, found = self._open(path)
+        return found.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
+
+    def head(self, path: str, size: int) -> bytes:
+        """The first ``size`` bytes of a file, unpacked if its name says that it is compressed."""
+        store, found = self._open(path)
+        codec = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf).getCodec(found)
+        stream = store.open(found)
+        try:
+            return bytes((codec.createInputStream(stream) if codec is not None else stream).readNBytes(size))
+        finally:
+            stream.close()
+
     def read(self, path: str) -> str | None:
         """A small file's text."""
         store, found = self._open(path)

@@ -196,6 +196,16 @@ ORACLES: dict[str, str] = {
     "catalog_sql_report": with_stages(_REPORT),
     "generate_orders": GENERATED,
     "medallion_end_to_end": with_stages(_D),
+    "bronze_blank_heads": with_stages(
+        "SELECT order_id, order_date, customer_id, country, product, quantity,"
+        " NULLIF(unit_price, '') AS unit_price FROM bronze"
+    ),
+    "bronze_manifest_counts": with_stages(
+        "SELECT (SELECT count(*) FROM bronze WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 < 2)"
+        " AS landed_rows, raw_rows, clean_rows, raw_rows - clean_rows AS removed_rows FROM"
+        " (SELECT (SELECT count(*) FROM bronze) AS raw_rows,"
+        " (SELECT count(*) FROM silver) AS clean_rows) c"
+    ),
     "silver_publish_recovery": with_stages(
         "SELECT *, 'after the kill' AS seen FROM silver"
         " WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 <> 2"

@@ -37,7 +37,7 @@ from assay.plans import (
 from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
 from assay import versions
 from assay.sinks import land_bronze, register_table, write_layer
-from assay.sources import fill_orders, read_bronze_csv, read_layer, read_table
+from assay.sources import fill_orders, find_bronze, read_bronze_csv, read_layer, read_table
 from assay.sources.bronze import CSV_QUOTING
 from assay.workspace import Files, new_folder
 from assay_checks.star_bronze import star_bronze
@@ -196,6 +196,49 @@ def empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout.gold, GOLD)
 
 
+def bronze_blank_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that begin with blank lines, with a byte order mark or with their header."""
+    layout = Layout(new_folder(spark))
+    rows = star_bronze(spark, sf_dir)
+    pieces, header = 24, ",".join(rows.columns)
+    starts = F.element_at(F.array(F.lit("\n  \n"), F.lit("\ufeff"), F.lit("")), (F.col("piece") % 3 + 1).cast("int"))
+    heads = spark.range(pieces).select(F.col("id").cast("int").alias("piece"), F.lit(0).alias("place")).withColumn(
+        "line", F.concat(starts, F.lit(header))
+    )
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", **CSV_QUOTING}
+    lines = rows.select(
+        F.pmod(F.xxhash64("order_id"), F.lit(pieces)).cast("int").alias("piece"),
+        F.lit(1).alias("place"),
+        F.to_csv(F.struct(*rows.columns), options).alias("line"),
+    )
+    (
+        heads.unionByName(lines)
+        .repartition("piece")
+        .sortWithinPartitions("piece", "place")
+        .select("piece", "line")
+        .write.partitionBy("piece")
+        .text(layout.bronze)
+    )
+    return read_bronze_csv(spark, layout.bronze)
+
+
+def bronze_manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs landed, one of them tried twice, and files of another writer: rows by the ledger and all
+    rows, before and after the rules."""
+    layout = Layout(new_folder(spark))
+    rows = _numbered_bronze(spark, sf_dir)
+    for part, batch in ((0, "zero"), (1, "one"), (1, "one")):
+        land_bronze(rows.filter(_line(part)), layout.bronze, "20240105_000000", batch=batch)
+    _write_csv(rows.filter(_line(2)).drop("l_linenumber"), f"{layout.bronze}/other")
+    known = sum(landing.rows for _, landing in find_bronze(spark, layout.bronze).landed)
+    counts = bronze_to_silver(layout.bronze, layout.silver, metrics=True).metrics
+    names = ["landed_rows", "raw_rows", "clean_rows", "removed_rows"]
+    values = {"landed_rows": known, **counts}
+    return spark.createDataFrame(
+        [tuple(values[n] for n in names)], ", ".join(f"{n} bigint" for n in names)
+    )
+
+
 def silver_publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of two thirds of the lines, then what a write of all lines leaves that is killed at its
     commit, then that write once more: what readers see after each step."""
@@ -380,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "generate_orders": generate,
     "medallion_end_to_end": medallion_end_to_end,
     "generated_end_to_end": generated_end_to_end,
+    "bronze_blank_heads": bronze_blank_heads,
+    "bronze_manifest_counts": bronze_manifest_counts,
     "silver_publish_recovery": silver_publish_recovery,
     "silver_batches_once": silver_batches_once,
     "catalog_by_difference": catalog_by_difference,
