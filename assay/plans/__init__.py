@@ -1,4 +1,5 @@
 from assay.plans.gold import gold_having, gold_orders, gold_orders_basic
+from assay.plans.incremental import BUCKETED_SILVER, merge_new_runs
 from assay.plans.medallion import (
     WRITTEN_ROWS,
     StageFailed,
@@ -13,6 +14,7 @@ from assay.plans.reports import gold_report, silver_inspect
 from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
 
 __all__ = [
+    "BUCKETED_SILVER",
     "WRITTEN_ROWS",
     "StageFailed",
     "StageResult",
@@ -22,6 +24,7 @@ __all__ = [
     "gold_orders",
     "gold_orders_basic",
     "gold_report",
+    "merge_new_runs",
     "run_medallion",
     "silver_inspect",
     "silver_orders",

@@ -14,6 +14,7 @@ from assay import versions
 from assay.operators import gold_rules, rollup
 from assay.operators.metrics import count_groups, group_rows
 from assay.plans.gold import gold_orders, gold_orders_basic
+from assay.plans.incremental import BUCKETED_SILVER, merge_new_runs
 from assay.plans.silver import silver_orders, silver_orders_basic
 from assay.schemas import GOLD, SILVER, Layout
 from assay.sinks import (
@@ -184,13 +185,16 @@ def run_medallion(
     bronze_source: str | None = None,
     silver_source: str | None = None,
     database: str | None = None,
+    incremental: bool = False,
     multi_line: bool = False,
     one_header: bool = False,
     exact_cents: bool = False,
     rebalance: bool = True,
     metrics: bool | str = False,
 ) -> list[StageResult]:
-    """Land ``incoming`` as a new bronze run, then rebuild silver and gold from all runs.
+    """Land ``incoming`` as a new bronze run, then rebuild silver and gold from all runs. With
+    ``incremental`` silver lies in buckets of order ids, and only those that new runs touch are
+    written (see :func:`merge_new_runs`).
 
     A stage starts only when the one before is done; a failure raises :class:`StageFailed` with the
     stage's name. Without a valid row silver is skipped, and so is gold if there never was a silver; one
@@ -201,6 +205,8 @@ def run_medallion(
     ``silver_orders`` and ``gold_orders``, anew if they were registered over another place.
     """
 
+    if incremental and (silver_partition or bronze_source or one_header):
+        raise ValueError("incremental silver has its own partitions and reads the layout's bronze folder")
     statuses: dict[str, str] = {}
 
     def register(table: str, result: StageResult, schema: StructType) -> None:
@@ -219,7 +225,16 @@ def run_medallion(
         folder = land_bronze(incoming, layout.bronze, stamp, multi_line=multi_line, batch=batch)
         return StageResult("ingest", WriteResult(WRITTEN, folder))
 
+    def merged_silver() -> StageResult:
+        write, counts = merge_new_runs(spark, layout.bronze, layout.silver, multi_line=multi_line)
+        return StageResult("bronze_to_silver", write, counts if metrics else {})
+
     def to_silver() -> StageResult:
+        if incremental:
+            result = merged_silver()
+            register("silver_orders", result, BUCKETED_SILVER)
+            statuses["bronze_to_silver"] = result.write.status
+            return result
         result = bronze_to_silver(
             bronze_source or layout.bronze,
             layout.silver,

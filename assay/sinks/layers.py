@@ -70,6 +70,7 @@ def write_layer(
     rebalance: bool = True,
     guard: bool = True,
     batch: str | None = None,
+    notes: dict | None = None,
 ) -> WriteResult:
     """Write ``df`` as Parquet, unless it has no rows: then leave the old target as it is. Without
     ``guard`` a result without rows is published as well.
@@ -81,7 +82,7 @@ def write_layer(
     until the next write, for readers that have begun.
 
     ``batch`` names what is appended: a batch of that name that is already in the layer is not written
-    again. A static overwrite forgets the names.
+    again. A static overwrite forgets the names. ``notes`` are kept with this version alone.
 
     ``null_share`` (0 to 1) is the largest part of rows without a partition value; beyond it the layer
     is written without partitions, as one folder would hold most of it.
@@ -133,7 +134,7 @@ def write_layer(
             batches = {**before.batches, **({batch: folder} if batch is not None else {})}
         elif partition_overwrite == "dynamic" and partition_cols:
             new = {**before.partitions, **new}
-        after = versions.commit(files, target, before, new, batches)
+        after = versions.commit(files, target, before, new, batches, notes)
         published = True
         versions.clean(files, target, [before, after])
     finally:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,9 +71,26 @@ class BronzeFiles:
     multi_line: bool
     landed: list[tuple[str, Landing]]
     others: dict[Header, list[str]]
+    #: Bytes of each of the other files.
+    sizes: dict[str, int]
     #: Whether all that lies below the paths is to be read.
     everything: bool
 
+    def sources(self) -> dict[str, int]:
+        """Everything that is read, with its bytes: run folders and other files."""
+        return {folder: landing.bytes for folder, landing in self.landed} | self.sizes
+
+    def without(self, sources: Collection[str]) -> BronzeFiles:
+        """The same files but for some folders and files."""
+        others = {h: [f for f in found if f not in sources] for h, found in self.others.items()}
+        return replace(
+            self,
+            landed=[each for each in self.landed if each[0] not in sources],
+            others={header: found for header, found in others.items() if found},
+            sizes={path: size for path, size in self.sizes.items() if path not in sources},
+            everything=self.everything and not sources,
+        )
+
     def groups(self) -> dict[Header, list[str]]:
         """Folders of whole runs and single other files, by header."""
         out = {header: list(found) for header, found in self.others.items()}
@@ -131,10 +149,11 @@ def find_bronze(spark: SparkSession, *paths: str, multi_line: bool = False, head
     )
     rows = [(name, landing.files, landing.bytes) for name, landing in whole.items()]
     noted = spark.createDataFrame(rows, "folder string, files bigint, bytes bigint")
-    sizes = listing.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    as_noted = {row[0] for row in sizes.join(noted, ["folder", "files", "bytes"]).select("folder").collect()}
+    held = listing.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    as_noted = {row[0] for row in held.join(noted, ["folder", "files", "bytes"]).select("folder").collect()}
     known = spark.createDataFrame([(name,) for name in [*as_noted, *broken]], "folder string")
-    rest = [row[0] for row in listing.join(known, "folder", "left_anti").select("path").collect()]
+    sizes = dict(map(tuple, listing.join(known, "folder", "left_anti").select("path", "length").collect()))
+    rest = sorted(sizes)
     others: dict[Header, list[str]] = {}
     if heads:
         with ThreadPoolExecutor(_PROBES) as probes:
@@ -145,7 +164,7 @@ def find_bronze(spark: SparkSession, *paths: str, multi_line: bool = False, head
     elif rest:
         others[()] = rest
     landed = [(name, whole[name]) for name in sorted(as_noted)]
-    return BronzeFiles(spark, paths, multi_line, landed, others, everything=not broken)
+    return BronzeFiles(spark, paths, multi_line, landed, others, sizes, everything=not broken)
 
 
 def header_groups(spark: SparkSession, *paths: str, multi_line: bool = False) -> dict[Header, list[str]]:

@@ -122,6 +122,14 @@ SELECT * REPLACE (CASE WHEN CAST(customer_id AS INT) % 7 = 0 THEN replace(produc
 FROM silver
 """
 
+# A third of the lines comes again with another product.
+LATE = f"""
+SELECT * FROM ({BRONZE}) first
+UNION ALL
+SELECT * REPLACE ('A late copy' AS product) FROM ({BRONZE}) again
+WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 = 0
+"""
+
 _D = "SELECT * FROM gold_clean"
 _S = "SELECT * FROM silver"
 _REPORT = (
@@ -211,6 +219,7 @@ ORACLES: dict[str, str] = {
         " WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 <> 2"
         " UNION ALL SELECT *, 'after the rerun' AS seen FROM silver"
     ),
+    "silver_incremental": with_stages(_S, bronze=LATE),
     "silver_batches_once": with_stages("SELECT * FROM basic"),
     "catalog_by_difference": with_stages(
         "SELECT * REPLACE (CASE WHEN country = 'CANADA' THEN quantity * 2 ELSE quantity END AS quantity)"

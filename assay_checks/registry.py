@@ -27,6 +27,7 @@ from assay.plans import (
     gold_orders,
     gold_orders_basic,
     gold_report,
+    merge_new_runs,
     run_medallion,
     silver_inspect,
     silver_orders,
@@ -254,6 +255,18 @@ def silver_publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return killed.unionByName(rerun)
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver brought up run by run: two thirds of the lines, then late copies of the first third that
+    come before the rows there are, with the last third."""
+    layout = Layout(new_folder(spark))
+    rows = _numbered_bronze(spark, sf_dir)
+    late = rows.filter(_line(0)).withColumn("product", F.lit("A late copy"))
+    for batch in (rows.filter(_line(0)), rows.filter(_line(1)), late.unionByName(rows.filter(_line(2)))):
+        land_bronze(batch, layout.bronze)
+        merge_new_runs(spark, layout.bronze, layout.silver, buckets=16)
+    return read_layer(spark, layout.silver, SILVER)
+
+
 def silver_batches_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches appended to basic silver, each of them twice."""
     layout = Layout(new_folder(spark))
@@ -426,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "bronze_blank_heads": bronze_blank_heads,
     "bronze_manifest_counts": bronze_manifest_counts,
     "silver_publish_recovery": silver_publish_recovery,
+    "silver_incremental": silver_incremental,
     "silver_batches_once": silver_batches_once,
     "catalog_by_difference": catalog_by_difference,
     "partition_null_heavy": partition_null_heavy,

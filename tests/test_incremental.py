@@ -1,0 +1,136 @@
+"""Silver brought up by new runs is the silver of a rebuild."""
+
+from __future__ import annotations
+
+import random
+import shutil
+
+import pytest
+from frames import bronze
+
+from assay import versions
+from assay.plans import merge_new_runs, run_medallion
+from assay.plans.silver import silver_orders
+from assay.schemas import GOLD, SILVER, Layout
+from assay.sinks import SKIPPED_EMPTY, WRITTEN, land_bronze
+from assay.sources import read_bronze_csv, read_layer
+from assay.workspace import Files
+
+
+def _batch(spark, seed: int, ids: int, rows: int):
+    pick = random.Random(seed)
+    return bronze(
+        spark,
+        *[
+            {
+                "order_id": pick.choice([None, *map(str, range(ids))]),
+                "order_date": f"2024-01-0{pick.randint(1, 9)}",
+                "country": pick.choice(["US", "CA", None]),
+                "quantity": pick.choice(["0", "1", "2", "x"]),
+                "unit_price": pick.choice(["9.99", "-1", "19.99"]),
+            }
+            for _ in range(rows)
+        ],
+    )
+
+
+def _same_as_rebuild(spark, layout):
+    got = sorted(map(str, read_layer(spark, layout.silver, SILVER).collect()))
+    assert got == sorted(map(str, silver_orders(read_bronze_csv(spark, layout.bronze)).collect()))
+    return got
+
+
+def test_batches_with_late_copies(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for seed, rows in ((1, 120), (2, 60), (3, 2)):
+        land_bronze(_batch(spark, seed, 40, rows), layout.bronze)
+        write, counts = merge_new_runs(spark, layout.bronze, layout.silver, buckets=8)
+        assert write.status == WRITTEN and counts["new_sources"] == 1
+        assert _same_as_rebuild(spark, layout)
+    assert counts["buckets"] <= 2
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    land_bronze(_batch(spark, 1, 60, 300), layout.bronze)
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=8)
+    before = versions.newest_commit(Files(spark), layout.silver).partitions
+    land_bronze(bronze(spark, {"order_id": "7", "order_date": "2023-01-01"}), layout.bronze)
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=8)
+    after = versions.newest_commit(Files(spark), layout.silver).partitions
+    assert sum(before.get(name) != folders for name, folders in after.items()) == 1
+    _same_as_rebuild(spark, layout)
+
+
+def test_nothing_new_and_nothing_valid(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    land_bronze(_batch(spark, 1, 20, 40), layout.bronze)
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    write, counts = merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    assert (write.status, counts) == (SKIPPED_EMPTY, {"new_sources": 0, "buckets": 0})
+    land_bronze(bronze(spark, {"quantity": "0"}), layout.bronze)
+    write, counts = merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    assert (write.status, counts) == (SKIPPED_EMPTY, {"new_sources": 1, "buckets": 0})
+    assert merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)[1]["new_sources"] == 0
+    _same_as_rebuild(spark, layout)
+
+
+@pytest.mark.parametrize("change", ["gone", "other buckets", "other writer"])
+def test_a_rebuild_when_what_is_known_no_longer_holds(spark, tmp_path, change):
+    from assay.sinks import write_layer
+
+    layout = Layout(str(tmp_path))
+    first = land_bronze(_batch(spark, 1, 20, 40), layout.bronze)
+    land_bronze(_batch(spark, 2, 20, 40), layout.bronze)
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    if change == "gone":
+        shutil.rmtree(first)
+    if change == "other writer":
+        write_layer(read_layer(spark, layout.silver, SILVER).limit(3), layout.silver)
+    buckets = 5 if change == "other buckets" else 4
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=buckets)
+    _same_as_rebuild(spark, layout)
+
+
+def test_files_of_other_writers_are_merged_too(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for seed in (1, 2):
+        _batch(spark, seed, 20, 30).coalesce(1).write.mode("append").csv(layout.bronze, header=True)
+        merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+        _same_as_rebuild(spark, layout)
+
+
+def test_a_killed_merge_is_done_by_the_next(spark, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path))
+    land_bronze(_batch(spark, 1, 20, 40), layout.bronze)
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    before = _same_as_rebuild(spark, layout)
+    land_bronze(_batch(spark, 2, 20, 40), layout.bronze)
+
+    def interrupted(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", interrupted)
+        with pytest.raises(KeyboardInterrupt):
+            merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    assert sorted(map(str, read_layer(spark, layout.silver, SILVER).collect())) == before
+    merge_new_runs(spark, layout.bronze, layout.silver, buckets=4)
+    _same_as_rebuild(spark, layout)
+
+
+def test_the_run_in_a_row(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    spark.sql(f"CREATE DATABASE merged LOCATION '{tmp_path / 'db'}'")
+    try:
+        for seed in (1, 2):
+            results = run_medallion(
+                spark, _batch(spark, seed, 30, 50), layout, incremental=True, metrics=True, database="merged"
+            )
+            assert results[1].metrics["new_sources"] == 1
+            assert spark.table("merged.silver_orders").count() == len(_same_as_rebuild(spark, layout))
+            assert read_layer(spark, layout.gold, GOLD).count() > 0
+    finally:
+        spark.sql("DROP DATABASE merged CASCADE")
+    with pytest.raises(ValueError):
+        run_medallion(spark, _batch(spark, 1, 1, 1), layout, incremental=True, silver_partition="country")
