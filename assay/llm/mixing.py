@@ -5,8 +5,10 @@ its source's words up to and including it, divided by the source's target; the s
 goes on where the first ended. Sorted by finish time, copies are taken up to the total budget: at any
 point of that order the sources have been served in proportion to their targets.
 
-Both running sums are in two levels, so that no source and no sort lies in one task: totals of hash
-ranges (or of finish-time ranges) are summed first, and rows are sorted only inside their range.
+Both orders are range sorts over all partitions, and both running sums are in two levels: totals of
+the pieces that each partition holds are summed first, then rows inside their piece. So no source, no
+id and no finish time lies in one task. Only numbers are sorted; the rows themselves are stored once,
+under a number of their own, and joined with what the mix takes of each.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assay.llm.ranked import stored_in_order
 from assay.llm.text import word_count
 from assay.workspace import new_folder
 
@@ -23,9 +26,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_LAPS = 2
 
-# Ranges of the 60-bit shuffle key within a source, and of the finish time per target.
-_KEY_BITS, _RANGE_BITS = 60, 12
-_TIME_RANGES = 8192
+_KEY_BITS = 60
 
 
 def shuffle_key(doc_id: Column) -> Column:
@@ -35,7 +36,8 @@ def shuffle_key(doc_id: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, laps: int) -> DataFrame:
-    """``source_size``, ``weight`` and ``target`` of each ``source_key``; one row a source.
+    """``source_size``, ``weight`` and ``target`` of each ``source_key``; one row a source. Sources are
+    ranked in one task, which sorts three numbers and a name of each: ten million are below 1 GB.
 
     Sources weigh ``weights`` in turn, by code point, the null source (an empty key) last. Water
     filling: with the sources sorted by cap / weight, the level for a source shares what the caps
@@ -66,10 +68,30 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, laps:
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = f"{new_folder(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _running(ordered: DataFrame, *group: str) -> DataFrame:
+    """``upto``: the sum of ``size`` up to each row of a table stored in order, within its group."""
+    totals = ordered.groupBy(*group, "part").agg(F.sum("size").alias("size"))
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*group, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(*group, "part").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        ordered.join(starts, [*group, "part"])
+        .withColumn("upto", F.col("before") + F.sum("size").over(inside))
+        .drop("before", "part", "slot")
+    )
+
+
 def mix(
     docs: DataFrame,
     *,
     size: str | None = None,
+    tie: str | None = None,
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     laps: int = MOST_LAPS,
@@ -77,104 +99,58 @@ def mix(
     """``row`` (the document as a struct), ``size``, ``source_size``, ``target`` and ``copies``.
 
     ``docs`` has ``doc_id``, ``source`` and ``text``, or a column named by ``size`` with the number of
-    words; any further columns travel inside ``row`` and cannot clash. Every row of ``docs`` comes back once, with the number of
-    copies that the mix takes, 0 to ``laps``.
+    words; any further columns travel inside ``row`` and cannot clash. Every row of ``docs`` comes back
+    once, with the number of copies that the mix takes, 0 to ``laps``.
 
     A null source is a source of its own. A null or empty text has size 0, is never taken and does
-    not delay others. Equal rows, and rows that share id and source, queue together and finish at the
-    same time; they are all taken or all left. The order depends on ids alone, so reruns agree.
+    not delay others. Rows that share an id, or have none, queue one by one, in the order of the column
+    named by ``tie`` (of the text's md5 if none is); rows that are equal in that as well, in any order.
+    So each is taken or left on its own, and reruns agree on all but which of some equal rows it was.
+    An empty table gives no rows.
     """
     words = F.col(size).cast("bigint") if size else word_count(F.col("text"))
-    key = shuffle_key(F.col("doc_id"))
-    rows = docs.select(
-        F.struct("*").alias("row"),
-        F.col("doc_id").alias("id"),
-        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source_key"),
-        F.coalesce(words, F.lit(0)).alias("size"),
-        key.alias("key"),
-        F.shiftright(key, _KEY_BITS - _RANGE_BITS).alias("range"),
-    )
-
-    # What the sums need is stored once, so that texts are read twice and no more.
-    path = f"{new_folder(docs.sparkSession)}/sizes"
-    rows.drop("row").write.parquet(path)
-    sizes = docs.sparkSession.read.parquet(path)
-    ranges = sizes.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
-    targets = source_targets(
-        ranges.groupBy("source_key").agg(F.sum("range_size").alias("source_size")),
-        weights,
-        share,
-        laps,
-    )
-    earlier = (
-        Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    if tie is not None:
+        told_apart = F.col(tie).cast("string")
+    elif "text" in docs.columns:
+        told_apart = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    else:
+        told_apart = F.lit("")
+    rows = _stored(
+        docs.select(
+            F.struct("*").alias("row"),
+            F.col("doc_id").alias("id"),
+            F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source_key"),
+            F.coalesce(words, F.lit(0)).alias("size"),
+            shuffle_key(F.col("doc_id")).alias("key"),
+            F.coalesce(told_apart, F.lit("")).alias("tie"),
+            F.monotonically_increasing_id().alias("uid"),
+        ),
+        "rows",
     )
-    starts = ranges.withColumn(
-        "queued", F.coalesce(F.sum("range_size").over(earlier), F.lit(0))
-    ).join(targets, "source_key")
-
-    within = Window.partitionBy("source_key", "range").orderBy("key", "id")
-
-    def queue(entries: DataFrame) -> DataFrame:
-        return entries.join(starts, ["source_key", "range"]).withColumn(
-            "finish", F.col("queued") + F.sum("size").over(within)
-        )
-
-    def place(lap: Column) -> Column:
-        time = F.try_divide(F.col("finish") + lap * F.col("source_size"), F.col("target"))
-        return F.struct(
-            time.alias("time"), "source_key", "key", F.col("id").alias("id"), lap.alias("lap")
-        )
-
-    # The cut: copies before it are taken. Only one narrow range of finish times is ever sorted.
-    copies = rows_for_cut(queue(sizes), place, laps)
-    budget = targets.agg(F.sum("target").alias("budget"))
-    totals = copies.groupBy("time_range").agg(F.sum("size").alias("words"))
-    running = totals.withColumn("upto", F.sum("words").over(Window.orderBy("time_range")))
-    past = running.filter(F.col("upto") > budget.scalar())
-    cut = past.agg(F.min_by(F.struct("time_range", (F.col("upto") - F.col("words")).alias("before")), "time_range").alias("cut"))
-    last = (
-        copies.withColumn("cut", cut.scalar())
-        .filter(F.col("time_range") == F.col("cut.time_range"))
-        .withColumn(
-            "upto",
-            F.col("cut.before") + F.sum("size").over(Window.partitionBy("time_range").orderBy("place")),
-        )
-        .filter(F.col("upto") <= budget.scalar())
-        .agg(F.max("place").alias("last"))
-    )
-    bounded = queue(rows).withColumns({"cut": cut.select("cut.time_range").scalar(), "last": last.scalar()})
-
-    def taken(lap: int) -> Column:
-        at = place(F.lit(lap))
-        inside = (time_range(at["time"]) < F.col("cut")) | (
-            (time_range(at["time"]) == F.col("cut")) & F.coalesce(at <= F.col("last"), F.lit(False))
-        )
-        return F.when((F.col("size") > 0) & F.coalesce(inside, F.lit(True)), 1).otherwise(0)
-
-    return bounded.select(
+    order = ["source_key", "key", "id", "tie", "uid"]
+    queued = _running(stored_in_order(rows.drop("row"), order), "source_key").withColumnRenamed("upto", "finish")
+    sizes = rows.groupBy("source_key").agg(F.sum("size").alias("source_size"))
+    targets = _stored(source_targets(sizes, weights, share, laps), "targets").drop("weight")
+    queue = _stored(queued.join(targets, "source_key"), "queue")
+
+    lapped = queue.filter("size > 0").withColumn("lap", F.explode(F.array(*map(F.lit, range(laps)))))
+    time = F.try_divide(F.col("finish") + F.col("lap") * F.col("source_size"), F.col("target"))
+    copies = lapped.withColumn("time", time).select("time", *order, "lap", "size")
+    served = _running(stored_in_order(copies, ["time", *order, "lap"]))
+    budget = targets.agg(F.sum("target").alias("budget")).scalar()
+    taken = served.filter(F.col("upto") <= budget).groupBy("uid").agg(F.count(F.lit(1)).alias("copies"))
+    counted = queue.select("uid", "source_size", "target").join(taken, "uid", "left")
+    return rows.select("row", "size", "uid").join(counted, "uid").select(
         "row",
         "size",
         "source_size",
         F.col("target").cast("double").alias("target"),
-        sum(taken(lap) for lap in range(laps)).alias("copies"),
-    )
-
-
-def time_range(time: Column) -> Column:
-    """Finish times beyond twice the target share one range: the budget ends at about one."""
-    return F.floor(F.least(time, F.lit(2.0)) * _TIME_RANGES)
-
-
-def rows_for_cut(queued: DataFrame, place, laps: int) -> DataFrame:
-    lapped = queued.filter(F.col("size") > 0).withColumn(
-        "lap", F.explode(F.array(*[F.lit(lap) for lap in range(laps)]))
+        F.coalesce("copies", F.lit(0)).cast("int").alias("copies"),
     )
-    placed = lapped.select("size", place(F.col("lap")).alias("place"))
-    return placed.withColumn("time_range", time_range(F.col("place.time")))
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: each taken document once or more often, with the columns of ``docs``."""
+    """The mix itself: each taken document once or more often, with the columns of ``docs``. Nulls, ties
+    and empty tables are as in :func:`mix`; texts without a word are in no mix."""
     chosen = mix(docs, **settings).filter(F.col("copies") > 0)
     return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

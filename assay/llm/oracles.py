@@ -73,7 +73,7 @@ FROM base
 
 OP10 = r"""
 WITH rows AS (
-  SELECT doc_id, coalesce('=' || source, '') AS source_key,
+  SELECT row_number() OVER () AS r, md5(coalesce(text, '')) AS tie, doc_id, coalesce('=' || source, '') AS source_key,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
   FROM documents),
@@ -93,23 +93,23 @@ targets AS (
     weight * (SELECT max(own_level) FROM levels)) AS target
   FROM levels),
 queued AS (
-  SELECT r.*, source_size, target, sum(size) OVER (PARTITION BY r.source_key ORDER BY key, doc_id) AS finish
+  SELECT r.*, source_size, target, sum(size) OVER
+    (PARTITION BY r.source_key ORDER BY key, doc_id, tie, r.r ROWS UNBOUNDED PRECEDING) AS finish
   FROM rows r JOIN targets t ON r.source_key = t.source_key),
 copies AS (
   SELECT *, (CAST(finish AS BIGINT) + lap * source_size) / target AS time
   FROM queued, (SELECT unnest([0, 1]) AS lap) l WHERE size > 0),
 served AS (
-  SELECT *, sum(size) OVER (ORDER BY time, source_key, key, doc_id, lap) AS upto FROM copies),
+  SELECT *, sum(size) OVER
+    (ORDER BY time, source_key, key, doc_id, tie, r, lap ROWS UNBOUNDED PRECEDING) AS upto FROM copies),
 taken AS (
-  SELECT doc_id, source_key, size, count(*) AS copies FROM served
-  WHERE upto <= (SELECT sum(target) FROM targets) GROUP BY ALL)
+  SELECT r, count(*) AS copies FROM served
+  WHERE upto <= (SELECT sum(target) FROM targets) GROUP BY r)
 SELECT q.doc_id, q.size, q.source_size, q.target, q.size * coalesce(t.copies, 0) AS taken
-FROM queued q LEFT JOIN taken t
-  ON q.doc_id = t.doc_id AND q.source_key = t.source_key AND q.size = t.size
+FROM queued q LEFT JOIN taken t ON q.r = t.r
 """
 
 
-
 def _crc32(text: str) -> str:
     """crc32 of a short ASCII text, bit by bit: a byte is mixed in, then eight steps follow it."""
     steps = (

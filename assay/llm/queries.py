@@ -162,9 +162,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")
+        "doc_id",
+        "source",
+        word_count(F.col("text")).alias("size"),
+        F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"),
     )
-    return mix(docs, size="size").select(
+    return mix(docs, size="size", tie="tie").select(
         "row.doc_id",
         "size",
         "source_size",
