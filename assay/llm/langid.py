@@ -17,14 +17,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
-#: Expected number of rows a language is learnt from, and the words of it that are learnt.
+#: Expected number of rows a language is learnt from.
 TRAIN_ROWS = 2_000
-MOST_WORDS = 60_000
 #: Languages that are summed at once.
 BLOCK = 64
 ROUNDS = 4
@@ -32,7 +31,6 @@ SMOOTHING = 0.1
 
 #: A run of letters beyond this is cut, so that no word's lattice grows without end.
 LONGEST_WORD = 40
-_LONGEST_PIECE = 12
 _STRANGE = 1e-7
 _WORD_START = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -56,6 +54,10 @@ _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 class Pieces(dict):
     """Numbers of pieces, and a table to look many up at once."""
 
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self), default=1)
+
     @cached_property
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted hashes of all pieces and of all their beginnings, with the number, or -1 for those
@@ -74,15 +76,14 @@ class Pieces(dict):
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    """The vocabulary's pieces up to a length, numbered from 1; number 0 is any single unknown letter."""
+    """The vocabulary's pieces, numbered from 1; number 0 is any single unknown letter."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     known = (
         model.id_to_piece(i)
         for i in range(model.get_piece_size())
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
     )
-    short = dict.fromkeys(piece for piece in known if len(piece) <= _LONGEST_PIECE)
-    return Pieces((piece, i) for i, piece in enumerate(short, 1))
+    return Pieces((piece, i) for i, piece in enumerate(dict.fromkeys(known), 1))
 
 
 @dataclass
@@ -97,7 +98,8 @@ class Lattice:
 
     @classmethod
     def of(cls, words: list[str], known: dict[str, int]) -> Lattice:
-        keys, numbers = (known if isinstance(known, Pieces) else Pieces(known)).table
+        known = known if isinstance(known, Pieces) else Pieces(known)
+        keys, numbers = known.table
         joined = "".join(_WORD_START + word for word in words)
         letters = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
         lengths = np.fromiter(map(len, words), np.int32, len(words)) + 1
@@ -106,7 +108,7 @@ class Lattice:
         place = np.arange(len(letters))
         key = np.zeros(len(letters), np.uint64)
         starts, stops, found = [], [], []
-        for size in range(1, _LONGEST_PIECE + 1):
+        for size in range(1, known.longest + 1):
             inside = place + size <= ends[place]
             place, key = place[inside], key[inside]
             if not len(place):
@@ -233,9 +235,9 @@ def train(
 ) -> Model:
     """A model of the languages of the rows that ``learn`` marks.
 
-    Each language is learnt from about ``rows`` rows, chosen by a hash of the id, and from its
-    ``MOST_WORDS`` commonest words there, in a task of its own; priors count all marked rows. Every
-    language is learnt. What reaches the driver is a row a language, of the pieces that it uses.
+    Each language is learnt from about ``rows`` rows, chosen by a hash of id and text, in a task of its
+    own that holds the words of these rows; copies of a row count once there, and priors count all
+    marked rows. Every language is learnt. What reaches the driver is a row a language, of the pieces that it uses.
     """
     labelled = docs.select(
         docs[lang].cast("string").alias("lang"),
@@ -251,10 +253,12 @@ def train(
     shares = docs.sparkSession.createDataFrame(
         [(name, min(1.0, rows / count_of[name])) for name in languages], "lang string, share double"
     )
-    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / F.lit(1e6)
+    place = F.pmod(F.xxhash64("id", "body"), F.lit(1_000_000)) / F.lit(1e6)
     sample = (
         labelled.join(F.broadcast(shares), "lang")
         .filter(place < F.col("share"))
+        .select("lang", "id", "body")
+        .dropDuplicates()
         .select("lang", "body")
     )
 
@@ -271,13 +275,8 @@ def train(
             )
 
     totals = sample.mapInArrow(counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    commonest = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    learnt = totals.withColumn("place", F.row_number().over(commonest)).filter(
-        F.col("place") <= MOST_WORDS
-    )
-
     def fit_language(key: tuple, words: pd.DataFrame) -> pd.DataFrame:
-        words = words.sort_values("place")
+        words = words.sort_values(["n", "word"], ascending=[False, True])
         used, own, other = _fitted(
             words["word"].tolist(), words["n"].to_numpy(np.float64), path, rounds
         )
@@ -292,7 +291,7 @@ def train(
 
     found = {
         row["lang"]: row
-        for row in learnt.groupBy("lang")
+        for row in totals.groupBy("lang")
         .applyInPandas(fit_language, "lang string, used binary, own binary, other double")
         .collect()
     }

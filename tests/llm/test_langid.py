@@ -112,3 +112,27 @@ def test_blocks_of_languages_give_the_scores_of_one(spark, monkeypatch):
     assert (len(one.blocks), len(many.blocks)) == (1, len(model.languages))
     assert one.predict(texts)[0] == many.predict(texts)[0]
     assert one.predict(texts)[1] == pytest.approx(many.predict(texts)[1])
+
+
+def test_rows_without_an_id_are_sampled_like_others(spark):
+    """Many rows of no id, of one id, and copies: about ``rows`` of each language are learnt from."""
+    rows = [(None, f"wort{i} der mann {i}", "de") for i in range(400)]
+    rows += [(7, f"mot{i} le chat {i}", "fr") for i in range(400)]
+    rows += [(i, f"word{i} the man {i}", "en") for i in range(400)]
+    rows += [(None, "siempre lo mismo", "es")] * 400
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs, PATH, F.lit(True), rows=40)
+    used = {name: len(pieces) for name, pieces in zip(model.languages, model.used)}
+    assert set(used) == {"de", "en", "es", "fr"}
+    whole = langid.train(docs, PATH, F.lit(True), rows=4000)
+    for name, pieces in zip(whole.languages, whole.used):
+        # A tenth of the rows holds far fewer different words than all of them.
+        assert name == "es" or used[name] < 0.8 * len(pieces)
+
+
+def test_pieces_of_any_length_are_used():
+    known = langid.pieces(PATH)
+    longest = max(known, key=len)
+    assert len(longest) > 12 and known.longest == len(longest)
+    lattice = langid.Lattice.of([longest.lstrip("▁")], known)
+    assert known[longest] in lattice.piece or not longest.startswith("▁")
