@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from assay.llm import rules
+
 OP3 = r"""
 WITH tokens AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -26,6 +28,8 @@ SELECT e.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) A
 FROM each e LEFT JOIN kept k ON e.doc_id = k.doc_id
 """
 
+_BLANKS = "".join(f"chr({ord(blank)}) || " for blank in rules.BLANKS)[:-4]
+
 OP8 = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 tokens AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
@@ -36,7 +40,7 @@ covered AS (
   SELECT r, count(DISTINCT i + o) AS n_repeat_words FROM twins, unnest([0, 1, 2]) AS t(o)
   WHERE n > 1 GROUP BY r),
 lines AS (
-  SELECT r, i, l, rtrim(l, ' ') AS b
+  SELECT r, i, l, rtrim(l, {blanks}) AS b
   FROM (SELECT r, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i
         FROM docs)),
 judged AS (
@@ -44,11 +48,12 @@ judged AS (
 passed AS (
   SELECT r, l, min(i) AS i FROM judged
   WHERE length(trim(b, ' ')) > 0
-    AND b[-1] IN ('.', '!', '?', ':', ';', '"', '''', ')', '…', '»', '”', '’', '。', '！', '？')
+    AND (length(b) >= {long} OR b[-1] IN ('.', '!', '?', ':', ';', '"', '''', ')')
+      OR (regexp_matches(b[-1], '[\p{Po}\p{Pe}\p{Pf}]') AND NOT regexp_matches(b[-1], '[\x00-\x7F•·،、，]')))
     AND len(regexp_extract_all(b, '[#*$%&|<>]')) * 10 <= weight
     AND len(regexp_extract_all(b, '[|>»•·]')) * 5 < weight
     AND len(regexp_extract_all(b, '\p{Lu}{2,}')) * 2 <= weight
-    AND NOT regexp_matches(b, '(?i)cookie|copyright|rights reserved|licensed under|released under the|javascript|click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum')
+    AND (length(b) >= {long} OR NOT regexp_matches(b, '{phrases}'))
   GROUP BY r, l),
 cleaned AS (
   SELECT r, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS kept_words FROM passed GROUP BY r),
@@ -69,7 +74,7 @@ base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND (n_words - kept_words) * 100 <= n_words * 40 AS kept
 FROM base
-"""
+""".replace("{blanks}", _BLANKS).replace("{long}", str(rules.LONG_LINE)).replace("{phrases}", rules.BOILERPLATE)
 
 OP10 = r"""
 WITH rows AS (

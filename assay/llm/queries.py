@@ -133,8 +133,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # Its SQL fails long lines by every rule.
-    return rules.measure(docs, long_line=None).select(
+    return rules.measure(docs).select(
         "row.doc_id",
         "n_words",
         "word_chars",
@@ -149,7 +148,7 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, path, offsets=False, decoded=True)
+    tokens = bpe.encode(docs, path, offsets=True, decoded=True)
     return tokens.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -34,7 +34,10 @@ NAVIGATION = r"[|>»•·]"
 CAPITALS = r"\p{Lu}{2,}"
 BOILERPLATE = (
     r"(?i)cookie|copyright|rights reserved|licensed under|released under the|javascript|"
-    r"click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum"
+    r"click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum|"
+    r"rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|hier klicken|droits r.serv|"
+    r"politique de confidentialit|mentions l.gales|cliquez ici|derechos reservados|"
+    r"pol.tica de privacidad|haga clic"
 )
 
 
@@ -107,7 +110,8 @@ def measure(
 
     A null text counts as empty: no words, so it fails. Lines end at line feeds; a line of blanks
     alone has no word, is not counted as a copy, and is dropped from the cleaned text. Lines of
-    ``long_line`` characters or more are spared two rules; with None, no line is. Columns of ``docs`` stay inside ``row``, so none can clash. Equal rows get equal results.
+    ``long_line`` characters or more are spared two rules; with None, no line is. Columns of
+    ``docs`` stay inside ``row``, so none can clash. Equal rows get equal results.
     """
     body = F.coalesce(F.col("text_in"), F.lit(""))
     base = docs.select(F.struct("*").alias("row"), docs[text].cast("string").alias("text_in"))
@@ -140,7 +144,8 @@ def measure(
 
 
 def clean(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """The kept documents with their failing lines removed from ``text``; other columns as they were."""
+    """The kept documents with their failing lines removed from ``text``; other columns as they were.
+    Null, empty and short texts go, for they fail; equal rows stay or go together."""
     kept = measure(docs, text=text).filter("kept")
     return kept.select(
         *[

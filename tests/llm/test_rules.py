@@ -92,3 +92,30 @@ def test_edge_rows(spark):
         assert row["n"] >= 50 or not row["k"]
     assert rules.clean(docs).columns == docs.columns
     assert rules.measure(empty_docs(spark)).count() == 0
+
+
+def test_the_query_and_its_sql_on_texts_of_all_kinds(spark, tmp_path):
+    """Line breaks, blanks, scripts, long lines and phrases of other languages: one set of rules."""
+    import duckdb
+
+    from assay.llm.oracles import OP8
+    from assay.llm.queries import op8_line_rules
+
+    plain = [" ".join(f"word{7 * i + k}" for k in range(7)) for i in range(12)]
+    one_line = " ".join(f"word{i}" for i in range(70))
+    ends = [".", ".\r", ".\t", ".\u00a0", ".\u200b", "।", "؟", "。", "»", "”", "·", "،", "•", "…\ufeff", ",", "]", "¿", ""]
+    texts = [f"{end}\n".join([*plain, ""]) for end in ends]
+    texts += [one_line, f"{one_line} subscribe to it.", f"{one_line[:190]}", f"{one_line[:199]} x", None, ""]
+    texts += [
+        "\n".join(f"{line}." for line in plain) + f"\n{said}."
+        for said in ("Alle Rechte vorbehalten", "Tous droits réservés", "Haga clic", "We use COOKIES")
+    ]
+    texts += ["\n".join([*(f"{p}." for p in plain), *[f"a | b | c {i}" for i in range(k)]]) for k in (2, 10, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(OP8).df().sort_values("doc_id").reset_index(drop=True)
+    got = op8_line_rules(spark, str(tmp_path)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert (got[want.columns] == want).all().all()
+    assert 0 < got["kept"].sum() < len(got)
