@@ -166,6 +166,12 @@ class Ranks:
         self._cache: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
 
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all tokens in a row, and where each begins and how long it is."""
+        lengths = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+        return np.frombuffer(b"".join(self.tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
     @cached_property
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of ids, sorted, as one number each, and the rank of the token that they make."""
@@ -330,14 +336,30 @@ def _chunks(texts: pa.Array) -> Iterator[list[str]]:
         at = end
 
 
-def decode_ids(flat: np.ndarray, counts: np.ndarray, path: str) -> list[bytes]:
-    """The bytes of texts from their ids in a row and how many each has."""
-    by_id = ranks(path).tokens
-    ends = np.cumsum(counts, dtype=np.int64)
-    return [
-        b"".join(map(by_id.__getitem__, flat[a:b].tolist()))
-        for a, b in zip((ends - counts).tolist(), ends.tolist())
-    ]
+def decode_ids(
+    flat: np.ndarray, counts: np.ndarray, path: str, offsets: np.ndarray | None = None
+) -> list[bytes]:
+    """The bytes of texts from their ids in a row and how many each has. With the ``offsets`` that
+    encoding retained, every token's bytes go to their place in its text at once; a text whose tokens
+    do not cover it without gaps raises."""
+    known = ranks(path)
+    if offsets is None:
+        by_id, ends = known.tokens, np.cumsum(counts, dtype=np.int64)
+        return [
+            b"".join(map(by_id.__getitem__, flat[a:b].tolist()))
+            for a, b in zip((ends - counts).tolist(), ends.tolist())
+        ]
+    letters, starts, lengths = known.table
+    wide = lengths[flat]
+    upto = np.append(0, np.cumsum(wide, dtype=np.int64))
+    edges = np.append(0, np.cumsum(counts, dtype=np.int64))
+    bases = upto[edges]
+    places = np.repeat(bases[:-1], counts) + offsets
+    if not np.array_equal(places, upto[:-1]):
+        raise ValueError("offsets and ids do not belong together")
+    source = np.repeat(starts[flat] - places, wide) + np.arange(upto[-1])
+    raw = letters[source].tobytes()
+    return [raw[a:b] for a, b in zip(bases[:-1].tolist(), bases[1:].tolist())]
 
 
 def encode(
@@ -368,6 +390,7 @@ def encode(
                     batch.column("row").slice(done, len(chunk)),
                     pa.ListArray.from_arrays(edges, pa.array(flat)),
                 ]
+                at = None
                 if offsets:
                     wide = lengths[flat]
                     at = np.append(np.cumsum(wide) - wide, 0)
@@ -375,7 +398,7 @@ def encode(
                     at = (at[:-1] - np.repeat(at[first], counts)).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(edges, pa.array(at)))
                 if decoded:
-                    columns.append(pa.array(decode_ids(flat, counts, path), pa.binary()))
+                    columns.append(pa.array(decode_ids(flat, counts, path, at), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 done += len(chunk)
 
@@ -384,8 +407,11 @@ def encode(
     return found.select("row.*", *[field.name for field in added])
 
 
-def decode(tokens: DataFrame, path: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``tokens`` with the bytes of its ``ids`` in ``out``; null ids give no bytes."""
+def decode(
+    tokens: DataFrame, path: str, *, ids: str = "ids", offsets: str | None = None, out: str = "decoded"
+) -> DataFrame:
+    """``tokens`` with the bytes of its ``ids`` in ``out``; null ids give no bytes. A column named by
+    ``offsets`` says where each token's bytes go, and must fit the ids."""
     kept = tokens.drop(out)
     schema = StructType(
         [*kept.select(F.struct("*").alias("row")).schema, StructField(out, BinaryType())]
@@ -395,10 +421,15 @@ def decode(tokens: DataFrame, path: str, *, ids: str = "ids", out: str = "decode
         for batch in batches:
             column = batch.column("ids_in")
             counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            text = decode_ids(column.flatten().to_numpy(), counts, path)
+            at = batch.column("at_in").flatten().to_numpy() if offsets else None
+            text = decode_ids(column.flatten().to_numpy(), counts, path, at)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(text, pa.binary())], names=schema.names
             )
 
-    rows = kept.select(F.struct("*").alias("row"), kept[ids].alias("ids_in"))
+    rows = kept.select(
+        F.struct("*").alias("row"),
+        kept[ids].alias("ids_in"),
+        *([F.when(kept[ids].isNotNull(), kept[offsets]).alias("at_in")] if offsets else []),
+    )
     return rows.mapInArrow(run, schema).select("row.*", out)

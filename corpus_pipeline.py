@@ -22,29 +22,38 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go; documents that lose too much, are short or repeat themselves go."""
+    """Failing lines go; documents that lose too much, are short or repeat themselves go. So do null and
+    empty texts. Rows of equal text stay or go together; columns of any name pass through."""
     return _recounted(rules.clean(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near fingerprints, the one with the smallest id stays."""
+    """Of documents linked by near fingerprints, the one with the smallest id stays; a null id comes
+    last. Texts without a word are linked like others, so one of them stays. Of rows that tie in id and
+    text one stays."""
     return simhash.without_copies(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur earlier too are cut."""
+    """Passages that occur earlier too are cut: earlier by id, or in the same document. Null texts stay
+    null; of repeated rows the copies lose their passages."""
     return _recounted(substrings.without_repeats(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, up to twice. Texts without a word are not taken; rows
+    that share an id, or have none, are taken one by one; a null source is a source of its own."""
     return mixing.mixed(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, which decode to it."""
-    tokens = bpe.encode(docs, public_tokenizers.path(RANK_FILE), offsets=False)
-    return tokens.drop("text").withColumn("n_tokens", F.size("ids").cast("bigint"))
+    """Token ids of each text with their offsets, and a digest of the bytes that they decode to. A null
+    or empty text has no ids. Columns ``ids``, ``offsets``, ``n_tokens`` and ``decoded_sha256`` of
+    ``docs`` are replaced, ``text`` goes; equal rows give equal rows."""
+    tokens = bpe.encode(docs, public_tokenizers.path(RANK_FILE), offsets=True, decoded=True)
+    return tokens.withColumns(
+        {"n_tokens": F.size("ids").cast("bigint"), "decoded_sha256": F.sha2("decoded", 256)}
+    ).drop("text", "decoded")
 
 
 STAGES = [

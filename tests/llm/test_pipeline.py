@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 
 import corpus_pipeline
 import public_tokenizers
@@ -83,8 +84,13 @@ def test_ids_decode_to_the_texts(stages):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = stages[4].drop_duplicates("doc_id").set_index("doc_id")["text"]
-    for doc_id, ids in zip(stages[5]["doc_id"], stages[5]["ids"]):
+    last = stages[5]
+    for doc_id, ids, offsets, digest in zip(last["doc_id"], last["ids"], last["offsets"], last["decoded_sha256"]):
         assert list(ids) == encoding.encode_ordinary(texts[doc_id])
+        raw = texts[doc_id].encode()
+        assert digest == hashlib.sha256(raw).hexdigest()
+        ends = [*list(offsets)[1:], len(raw)]
+        assert b"".join(raw[a:b] for a, b in zip(offsets, ends)) == raw
 
 
 def test_edge_rows_go_through_every_stage(spark, tmp_path):
