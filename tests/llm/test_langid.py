@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 
@@ -116,9 +117,12 @@ def test_blocks_of_languages_give_the_scores_of_one(spark, monkeypatch):
 
 def test_rows_without_an_id_are_sampled_like_others(spark):
     """Many rows of no id, of one id, and copies: about ``rows`` of each language are learnt from."""
-    rows = [(None, f"wort{i} der mann {i}", "de") for i in range(400)]
-    rows += [(7, f"mot{i} le chat {i}", "fr") for i in range(400)]
-    rows += [(i, f"word{i} the man {i}", "en") for i in range(400)]
+    def own(lang, i):
+        return "".join(chr(97 + int(c, 16)) for c in hashlib.md5(f"{lang}{i}".encode()).hexdigest()[:14])
+
+    rows = [(None, f"{own('de', i)} der mann", "de") for i in range(400)]
+    rows += [(7, f"{own('fr', i)} le chat", "fr") for i in range(400)]
+    rows += [(i, f"{own('en', i)} the man", "en") for i in range(400)]
     rows += [(None, "siempre lo mismo", "es")] * 400
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     model = langid.train(docs, PATH, F.lit(True), rows=40)
