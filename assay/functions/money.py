@@ -12,15 +12,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WIDE = "decimal(38,12)"
-#: How far from a whole cent an amount may be for the error of its binary form, in cents.
-_CENT_ERROR = 1e-6
+#: How far from a whole cent an amount may be for the error of its binary form: in cents at most, as a
+#: part of the amount for small ones, and as a part of a large product.
+_CENT_ERROR, _SMALL_ERROR, _LARGE_ERROR = 1e-6, 1e-12, 1e-15
 
 
 def exact_sum(amount: Column) -> Column:
     hundredfold = amount * F.lit(100.0)
     whole = F.rint(hundredfold)
-    # The error of a large product grows with it.
-    near = F.abs(hundredfold - whole) <= F.greatest(F.lit(_CENT_ERROR), F.abs(whole) * 1e-15)
+    size = F.abs(whole)
+    # No amount but zero is zero cents.
+    allowed = F.greatest(F.least(F.lit(_CENT_ERROR), size * _SMALL_ERROR), size * _LARGE_ERROR)
+    near = F.abs(hundredfold - whole) <= allowed
     cents = F.when(near, whole.try_cast("bigint"))
     wide = amount.try_cast(_WIDE)
     in_cents = F.when(F.count(cents) == F.count(amount), F.try_sum(cents))

@@ -10,6 +10,7 @@ from assay.operators.rules import (
     measures_positive,
     non_negative_totals,
     positive_measures,
+    rejection_reason,
 )
 from assay.operators.typing import cast_orders, typed_orders, with_total_amount
 
@@ -25,6 +26,7 @@ __all__ = [
     "measures_positive",
     "non_negative_totals",
     "positive_measures",
+    "rejection_reason",
     "rollup",
     "rollup_basic",
     "silver_metrics",

@@ -16,8 +16,8 @@ from assay.schemas import ROLLUP_KEYS
 def rollup(silver: DataFrame, *extra: Column, exact_cents: bool = False) -> DataFrame:
     """Total quantity, total revenue and the unweighted mean price of the order rows.
 
-    ``exact_cents`` sums money in whole cents, for prices of at most two decimals: the result is then
-    the same at any parallelism. ``extra`` are further aggregates to take in the same pass.
+    ``exact_cents`` sums whole cents as such and other amounts as decimals (see
+    :mod:`assay.functions.money`): the result is then the same at any parallelism. ``extra`` are further aggregates to take in the same pass.
     """
     total, mean = (exact_sum, exact_mean) if exact_cents else (F.sum, F.avg)
     return silver.groupBy(*ROLLUP_KEYS).agg(

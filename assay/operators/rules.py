@@ -36,6 +36,20 @@ def measures_positive(*, reject_non_finite: bool = False) -> Column:
     return rule
 
 
+def rejection_reason(*, reject_non_finite: bool = False) -> Column:
+    """The first rule that a typed order fails; null for a valid one."""
+    reason = F.lit(None).cast("string")
+    if reject_non_finite:
+        finite = F.col("unit_price") < F.lit(float("inf"))
+        reason = F.when(~finite, "unit_price not finite")
+    for name in reversed(("quantity", "unit_price")):
+        positive = F.coalesce(F.col(name) > 0, F.lit(False))
+        reason = F.when(~positive, f"{name} not positive").otherwise(reason)
+    for name in reversed(CRITICAL_FIELDS):
+        reason = F.when(F.col(name).isNull(), f"missing {name}").otherwise(reason)
+    return reason
+
+
 def keys_present() -> Column:
     return _all_present(ROLLUP_KEYS)
 

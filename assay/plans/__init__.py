@@ -10,11 +10,13 @@ from assay.plans.medallion import (
     silver_to_gold,
     silver_to_gold_basic,
 )
+from assay.plans.rejected import DUPLICATE, split_orders
 from assay.plans.reports import gold_report, silver_inspect
 from assay.plans.silver import silver_orders, silver_orders_basic, valid_orders
 
 __all__ = [
     "BUCKETED_SILVER",
+    "DUPLICATE",
     "WRITTEN_ROWS",
     "StageFailed",
     "StageResult",
@@ -31,5 +33,6 @@ __all__ = [
     "silver_orders_basic",
     "silver_to_gold",
     "silver_to_gold_basic",
+    "split_orders",
     "valid_orders",
 ]

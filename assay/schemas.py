@@ -26,6 +26,9 @@ BRONZE = StructType(
     ]
 )
 
+#: Orders that silver turned away, as they came, with the first rule that they failed.
+REJECTED = StructType([*BRONZE, StructField("reason", StringType())])
+
 SILVER = StructType(
     [
         StructField("order_id", StringType()),

@@ -130,6 +130,24 @@ SELECT * REPLACE ('A late copy' AS product) FROM ({BRONZE}) again
 WHERE CAST(split_part(order_id, '-', 2) AS INT) % 3 = 0
 """
 
+# What silver turns away, as it came, with the first rule that it failed.
+REJECTED = r"""
+SELECT order_id, order_date, customer_id, country, product, quantity, unit_price, reason FROM (
+  SELECT *, coalesce(rule, CASE WHEN row_number() OVER (PARTITION BY order_id, rule ORDER BY d NULLS LAST,
+    customer_id NULLS LAST, country NULLS LAST, product NULLS LAST, q NULLS LAST, p NULLS LAST,
+    order_date, customer_id, country, product, quantity, unit_price) > 1 THEN 'duplicate' END) AS reason
+  FROM (
+    SELECT *, CASE WHEN order_id IS NULL THEN 'missing order_id' WHEN d IS NULL THEN 'missing order_date'
+      WHEN customer_id IS NULL THEN 'missing customer_id'
+      WHEN q IS NULL OR q <= 0 THEN 'quantity not positive'
+      WHEN p IS NULL OR p <= 0 THEN 'unit_price not positive' END AS rule
+    FROM (
+      SELECT *, TRY_CAST(order_date AS DATE) AS d, TRY_CAST(unit_price AS DOUBLE) AS p,
+        TRY_CAST(regexp_extract(quantity, '^ *([+-]?[0-9]+)([.][0-9]*)? *$', 1) AS INT) AS q
+      FROM bronze) t) r) j
+WHERE reason IS NOT NULL
+"""
+
 _D = "SELECT * FROM gold_clean"
 _S = "SELECT * FROM silver"
 _REPORT = (
@@ -220,6 +238,11 @@ ORACLES: dict[str, str] = {
         " UNION ALL SELECT *, 'after the rerun' AS seen FROM silver"
     ),
     "silver_incremental": with_stages(_S, bronze=LATE),
+    "silver_rejected": with_stages(REJECTED),
+    "silver_beside_rejected": with_stages(
+        "SELECT s.*, n AS removed_rows, n AS with_reason FROM silver s,"
+        " (SELECT (SELECT count(*) FROM bronze) - (SELECT count(*) FROM silver) AS n) c"
+    ),
     "silver_batches_once": with_stages("SELECT * FROM basic"),
     "catalog_by_difference": with_stages(
         "SELECT * REPLACE (CASE WHEN country = 'CANADA' THEN quantity * 2 ELSE quantity END AS quantity)"

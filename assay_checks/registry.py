@@ -34,8 +34,9 @@ from assay.plans import (
     silver_orders_basic,
     silver_to_gold,
     silver_to_gold_basic,
+    split_orders,
 )
-from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, SILVER, Layout
+from assay.schemas import BRONZE, GOLD, GOLD_BASIC, ORDER_KEY, REJECTED, SILVER, Layout
 from assay import versions
 from assay.sinks import land_bronze, register_table, write_layer
 from assay.sources import fill_orders, find_bronze, read_bronze_csv, read_layer, read_table
@@ -267,6 +268,29 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layout.silver, SILVER)
 
 
+def _split(spark: SparkSession, sf_dir: str) -> tuple[Layout, str, dict[str, int]]:
+    layout = Layout(new_folder(spark))
+    rejected = f"{layout.base}/rejected"
+    *_, counts = split_orders(star_bronze(spark, sf_dir), layout.silver, rejected, partition_by="country")
+    return layout, rejected, counts
+
+
+def silver_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders that silver turned away, as they came, with the rule that each failed."""
+    _, rejected, _ = _split(spark, sf_dir)
+    return read_layer(spark, rejected, REJECTED)
+
+
+def silver_beside_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from the same pass, with the counts that add up to all of bronze."""
+    layout, _, counts = _split(spark, sf_dir)
+    reasons = sum(n for name, n in counts.items() if not name.endswith("_rows"))
+    silver = read_layer(spark, layout.silver, SILVER)
+    return silver.withColumns(
+        {"removed_rows": F.lit(counts["removed_rows"]).cast("bigint"), "with_reason": F.lit(reasons).cast("bigint")}
+    )
+
+
 def silver_batches_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches appended to basic silver, each of them twice."""
     layout = Layout(new_folder(spark))
@@ -440,6 +464,8 @@ QUERIES: dict[str, Query] = {
     "bronze_manifest_counts": bronze_manifest_counts,
     "silver_publish_recovery": silver_publish_recovery,
     "silver_incremental": silver_incremental,
+    "silver_rejected": silver_rejected,
+    "silver_beside_rejected": silver_beside_rejected,
     "silver_batches_once": silver_batches_once,
     "catalog_by_difference": catalog_by_difference,
     "partition_null_heavy": partition_null_heavy,

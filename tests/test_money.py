@@ -89,3 +89,11 @@ def test_having(spark):
 def test_large_quantities_do_not_overflow(spark):
     df = silver(spark, *[{"quantity": 2_147_483_647}] * 3)
     assert rollup(df).first()["total_quantity"] == 3 * 2_147_483_647
+
+
+def test_amounts_far_below_a_cent_add_up(spark):
+    for amount, times in ((1e-9, 1000), (3e-7, 10), (1e-12, 5)):
+        df = spark.createDataFrame([(amount,)] * times, "x double")
+        assert df.agg(exact_sum(F.col("x"))).first()[0] == pytest.approx(amount * times, rel=1e-12)
+    mixed = spark.createDataFrame([(0.01,), (1e-9,), (0.0,), (9.99,)], "x double")
+    assert mixed.agg(exact_sum(F.col("x"))).first()[0] == pytest.approx(10.000000001, rel=1e-15)
