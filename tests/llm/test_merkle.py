@@ -72,9 +72,10 @@ def _leaves(docs) -> list[tuple]:
     ]
 
 
-@pytest.mark.parametrize("fanout", [2, 3, 16])
-def test_trees_of_all_heights(spark, fanout):
+@pytest.mark.parametrize("fanout, largest", [(2, 9), (16, 257)])
+def test_trees_of_all_heights(spark, fanout, largest):
     sizes = {"a": 1, "b": 2, "é": 16, "c": 17, "B": 40, None: 33, "z": 257}
+    sizes = {name: min(n, largest) for name, n in sizes.items()}
     rows = [(i * 7 % 500, source, "x", 1, f"t{i}") for source, n in sizes.items() for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
     docs = docs.repartition(7)
@@ -83,7 +84,7 @@ def test_trees_of_all_heights(spark, fanout):
 
 def test_edge_rows(spark):
     docs = clashing(edge_docs(spark), "row", "tree", "lo", "digest", "slot", "part", "path", "leaf", "root")
-    assert _found(docs, 2) == _plain(_leaves(docs), 2)
+    assert _found(docs, 3) == _plain(_leaves(docs), 3)
 
 
 def test_an_empty_table(spark):
@@ -100,7 +101,7 @@ def test_many_equal_rows_are_spread(spark):
     from assay.llm.ranked import stored_in_order
 
     ids = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
-    docs = spark.range(0, 3000, 1, 6).select(
+    docs = spark.range(0, 600, 1, 6).select(
         ids.alias("doc_id"), F.lit("s").alias("source"), F.lit("l").alias("lang"), ids.alias("n_chars"), ids.cast("string").alias("text")
     )
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
@@ -108,7 +109,7 @@ def test_many_equal_rows_are_spread(spark):
     try:
         stored = stored_in_order(docs, ["doc_id"])
         largest = stored.groupBy("part").count().agg(F.max("count")).first()[0]
-        assert largest < 800
+        assert largest < 200
         assert _found(docs, 16) == _plain(_leaves(docs), 16)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
