@@ -1,7 +1,7 @@
 from assay.operators.align import align
 from assay.operators.dedup import dedup
 from assay.operators.metrics import gold_metrics, silver_metrics
-from assay.operators.rollup import rollup, rollup_basic
+from assay.operators.rollup import rollup, rollup_any_amount, rollup_basic
 from assay.operators.rules import (
     critical_present,
     drop_missing_critical,
@@ -28,6 +28,7 @@ __all__ = [
     "positive_measures",
     "rejection_reason",
     "rollup",
+    "rollup_any_amount",
     "rollup_basic",
     "silver_metrics",
     "typed_orders",

@@ -1,4 +1,4 @@
-from assay.plans.gold import gold_having, gold_orders, gold_orders_basic
+from assay.plans.gold import gold_having, gold_orders, gold_orders_any_amount, gold_orders_basic
 from assay.plans.incremental import BUCKETED_SILVER, merge_new_runs
 from assay.plans.medallion import (
     WRITTEN_ROWS,
@@ -24,6 +24,7 @@ __all__ = [
     "bronze_to_silver_basic",
     "gold_having",
     "gold_orders",
+    "gold_orders_any_amount",
     "gold_orders_basic",
     "gold_report",
     "merge_new_runs",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from assay.operators import gold_rules, non_negative_totals, rollup, rollup_basic
+from assay.operators import gold_rules, non_negative_totals, rollup, rollup_any_amount, rollup_basic
 from assay.schemas import GOLD, GOLD_BASIC
 
 
@@ -15,6 +15,11 @@ def gold_orders(silver: DataFrame, *, exact_cents: bool = False) -> DataFrame:
     )
 
 
+def gold_orders_any_amount(silver: DataFrame) -> DataFrame:
+    """The same totals from sums of doubles that are exact whatever the amounts."""
+    return rollup_any_amount(silver).transform(gold_rules).select(*GOLD.names)
+
+
 def gold_having(silver: DataFrame, *, exact_cents: bool = False) -> DataFrame:
     """The rollup under the rules on totals alone; a group whose total is null fails them."""
     return rollup(silver, exact_cents=exact_cents).transform(non_negative_totals)

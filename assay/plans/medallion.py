@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from assay import versions
 from assay.operators import gold_rules, rollup
 from assay.operators.metrics import count_groups, group_rows
-from assay.plans.gold import gold_orders, gold_orders_basic
+from assay.plans.gold import gold_orders, gold_orders_any_amount, gold_orders_basic
 from assay.plans.incremental import BUCKETED_SILVER, merge_new_runs
 from assay.plans.silver import silver_orders, silver_orders_basic
 from assay.schemas import GOLD, SILVER, Layout
@@ -123,11 +123,13 @@ def silver_to_gold(
     partition_overwrite: str = "static",
     null_share: float | None = None,
     exact_cents: bool = False,
+    any_amount: bool = False,
     rebalance: bool = True,
     metrics: bool = False,
 ) -> StageResult:
     """Write gold in one pass over silver: a frame, a catalog table's name or a Parquet folder.
 
+    ``any_amount`` takes exact sums of doubles (:func:`gold_orders_any_amount`), without metrics.
     With ``metrics`` the rollup before its rules is stored beside the target for as long as the job
     runs: groups that the rules drop must exist to be counted.
     """
@@ -141,6 +143,10 @@ def silver_to_gold(
         null_share=null_share,
         rebalance=rebalance,
     )
+    if any_amount and (metrics or exact_cents):
+        raise ValueError("any_amount goes without exact_cents and metrics")
+    if any_amount:
+        return StageResult("silver_to_gold", write(gold_orders_any_amount(silver)))
     if not metrics:
         return StageResult("silver_to_gold", write(gold_orders(silver, exact_cents=exact_cents)))
     stored = staging_folder(target)

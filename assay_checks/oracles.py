@@ -108,6 +108,26 @@ def _double_rollup(mean: str, rule: str) -> str:
     )
 
 
+# Whole numbers of 2**-20, summed exactly and rounded to 53 bits by hand, half to even.
+ANY_AMOUNT = """
+SELECT order_date, country, product, total_quantity,
+  CASE WHEN cut = 0 THEN CAST(total AS DOUBLE) ELSE CAST(top + CASE WHEN 2 * rest > unit OR
+    (2 * rest = unit AND top % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) * pow(CAST(2 AS DOUBLE), cut) END
+    / pow(CAST(2 AS DOUBLE), 20) AS total_revenue, avg_unit_price
+FROM (SELECT *, total // unit AS top, total % unit AS rest FROM (
+  SELECT *, CAST(1 AS HUGEINT) << cut AS unit FROM (
+    SELECT *, greatest(0, CAST(floor(log2(CAST(total AS DOUBLE))) AS INT) - 52) AS cut FROM (
+      SELECT order_date, country, product, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+        CAST(sum(CAST(quantity AS HUGEINT) << power) AS HUGEINT) AS total,
+        sum(price) / count(price) AS avg_unit_price
+      FROM (SELECT *, CAST((CAST(split_part(order_id, '-', 1) AS BIGINT) * 7
+          + CAST(split_part(order_id, '-', 2) AS INT)) % 61 AS INT) AS power
+        FROM (SELECT order_id, order_date, country, product, quantity, floor(unit_price * 4) / 4 AS price
+          FROM silver) q) r
+      WHERE order_date IS NOT NULL AND country IS NOT NULL AND product IS NOT NULL
+      GROUP BY order_date, country, product) g) c) u) p
+"""
+
 # Line 0 of 3 has lost its country.
 DRIFTED = """
 SELECT order_id, order_date, customer_id,
@@ -191,6 +211,7 @@ ORACLES: dict[str, str] = {
         " AND sum(quantity) >= 0 AND sum(quantity * price) >= 0",
     ),
     "gold_basic_double": _double_rollup("", ""),
+    "gold_orders_any_amount": with_stages(ANY_AMOUNT),
     "silver_basic_mixed_case": with_stages(
         "SELECT order_id, order_date, customer_id, country, product, quantity, unit_price,"
         " total_amount FROM basic"

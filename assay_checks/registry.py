@@ -25,6 +25,7 @@ from assay.plans import (
     bronze_to_silver_basic,
     gold_having,
     gold_orders,
+    gold_orders_any_amount,
     gold_orders_basic,
     gold_report,
     merge_new_runs,
@@ -137,6 +138,15 @@ def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def any_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of amounts from 2**-20 to 2**46: plain sums of such doubles change with their order."""
+    line = F.substring_index("order_id", "-", -1).cast("int")
+    key = F.substring_index("order_id", "-", 1).cast("bigint")
+    power = (key * 7 + line) % 61 - 20
+    rows = _quarters(spark, sf_dir).withColumn("total_amount", F.col("quantity") * F.pow(F.lit(2.0), power))
+    return gold_orders_any_amount(rows)
+
+
 def silver_basic_mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star_bronze(spark, sf_dir)
     return silver_orders_basic(rows.toDF(*[name.title() for name in rows.columns]))
@@ -439,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "dq_metrics_gold": lambda s, d: gold_metrics(_silver(s, d)),
     "gold_orders_double": lambda s, d: gold_orders(_quarters(s, d)),
     "gold_basic_double": lambda s, d: gold_orders_basic(_quarters(s, d)),
+    "gold_orders_any_amount": any_amount,
     "silver_basic_mixed_case": silver_basic_mixed_case,
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
     "bronze_mixed_layout": bronze_mixed_layout,
