@@ -138,8 +138,9 @@ def test_turnless_conversations_and_empty_tables(spark):
     assert _found(spark, rows, 3) == _plain(rows)
 
 
-def test_a_long_conversation_has_a_long_chain(spark):
-    rows = [(5, turn, "user", f"turn {turn}") for turn in range(2500)]
+def test_a_long_conversation_has_a_long_chain(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "_TAIL_CHUNK", 50)
+    rows = [(5, turn, "user", f"turn {turn}") for turn in range(170)]
     rows += [(105, turn, "user", f"turn {turn}") for turn in range(40)] + [(6, 0, "user", "short")]
     assert _found(spark, rows, 3) == _plain(rows)
 
