@@ -181,18 +181,26 @@ def train(
 ) -> Machine:
     """A machine fitted on at most ``rows`` rows of ``labels`` (``doc_id`` and ``label``, 0 or 1).
 
-    ``learn`` picks rows of ``labels``. The sample, bounded by ``rows``, is broadcast to the documents,
-    and only its documents' features come to the driver. Rows without label, id or document are passed
-    over; without any the machine scores one half.
+    ``learn`` picks rows of ``labels``; repeated ones count once. The sample, bounded by ``rows``, is
+    broadcast to the documents, and one document a row of it, of equal ids that with the least hash of
+    its text, sends its features to the driver. Rows without label, id or document are passed over;
+    without any the machine scores one half.
     """
     sample = (
         labels.filter(learn & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("sample_id"), F.col(label).cast("int").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("sample_id"), "sample_id", "label")
         .limit(rows)
     )
     known = _measured(docs, text, n_chars, docs[doc_id].cast("bigint").alias("id"))
-    joined = known.join(F.broadcast(sample), F.col("id") == F.col("sample_id"))
+    joined = (
+        known.join(F.broadcast(sample), F.col("id") == F.col("sample_id"))
+        .groupBy("id", "label")
+        .agg(F.min(F.struct(F.xxhash64("body").alias("place"), "body", "length")).alias("first"))
+        .select("id", "label", "first.body", "first.length")
+        .repartition(docs.sparkSession.sparkContext.defaultParallelism, "id")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -70,3 +70,20 @@ def test_the_sample_is_bounded_and_repeatable(spark):
     a = fm.train(docs, labels, F.lit(True), rows=10)
     b = fm.train(docs.repartition(3), labels.repartition(5), F.lit(True), rows=10)
     assert a.bias == b.bias and (a.vector == b.vector).all()
+
+
+def test_an_id_of_many_documents_is_learnt_from_once(spark, monkeypatch):
+    seen = []
+    fit = fm.fit
+    monkeypatch.setattr(fm, "fit", lambda words, *rest: seen.append(len(words)) or fit(words, *rest))
+    docs = spark.range(600).select(
+        F.when(F.col("id") < 300, 1).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("text "), "id").alias("text"),
+        F.lit(None).cast("bigint").alias("n_chars"),
+    )
+    labels = spark.createDataFrame([(1, 1)] * 20 + [(400, 0)] * 20, "doc_id bigint, quality int")
+    machines = [
+        fm.train(frame, labels, F.lit(True), rows=2) for frame in (docs, docs.repartition(7, "text"))
+    ]
+    assert seen == [2, 2]
+    assert machines[0].bias == machines[1].bias and (machines[0].vector == machines[1].vector).all()
