@@ -7,12 +7,17 @@ dynamic programming finds the cheapest legal sequence.
 
 A turn acts on the states as a matrix of costs, and such matrices multiply associatively (sums, minima).
 Turns are sorted into pieces by conversation and turn, so a conversation of any length is spread over
-pieces. A piece sums its first and last conversation up in a matrix each; these few are chained to find
-the states at the seams, and every piece then repairs its own turns.
+pieces. A piece sums its first and last conversation up in a matrix each; the matrices of a conversation
+are chained in one task to find the states at its seams, which are joined back by piece, and every piece
+then repairs its own turns.
+
+Markers are ``<|`` and what follows. A text that holds ``<|`` would forge them, so a backslash is put in
+between; where there are some already, one more, so that :func:`unescaped` finds the text again.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import lru_cache
 from itertools import groupby
@@ -37,6 +42,8 @@ KEPT, MERGED, RELABELLED = "keep", "merge", "relabel"
 
 PIECE_BYTES = 8 << 20
 _NEVER = 1 << 30
+_MARKER = re.compile(r"<(\\*)\|")
+_ESCAPED = re.compile(r"<(\\*)\\\|")
 
 
 @lru_cache(maxsize=None)
@@ -133,6 +140,16 @@ def seams(pieces: list[tuple[int, object, list[int]]]) -> dict[tuple[int, object
     return out
 
 
+def escaped(text: str) -> str:
+    """A text that holds no marker."""
+    return _MARKER.sub(r"<\1\\|", text) if "|" in text else text
+
+
+def unescaped(text: str) -> str:
+    """The text that :func:`escaped` made this of."""
+    return _ESCAPED.sub(r"<\1|", text)
+
+
 def render(move, text: str, first: bool, last: bool) -> str:
     """A turn's part of the rendered conversation; the parts in order make up the whole."""
     _, _, _, action, out, inserted = move
@@ -143,7 +160,7 @@ def render(move, text: str, first: bool, last: bool) -> str:
         if inserted:
             head += f"<|{inserted}|>\n<|end|>\n"
         head += f"<|{out}|>\n"
-    return head + text + ("<|end|>\n" if last else "")
+    return head + escaped(text) + ("<|end|>\n" if last else "")
 
 
 def _role(value: str | None) -> str | None:
@@ -157,8 +174,8 @@ def format_chat(turns: DataFrame) -> DataFrame:
     role, then text; rows without a ``conv_id`` are one conversation. Roles are compared without case
     and outer blanks; a null or other role may become any of the three. A null text is empty. A
     conversation must not end with its system turn, so a lone one becomes a user's. The ``rendered``
-    parts of a conversation, joined in order, are its text. Columns of ``turns`` stay inside ``row``,
-    so none can clash.
+    parts of a conversation, joined in order, are its text; markers inside the turns' own texts are
+    escaped. Columns of ``turns`` stay inside ``row``, so none can clash.
     """
     spark = turns.sparkSession
     size = turns.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
@@ -213,10 +230,23 @@ def format_chat(turns: DataFrame) -> DataFrame:
         )
 
     by_piece = stored.groupBy("piece")
-    # Two rows a piece.
-    ends = by_piece.applyInArrow(summed, "piece int, at int, conversation string, cost array<int>").collect()
-    known = seams(
-        [(e["piece"], e["conversation"], list(e["cost"])) for e in sorted(ends, key=lambda e: (e["piece"], e["at"]))]
+    # Two rows a piece, whatever it holds.
+    ends = by_piece.applyInArrow(summed, "piece int, at int, conversation string, cost array<int>")
+
+    def chained(table: pa.Table) -> pa.Table:
+        shares = sorted(table.to_pylist(), key=lambda e: (e["piece"], e["at"]))
+        known = seams([(e["piece"], e["conversation"], e["cost"]) for e in shares])
+        return pa.table(
+            {
+                "piece": pa.array([piece for piece, _ in known], pa.int32()),
+                "conversation": pa.array([name for _, name in known], pa.string()),
+                "start": pa.array([start for start, _ in known.values()], pa.int32()),
+                "end": pa.array([end for _, end in known.values()], pa.int32()),
+            }
+        )
+
+    states = ends.groupBy("conversation").applyInArrow(
+        chained, "piece int, conversation string, start int, end int"
     )
 
     schema = StructType(
@@ -230,12 +260,15 @@ def format_chat(turns: DataFrame) -> DataFrame:
         ]
     )
 
-    def repaired(table: pa.Table) -> pa.Table:
-        piece = table.column("piece")[0].as_py()
+    def repaired(table: pa.Table, states: pa.Table) -> pa.Table:
+        known = {
+            name: (start, end)
+            for name, start, end in zip(*(states.column(c).to_pylist() for c in ("conversation", "start", "end")))
+        }
         texts = table.column("body").to_pylist()
         order, moves_, rendered = [], [], []
         for name, roles, rows in shares(table):
-            start, end = known.get((piece, name), (0, None))
+            start, end = known.get(name, (0, None))
             path = repair(roles, start, end)
             order += rows
             moves_ += path
@@ -253,4 +286,4 @@ def format_chat(turns: DataFrame) -> DataFrame:
             }
         )
 
-    return by_piece.applyInArrow(repaired, schema)
+    return by_piece.cogroup(states.groupBy("piece")).applyInArrow(repaired, schema)
