@@ -1,6 +1,6 @@
 """Removal of repeated passages by seed and extend.
 
-Documents are dealt into blocks of bounded size by their id. Each window of words has one anchor: the
+Documents are dealt into blocks of bounded size by their id and text. Each window of words has one anchor: the
 smallest hash of the word runs in it (winnowing), so equal windows have equal anchors, and only about
 one run in seven ever is an anchor. Blocks are joined on these anchors. Around a shared anchor the
 match is extended both ways, to every window that has it as its anchor; of each window the first
@@ -103,8 +103,9 @@ def repeats(
     A word goes if a window of ``window`` words that covers it starts earlier too, in a document of
     smaller id or earlier in its own; a span is a maximal run of such words, from its first word to
     behind its last. The kept words are joined by one blank. Texts shorter than a window lose nothing;
-    a null text has no words. Rows without an id come last; rows of one id go by their text, and of
-    equal rows one comes first, so that the others repeat it. Windows are judged on the input.
+    a null text has no words. Rows without an id come last; rows of one id, or of none, go by their
+    block, a hash of id and text, then by their text, and of equal rows one comes first, so that the
+    others repeat it. Windows are judged on the input.
     Columns of ``docs`` stay inside ``row``, so none can clash.
 
     Windows are equal if two 64-bit hashes, of the whole and of the anchor, are equal.

@@ -4,6 +4,7 @@ import pytest
 from llm_helpers import clashing, edge_docs, empty_docs, random_docs
 from pyspark.sql import functions as F
 
+from assay.llm.blocks import blocked
 from assay.llm.substrings import repeats, without_repeats
 
 
@@ -68,3 +69,35 @@ def test_equal_rows_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(25))
     docs = spark.createDataFrame([(1, text)] * 3 + [(None, text)], "doc_id bigint, text string")
     assert sorted(r["n_removed"] for r in repeats(docs).collect()) == [0, 25, 25, 25]
+
+
+@pytest.mark.parametrize("same", ["id", "row", "neither"])
+def test_a_third_of_all_rows_share_an_id(spark, same):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None if same == "neither" else 7)).otherwise(1000 + F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("own "), "id"))
+        .when(F.lit(same == "id"), F.concat(F.lit(passage), F.lit(" own"), "id"))
+        .otherwise(passage)
+        .alias("text"),
+    )
+    source = blocked(docs, docs["doc_id"], docs["text"], 2000)
+    blocks = [row["count"] for row in source.groupBy("block").count().collect()]
+    assert sum(blocks) == 300 and max(blocks) < 50
+    lost = sorted(row["n_removed"] for row in repeats(docs, block_bytes=2000).collect())
+    assert lost == [0] * 201 + [60] * 99
+
+
+def test_shared_ids_by_brute_force(spark):
+    docs = random_docs(spark, 9).withColumn(
+        "doc_id", F.when(F.col("doc_id") % 3 == 0, 5).when(F.col("doc_id") % 3 == 1, F.col("doc_id"))
+    )
+    placed = blocked(docs, docs["doc_id"], docs["text"], 300).collect()
+    place = {(r["id"], r["row"]["text"]): r["block"] for r in placed}
+    rows = sorted(place, key=lambda r: (r[0] is None, r[0] or 0, place[r], r[1]))
+    order = {row: i for i, row in enumerate(rows)}
+    want = _brute([(order[row], row[1]) for row in rows], 6)
+    for row in repeats(docs, window=6, anchor=3, block_bytes=300).collect():
+        key = row["row"]["doc_id"], row["row"]["text"]
+        ((_, gone),) = want[order[key], key[1]]
+        assert row["n_removed"] == sum(gone)
