@@ -9,7 +9,7 @@ runs of letters in lower case. Bayes' rule over the languages gives the predicti
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
@@ -29,23 +29,36 @@ BLOCK = 64
 ROUNDS = 4
 SMOOTHING = 0.1
 
-#: A run of letters beyond this is cut, so that no word's lattice grows without end.
-LONGEST_WORD = 40
+#: Words of more letters are summed position by position; the sums are the same.
+LONG_WORD = 40
 _STRANGE = 1e-7
 _WORD_START = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CACHED_SCORES = 2_400_000
+_CACHED_LETTERS = 20_000_000
 _CHUNK_CHARS = 1_000_000
+_LONG_LETTERS = 400_000
+# Sums below the first are multiplied by the second, and the factor is remembered.
+_SMALL, _LIFT = 1e-100, 1e100
 
 
 def text_words(text: str) -> list[str]:
-    """Runs of letters in lower case, long ones cut."""
-    runs = _LETTERS.findall(text.lower())
-    if len(text) > LONGEST_WORD and any(len(run) > LONGEST_WORD for run in runs):
-        runs = [
-            run[i : i + LONGEST_WORD] for run in runs for i in range(0, len(run), LONGEST_WORD)
-        ]
-    return runs
+    """Runs of letters in lower case."""
+    return _LETTERS.findall(text.lower())
+
+
+def long_groups(words: list[str]) -> Iterator[list[int]]:
+    """Places of the words of more than ``LONG_WORD`` letters, in groups of like length and bounded size."""
+    group, letters = [], 0
+    for place in sorted((i for i, w in enumerate(words) if len(w) > LONG_WORD), key=lambda i: len(words[i])):
+        size = len(words[place])
+        if group and (letters + size > _LONG_LETTERS or size > 2 * len(words[group[0]])):
+            yield group
+            group, letters = [], 0
+        group.append(place)
+        letters += size
+    if group:
+        yield group
 
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,6 +163,61 @@ class Lattice:
                 )
         return total
 
+    def rolled(
+        self, probability: np.ndarray, backward: bool = False
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Position by position the sums over the ways to its beginning, or ``backward`` to its end: the
+        position, the sums by word and language, and the logarithms to add to theirs.
+
+        Only as many positions are held as the longest edge spans, so words may be of any length; sums
+        are lifted before they vanish.
+        """
+        last = int(self.length.max(initial=0))
+        at, reached = (self.start, self.end) if backward else (self.end, self.start)
+        order = np.argsort(at, kind="stable")
+        cuts = np.searchsorted(at[order], np.arange(last + 2))
+        held = int((self.end - self.start).max(initial=0)) + 1
+        shape = len(self.length), probability.shape[1]
+        ring, scale = np.zeros((held, *shape)), np.zeros(shape)
+        origin = self.length if backward else np.zeros_like(self.length)
+        for position in range(last, -1, -1) if backward else range(last + 1):
+            edges = order[cuts[position] : cuts[position + 1]]
+            word = self.word[edges]
+            now = np.zeros(shape)
+            now[origin == position] = 1.0
+            np.add.at(now, word, ring[reached[edges] % held, word] * probability[self.piece[edges]])
+            ring[position % held] = now
+            small = (now > 0) & (now < _SMALL)
+            if small.any():
+                ring[:, small] *= _LIFT
+                scale[small] -= np.log(_LIFT)
+            yield position, ring[position % held], scale
+
+    def long_log_probability(self, probability: np.ndarray) -> np.ndarray:
+        """Like :meth:`log_probability`, for words of any length."""
+        out = np.zeros((len(self.length), probability.shape[1]))
+        for position, sums, scale in self.rolled(probability):
+            done = self.length == position
+            if done.any():
+                out[done] = np.log(np.maximum(sums[done], 1e-300)) + scale[done]
+        return out
+
+    def long_expected(self, probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Like :meth:`expected`, for words of any length."""
+        logs = np.zeros((2, len(self.length), int(self.length.max(initial=0)) + 1))
+        for side, log in enumerate(logs):
+            for position, sums, scale in self.rolled(probability[:, None], backward=side == 1):
+                log[:, position] = np.log(np.maximum(sums[:, 0], 1e-300)) + scale[:, 0]
+        alpha, beta = logs
+        whole = alpha[np.arange(len(self.length)), self.length]
+        used = np.exp(
+            alpha[self.word, self.start]
+            + np.log(np.maximum(probability[self.piece], 1e-300))
+            + beta[self.word, self.end]
+            - whole[self.word]
+        )
+        return np.bincount(self.piece, used * counts[self.word], len(probability))
+
     def log_probability(self, probability: np.ndarray) -> np.ndarray:
         """Of each word, by language."""
         total = self.forward(probability)[np.arange(len(self.length)), self.length]
@@ -182,12 +250,23 @@ def _smoothed(uses: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(lattice: Lattice, counts: np.ndarray, pieces: int, rounds: int) -> np.ndarray:
-    """Piece probabilities from word counts."""
+def fit(
+    lattice: Lattice,
+    counts: np.ndarray,
+    pieces: int,
+    rounds: int,
+    long: Sequence[tuple[Lattice, np.ndarray]] = (),
+) -> np.ndarray:
+    """Piece probabilities from word counts; ``long`` holds groups of long words and their counts."""
     weight = np.bincount(lattice.piece, counts[lattice.word], pieces + 1)
+    for group, own in long:
+        weight = weight + np.bincount(group.piece, own[group.word], pieces + 1)
     probability = _smoothed(weight)
     for _ in range(rounds):
-        probability = _smoothed(lattice.expected(probability, counts))
+        uses = lattice.expected(probability, counts)
+        for group, own in long:
+            uses = uses + group.long_expected(probability, own)
+        probability = _smoothed(uses)
     return probability
 
 
@@ -214,9 +293,14 @@ class Model:
 def _fitted(words: list[str], counts: np.ndarray, path: str, rounds: int) -> tuple[np.ndarray, np.ndarray, float]:
     """The pieces a language uses, their probabilities, and that of any other piece."""
     known = pieces(path)
-    lattice = Lattice.of(words, known)
-    probability = fit(lattice, counts, len(known), rounds)
-    used = np.unique(lattice.piece[lattice.piece > 0])
+    short = [i for i, word in enumerate(words) if len(word) <= LONG_WORD]
+    lattice = Lattice.of([words[i] for i in short], known)
+    long = [
+        (Lattice.of([words[i] for i in group], known), counts[group]) for group in long_groups(words)
+    ]
+    probability = fit(lattice, counts[short], len(known), rounds, long)
+    used = np.unique(np.concatenate([each.piece for each in (lattice, *(group for group, _ in long))]))
+    used = used[used > 0]
     unused = np.ones(len(probability), bool)
     unused[0] = unused[used] = False
     return used, probability[used], float(probability[unused].max(initial=0.0))
@@ -323,6 +407,7 @@ class Scorer:
 
     def _forget(self) -> None:
         self.rows: dict[str, int] = {}
+        self.letters = 0
         self.scores = np.zeros((1024, self.width))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
@@ -332,14 +417,18 @@ class Scorer:
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         size = min(50_000, max(1, 400_000 // self.width))
         probability = self.model.block(self.languages, len(self.known)) if new else None
-        for i in range(0, len(new), size):
-            part = new[i : i + size]
-            self.scores[at + i : at + i + len(part)] = Lattice.of(part, self.known).log_probability(
-                probability
-            )
+        short = [i for i, word in enumerate(new) if len(word) <= LONG_WORD]
+        for i in range(0, len(short), size):
+            part = short[i : i + size]
+            found = Lattice.of([new[k] for k in part], self.known).log_probability(probability)
+            self.scores[at + np.array(part)] = found
+        for group in long_groups(new) if len(short) < len(new) else ():
+            found = Lattice.of([new[k] for k in group], self.known).long_log_probability(probability)
+            self.scores[at + np.array(group)] = found
+        self.letters += sum(map(len, new))
         self.rows.update(zip(new, range(at, at + len(new))))
         out = self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
-        if len(self.rows) * self.width > self.most:
+        if len(self.rows) * self.width > self.most or self.letters > _CACHED_LETTERS:
             self._forget()
         return out
 

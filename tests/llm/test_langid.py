@@ -81,9 +81,9 @@ def test_edge_rows(spark):
     assert {row["lang_pred"] for row in langid.predict(docs, none).collect()} == {"und"}
 
 
-def test_a_long_run_of_letters_is_cut():
+def test_a_long_run_of_letters_stays_whole():
     words = langid.text_words("x" * 1000 + " y")
-    assert "".join(words) == "x" * 1000 + "y" and max(map(len, words)) == langid.LONGEST_WORD
+    assert words == ["x" * 1000, "y"]
     scores = langid.Lattice.of(words, langid.pieces(PATH)).log_probability(
         np.full((len(langid.pieces(PATH)) + 1, 1), 1e-7)
     )
@@ -140,3 +140,39 @@ def test_pieces_of_any_length_are_used():
     word = max((p for p in known if p[0] == "▁" and p[1:].isalpha()), key=len)
     assert len(word) > 12
     assert known[word] in langid.Lattice.of([word[1:]], known).piece
+
+
+def test_long_words_sum_like_short_ones():
+    random = np.random.default_rng(5)
+    probability = random.random((len(KNOWN) + 1, 2)) / 3
+    words = ["a", "abab", "bbaab" * 5, "axb", "xx" * 30]
+    counts = np.array([2.0, 1.0, 3.0, 1.0, 5.0])
+    lattice = langid.Lattice.of(words, KNOWN)
+    assert lattice.long_log_probability(probability) == pytest.approx(lattice.log_probability(probability))
+    own = probability[:, 0]
+    assert lattice.long_expected(own, counts) == pytest.approx(lattice.expected(own, counts))
+
+
+def test_long_words_do_not_vanish():
+    probability = np.full((len(KNOWN) + 1, 2), [1e-6, 1e-3])
+    lattice = langid.Lattice.of(["x" * 2000, "x" * 1500], KNOWN)
+    got = lattice.long_log_probability(probability)
+    # The mark before a word is a piece as well.
+    for row, letters in zip(got, (2001, 1501)):
+        assert row == pytest.approx(letters * np.log([1e-6, 1e-3]))
+    uses = lattice.long_expected(probability[:, 0], np.array([1.0, 2.0]))
+    assert uses[0] == pytest.approx(5000) and uses[1] == pytest.approx(3)
+
+
+def test_languages_without_blanks(spark):
+    pick = np.random.default_rng(6)
+    rows = [
+        (i, "".join(pick.choice(list("abcde" if i % 2 else "deabz"), 500)), "xy"[i % 2], None, None)
+        for i in range(60)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    model = langid.train(docs, PATH, F.col("doc_id") < 40)
+    found = langid.predict(docs.filter("doc_id >= 40"), model).collect()
+    assert all(row["lang_pred"] == row["row"]["lang"] for row in found)
+    groups = list(langid.long_groups(["a" * 50, "a", "b" * 90, "c" * 300, "d" * 500_000, "e" * 450]))
+    assert groups == [[0, 2], [3, 5], [4]]
