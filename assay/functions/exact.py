@@ -1,10 +1,10 @@
 """Sums of doubles that are exact before they are rounded once, whatever the amounts and their order.
 
-A finite double is a whole number below 2**55 times a power of two. Cut at multiples of 2**32 it becomes
-three limbs, each a whole number of about 32 bits, from one bin on; a bin is a power of 2**32. Limbs of
-a bin are summed as decimals, which is exact for a trillion rows. A group's few bins are then added with
-carries from the lowest up; its highest three limbs, and whether anything is left below them, decide the
-double that is nearest to the sum.
+A finite double is a whole number below 2**53 times a power of two. Counted in units of a bin, a power
+of 2**32, it is a whole number below 2**86, which four limbs of 22 bits hold. Limbs of a bin are summed as
+``bigint``, which is exact for a trillion rows. A group's few bins are then added with carries from the
+lowest up; its highest three limbs of 32 bits, and whether anything is left below them, decide the double
+that is nearest to the sum.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 _BITS = 32
 _BASE = 1 << _BITS
-_MASK = _BASE - 1
+#: Bits of a limb, and limbs of a bin.
+_LIMB, _LIMBS = 22, 4
 _WIDE = "decimal(38,0)"
 
 
@@ -30,33 +31,26 @@ def finite(value: Column) -> Column:
     return F.abs(value) < F.lit(float("inf"))
 
 
-def limbs(value: Column) -> tuple[Column, list[Column]]:
-    """The lowest bin of a double and its limbs from there on; null unless it is finite. Zero has bin 0.
+def with_limbs(df: DataFrame, name: str, amount: Column) -> DataFrame:
+    """Add ``__x_<name>``, the amount, ``__bin_<name>``, the bin of its lowest bit, and
+    ``__<i>_<name>``, its limbs from there on. Zero has bin 0; bin and limbs are null unless it is finite.
 
-    The exponent is taken one lower than the logarithm says, so its rounding does no harm.
+    The exponent is taken one lower than the logarithm says, so its rounding does no harm. Each step is
+    a column of its own and reads the one before: nothing is worked out twice, and the code of a row
+    stays short enough to be compiled. All steps are exact, for they scale by powers of two or take
+    leading bits away; limbs have the sign of the amount.
     """
-    counts = finite(value) & (value != 0)
-    shift = F.when(counts, F.lit(53) - F.floor(F.log2(F.abs(value))))
-    whole = _scaled(value, shift).cast("bigint")
-    bin_ = F.floor(-shift / _BITS)
-    up = (-shift - bin_ * _BITS).cast("int")
-
-    def shifted(number: Column) -> Column:
-        return F.call_function("shiftleft", number, up)
-
-    low = shifted(whole.bitwiseAND(F.lit(_MASK)))
-    high = shifted(F.shiftright(whole, _BITS))
-    # The low part may fill all 64 bits, so its upper half is taken without a sign.
-    parts = [
-        low.bitwiseAND(F.lit(_MASK)),
-        F.shiftrightunsigned(low, _BITS) + high.bitwiseAND(F.lit(_MASK)),
-        F.shiftright(high, _BITS),
-    ]
-    zero = finite(value) & (value == 0)
-    return (
-        F.when(zero, F.lit(0)).otherwise(bin_).cast("int"),
-        [F.when(zero, F.lit(0)).otherwise(part).cast("decimal(12,0)") for part in parts],
+    x, bin_, left = f"__x_{name}", f"__bin_{name}", f"__left_{name}"
+    lowest = F.floor((F.floor(F.log2(F.abs(F.col(x)))) - 53) / _BITS).cast("int")
+    df = df.withColumn(x, amount).withColumn(
+        bin_, F.when(finite(F.col(x)), F.when(F.col(x) == 0, F.lit(0)).otherwise(lowest))
     )
+    df = df.withColumn(left, _scaled(F.col(x), -_BITS * F.col(bin_)))
+    for i in reversed(range(_LIMBS)):
+        unit = float(1 << _LIMB * i)
+        df = df.withColumn(f"__{i}_{name}", (F.col(left) / F.lit(unit)).cast("bigint"))
+        df = df.withColumn(left, F.col(left) - F.col(f"__{i}_{name}").cast("double") * F.lit(unit))
+    return df.drop(left)
 
 
 def _nearest(bins: Column, sign: int) -> Column:
@@ -129,41 +123,31 @@ def exact_totals(df: DataFrame, keys: Sequence[str], amounts: dict[str, Column],
     Sums are those of exact arithmetic, rounded once, as at any parallelism. A group with an infinite
     amount, or one that is not a number, has the plain sum of doubles. Without any value it is null.
     """
-    cut, first, columns = {}, [], []
+    first, columns = [], []
+    cut = df
     for name, amount in amounts.items():
-        bin_, parts = limbs(amount)
-        cut |= {f"__bin_{name}": bin_, f"__x_{name}": amount}
-        cut |= {f"__{i}_{name}": part for i, part in enumerate(parts)}
-        first += [F.sum(f"__{i}_{name}").alias(f"__{i}_{name}") for i in range(3)]
+        cut = with_limbs(cut, name, amount)
+        first += [F.sum(f"__{i}_{name}").alias(f"__{i}_{name}") for i in range(_LIMBS)]
         first += [F.sum(f"__x_{name}").alias(f"__x_{name}"), F.count(f"__x_{name}").alias(f"__n_{name}")]
-        first.append(F.count_if(~finite(F.col(f"__x_{name}"))).alias(f"__odd_{name}"))
     bins = [f"__bin_{name}" for name in amounts]
     named = [other.alias(f"__other_{i}") for i, other in enumerate(others)]
     labels = [df.groupBy(*keys).agg(other).columns[-1] for other in others]
-    partial = df.withColumns(cut).groupBy(*keys, *bins).agg(*first, *named)
+    partial = cut.groupBy(*keys, *bins).agg(*first, *named)
     second = []
     for name in amounts:
-        entries = F.flatten(
-            F.collect_list(
-                F.when(
-                    F.col(f"__bin_{name}").isNotNull(),
-                    F.array(
-                        *[
-                            F.struct(
-                                (F.col(f"__bin_{name}") + i).alias("at"),
-                                F.col(f"__{i}_{name}").cast(_WIDE).alias("value"),
-                            )
-                            for i in range(3)
-                        ]
-                    ),
-                )
-            )
-        )
+        bin_ = F.col(f"__bin_{name}")
+        # At most a trillion times 2**86, which a decimal holds.
+        value = F.lit(0).cast(_WIDE)
+        for i in reversed(range(_LIMBS)):
+            limb = F.col(f"__{i}_{name}").cast(_WIDE)
+            value = ((value * F.lit(1 << _LIMB).cast("decimal(7,0)")).cast(_WIDE) + limb).cast(_WIDE)
+        entry = F.struct(bin_.alias("at"), value.alias("value"))
         second += [
-            entries.alias(f"__bins_{name}"),
+            F.collect_list(F.when(bin_.isNotNull(), entry)).alias(f"__bins_{name}"),
             F.sum(f"__x_{name}").alias(f"__x_{name}"),
             F.sum(f"__n_{name}").alias(f"{name}_count"),
-            F.sum(f"__odd_{name}").alias(f"__odd_{name}"),
+            # Amounts without a bin that are not null.
+            F.sum(F.when(bin_.isNull(), F.col(f"__n_{name}")).otherwise(F.lit(0))).alias(f"__odd_{name}"),
         ]
         found = F.col(f"__bins_{name}")
         exact = F.coalesce(_nearest(found, 1), -_nearest(found, -1))

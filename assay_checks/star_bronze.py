@@ -18,12 +18,14 @@ def star_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+    # Orders meet their customers first: the lines, of which there are many times more, are dealt out
+    # by order and by part alone, and country names come last, from a table that every task holds.
+    orders = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         table("lineitem")
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     whole = F.col("l_quantity").cast("int").cast("string")
     month = F.trunc(F.col("o_orderdate").cast("date"), "month")

@@ -63,6 +63,14 @@ def test_nulls_infinities_and_two_amounts(spark):
     assert math.isnan(found[3]["a"]) and math.isnan(found[4]["a"]) and found[4]["b"] == 1e300
 
 
+def test_rows_are_summed_as_whole_numbers(spark):
+    df = spark.createDataFrame([(1, 0.5), (1, -0.1)], "g int, x double")
+    plan = exact_totals(df, ["g"], {"total": F.col("x")})._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :].lower()
+    # No decimal for a row, and the logarithm of an amount is taken once.
+    assert "decimal(12,0)" not in physical and physical.count("log2(") == 1
+
+
 def test_gold_of_any_amount(spark, tmp_path):
     df = silver(spark, {"quantity": 3}, {"unit_price": 1e-9}, {"unit_price": 1e12}, {"country": "CA"})
     us = rollup_any_amount(df).filter("country = 'US'").first()
