@@ -33,12 +33,21 @@ BUCKETS = 4096
 BUCKETED_SILVER = StructType([*SILVER, StructField(BUCKET, IntegerType())])
 
 _SOURCES, _COUNT = "sources", "buckets"
+_PART = "__bucket_part"
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*ORDER_KEY), F.lit(buckets)).cast("int"))
 
 
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows by bucket and part of a bucket. There are as many parts as keep all tasks of a shuffle busy
+    with so many buckets; each lies in one task, so a bucket gets at most one file for each."""
+    parts = -(-int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    part = F.pmod(F.hash(*ORDER_KEY), F.lit(parts)).cast("int")
+    return rows.withColumn(_PART, part).repartition(BUCKET, _PART)
+
+
 def merge_new_runs(
     spark: SparkSession,
     bronze: str,
@@ -56,7 +65,9 @@ def merge_new_runs(
     columns of silver, for nothing else of the earlier copies is known any more; it and
     ``reject_non_finite`` must stay the same from call to call.
 
-    New rows are stored once, below the target, while the buckets that they touch are found. New runs
+    New rows are stored once, below the target, the first of the copies of each id, while the buckets that
+    they touch are found. Rows that lie in those buckets meet them in one shuffle: it deals rows out by
+    bucket and by parts of it, so that tasks hold whole ids and write to their own buckets. New runs
     without a valid row are noted and change nothing else.
     """
     files = Files(spark)
@@ -78,7 +89,8 @@ def merge_new_runs(
     staged = staging_folder(target)
     try:
         rows = _bucketed(valid_orders(new.frame(), reject_non_finite=reject_non_finite), buckets)
-        rows.select(*typed.names).write.parquet(staged)
+        first = dedup(rows.select(*BRONZE.names, BUCKET), ORDER_KEY, survivor_order)
+        first.select(*typed.names).write.parquet(staged)
         fresh = spark.read.schema(typed).parquet(staged)
         touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
         counts["buckets"] = len(touched)
@@ -89,13 +101,16 @@ def merge_new_runs(
         if known:
             held = read_layer(spark, target, BUCKETED_SILVER).filter(F.col(BUCKET).isin(touched))
             fresh = fresh.unionByName(held.select(*typed.names))
-        chosen = dedup(fresh.select(*BRONZE.names), ORDER_KEY, survivor_order).transform(with_total_amount)
+        chosen = _dealt(fresh.select(*BRONZE.names, BUCKET), buckets)
+        if known:
+            chosen = dedup(chosen, [BUCKET, _PART, *ORDER_KEY], survivor_order)
         write = write_layer(
-            _bucketed(chosen, buckets).select(*BUCKETED_SILVER.names),
+            chosen.transform(with_total_amount).select(*BUCKETED_SILVER.names),
             target,
             partition_by=BUCKET,
             partition_overwrite="dynamic" if known else "static",
             notes=notes,
+            rebalance=False,
         )
     finally:
         files.delete(staged)
