@@ -85,7 +85,8 @@ def write_layer(
     again. A static overwrite forgets the names. ``notes`` are kept with this version alone.
 
     ``null_share`` (0 to 1) is the largest part of rows without a partition value; beyond it the layer
-    is written without partitions, as one folder would hold most of it.
+    is written without partitions, as one folder would hold most of it. Rows are then written once; else
+    they are written flat to be counted, and from there by partition.
 
     ``rebalance`` shuffles a partitioned write by its partition column once more: adaptive execution
     merges small partitions and splits one that holds much of the data over many tasks, each writing
@@ -112,15 +113,21 @@ def write_layer(
 
     folder = versions.new_version(target)
     path = versions.place(target, folder)
-    published = False
+    made = [folder]
+    published = written = False
     try:
         if partition_cols and null_share is not None:
-            staged = staging_folder(target)
-            write(df, staged, [])
-            df = spark.read.schema(schema).parquet(staged)
+            write(df, path, [])
+            df = spark.read.schema(schema).parquet(path)
             partition_cols = _unless_null_heavy(df, partition_cols, null_share)
+            written = not partition_cols
+            if not written:
+                folder = versions.new_version(target)
+                path = versions.place(target, folder)
+                made.append(folder)
         _same_layout(before, partition_cols, mode, partition_overwrite)
-        write(df, path, partition_cols)
+        if not written:
+            write(df, path, partition_cols)
         count = spark.read.schema(schema).parquet(path).count()
         if not count and guard:
             logger.warning("No rows for %s, skipping the write.", target)
@@ -140,7 +147,7 @@ def write_layer(
     finally:
         if not published:
             for name, _ in files.list(target):
-                if name == folder or name.startswith("_staging-"):
+                if name in made or name.startswith("_staging-"):
                     files.delete(versions.place(target, name))
             if not files.list(target):
                 files.delete(target)

@@ -338,7 +338,7 @@ def partition_null_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two layers of orders, half of which have no country: one write gives up its partitions."""
     layout = Layout(new_folder(spark))
     half = F.when(F.crc32(F.col("order_id").cast("binary")) % 2 == 0, F.col("country"))
-    rows = _silver(spark, sf_dir).withColumn("country", half)
+    rows = _stored(spark, _silver(spark, sf_dir).withColumn("country", half))
     out = []
     for share in (0.25, 0.75):
         target = f"{layout.silver}-{share}"

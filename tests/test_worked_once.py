@@ -11,7 +11,7 @@ from assay_checks import registry
 
 @pytest.mark.parametrize(
     "query, found",
-    [("silver_publish_recovery", 20), ("silver_incremental", 12)],
+    [("silver_publish_recovery", 20), ("silver_incremental", 12), ("partition_null_heavy", 24)],
 )
 def test_rows_are_built_once(spark, monkeypatch, query, found):
     orders = [
